@@ -1,0 +1,497 @@
+"""Regression with seasonal ARIMA errors, for a batch of series at a time.
+
+    y_t = x_t b + z_t,      phi(L) Phi(L^s) (1-L)^d (1-L^s)^D z_t = theta(L) Theta(L^s) e_t
+
+This is the per-batch helper of ``operators.models``: Spark hashes series over tasks and
+hands each task Arrow batches of whole series; here the series of a batch lie along the
+last axis of every array, so that one numpy step serves them all.
+
+The likelihood is the Gaussian one of the state-space form with every initial state
+diffuse (variance ``KAPPA`` in units of the shock variance) and the first ``k_states``
+terms left out.  Three facts keep it cheap:
+
+* observations carry no noise of their own, so the filter update is a shift and a rank-one
+  term, and the differences of the data need only the ARMA states;
+* gains do not depend on the data, so y and the regressors are filtered alike and b and the
+  shock variance have closed forms, which leaves the few ARMA coefficients to search;
+* with so few left, curvature by differences is cheap, and Newton's method copes with the
+  unit roots that over-differenced series have.
+"""
+from __future__ import annotations
+
+from typing import NamedTuple
+
+import numpy as np
+
+KAPPA = 1e6
+MAX_ITERATIONS = 50
+CELLS_PER_CHUNK = 2_000_000  # bounds the memory of one chunk of series to some 16 MB an array
+
+
+class Shape(NamedTuple):
+    """What the orders say about the sizes of things."""
+
+    p: int
+    d: int
+    q: int
+    P: int
+    D: int
+    Q: int
+    s: int
+
+    @classmethod
+    def of(cls, order, seasonal) -> Shape:
+        p, d, q = (int(i) for i in order)
+        P, D, Q, s = (int(i) for i in seasonal)
+        return cls(p, d, q, P, D, Q, s)
+
+    @property
+    def n_arma(self) -> int:
+        return self.p + self.q + self.P + self.Q
+
+    @property
+    def k_diff(self) -> int:
+        return self.d + self.D * self.s
+
+    @property
+    def r(self) -> int:
+        return max(self.p + self.P * self.s, self.q + self.Q * self.s + 1)
+
+    @property
+    def k_states(self) -> int:
+        return self.k_diff + self.r
+
+    @property
+    def delta(self) -> np.ndarray:
+        """Coefficients of (1-L)^d (1-L^s)^D, the leading 1 included."""
+        poly = np.ones(1)
+        for _ in range(self.d):
+            poly = np.convolve(poly, [1.0, -1.0])
+        for _ in range(self.D):
+            poly = np.convolve(poly, np.r_[1.0, np.zeros(self.s - 1), -1.0])
+        return poly
+
+
+def _product(plain: np.ndarray, seasonal: np.ndarray, s: int, sign: float) -> np.ndarray:
+    """Coefficients of (1 + sign*plain(L)) (1 + sign*seasonal(L^s)) after the 1, times sign."""
+    p, batch = plain.shape
+    one = np.concatenate([np.ones((1, batch)), sign * plain])
+    out = np.zeros((p + len(seasonal) * s + 1, batch))
+    out[: p + 1] = one
+    for j in range(len(seasonal)):
+        lag = (j + 1) * s
+        out[lag : lag + p + 1] += sign * seasonal[j] * one
+    return sign * out[1:]
+
+
+def _coefficients(theta: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Companion column and shock loadings, both (r, B), from the ARMA coefficients."""
+    ar, ma, sar, sma = np.split(theta, np.cumsum([shape.p, shape.q, shape.P]))
+    full_ar = _product(ar, sar, shape.s, -1.0)
+    full_ma = _product(ma, sma, shape.s, 1.0)
+    batch = theta.shape[1]
+    phi = np.zeros((shape.r, batch))
+    load = np.zeros((shape.r, batch))
+    phi[: len(full_ar)] = full_ar
+    load[0] = 1.0
+    load[1 : len(full_ma) + 1] = full_ma
+    return phi, load
+
+
+def difference(values: np.ndarray, shape: Shape) -> np.ndarray:
+    """Apply (1-L)^d (1-L^s)^D along the first axis, taking rows before the first as zero.
+
+    The first ``k_diff`` rows are therefore not yet differences.
+    """
+    out = values.copy()
+    for j, c in enumerate(shape.delta):
+        if j and c:
+            out[j:] += c * values[:-j]
+    return out
+
+
+def _step(phi: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Companion matrix times ``values`` (r, ..., B)."""
+    out = phi.reshape(len(phi), *[1] * (values.ndim - 2), -1) * values[:1]
+    out[:-1] += values[1:]
+    return out
+
+
+def _after_differencing(phi, load, head, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Mean (r, c, B) and covariance (r, r, B) of the ARMA states once differences begin.
+
+    The first ``k_diff`` rows are sums of differencing states and ARMA states, all diffuse
+    alike, so they say something about the latter; this is their joint normal, conditioned
+    on ``head`` (k_diff, c, B).
+    """
+    r, batch = phi.shape
+    k = shape.k_diff
+    power = np.repeat(np.eye(r)[:, :, None], batch, axis=2)  # companion matrix to the t
+    if not k:
+        return np.zeros((r, head.shape[1], batch)), KAPPA * power
+    # what the differencing states alone put into each row of head
+    level = np.zeros((k, k))
+    carry = np.eye(k)
+    design, move, _ = _full_system(np.zeros((shape.n_arma, 1)), shape)
+    for t in range(k):
+        level[t] = design[:k] @ carry
+        carry = move[0, :k, :k] @ carry
+    level = difference(level, shape)
+
+    rows, effect = np.empty((k, r, batch)), [load]
+    for t in range(k):
+        rows[t] = power[0]
+        power = _step(phi, power)
+        effect.append(_step(phi, effect[-1]))
+    shocks = np.zeros((k, k, batch))  # head row by shock; the first row has none of its own
+    for t in range(1, k):
+        for m in range(1, t + 1):
+            shocks[t, m - 1] = effect[t - m][0]
+    onto = np.stack([effect[k - m] for m in range(1, k + 1)], axis=1)  # state by shock
+
+    both = np.concatenate([rows, power])
+    noise = np.concatenate([shocks, onto])
+    both, noise = both.transpose(2, 0, 1), noise.transpose(2, 0, 1)
+    joint = KAPPA * (both @ both.transpose(0, 2, 1)) + noise @ noise.transpose(0, 2, 1)
+    joint[:, :k, :k] += KAPPA * (level @ level.T)
+    weights = np.linalg.solve(joint[:, :k, :k], joint[:, :k, k:])
+    mean = np.einsum("bkr,kcb->rcb", weights, head)
+    cov = joint[:, k:, k:] - joint[:, k:, :k] @ weights
+    return mean, np.ascontiguousarray(cov.transpose(1, 2, 0))
+
+
+def innovations(theta: np.ndarray, data: np.ndarray, lengths: np.ndarray, shape: Shape):
+    """Filter the columns of ``data`` (T, c, B), the result of ``difference``.
+
+    Returns, for the rows from ``k_diff`` on, the one-step errors (., c, B) and their
+    variances (., B) in units of the shock variance, and the state (r, c, B) expected
+    after the last row of each series.
+    """
+    phi, load = _coefficients(theta, shape)
+    shock = load[:, None] * load[None]
+    state, cov = _after_differencing(phi, load, data[: shape.k_diff], shape)
+    body = data[shape.k_diff :]
+    errors = np.empty_like(body)
+    variances = np.empty((len(body), body.shape[2]))
+    final = np.zeros_like(state)
+    ends = lengths - shape.k_diff - 1
+    last_of = {int(n): np.flatnonzero(ends == n) for n in np.unique(ends)}
+    settled = False
+    for t, row in enumerate(body):
+        if not settled:
+            f = cov[0, 0]
+            gain = cov[1:, 0] / f
+            following = shock.copy()
+            following[:-1, :-1] += cov[1:, 1:] - gain[:, None] * cov[0, 1:][None]
+            if t % 16 == 15:
+                settled = bool(np.all(np.abs(following - cov) <= 1e-13 * np.abs(f)))
+            cov = following
+        error = row - state[0]
+        errors[t] = error
+        variances[t] = f
+        state_next = phi[:, None] * row[None]
+        state_next[:-1] += state[1:] + gain[:, None] * error[None]
+        state = state_next
+        if t in last_of:
+            ended = last_of[t]
+            final[:, :, ended] = state[:, :, ended]
+    return errors, variances, final
+
+
+class _Profile(NamedTuple):
+    objective: np.ndarray  # (B,), monotone in the likelihood
+    beta: np.ndarray  # (c-1, B)
+    sse: np.ndarray
+    log_f: np.ndarray
+    errors: np.ndarray
+    final: np.ndarray
+
+
+def _profile(theta, data, lengths, use, n_eff, shape: Shape) -> _Profile:
+    """Concentrate b and the shock variance out of the likelihood at ``theta`` (m, B)."""
+    errors, variances, final = innovations(theta, data, lengths, shape)
+    with np.errstate(all="ignore"):
+        weight = np.where(use, 1.0 / np.sqrt(variances), 0.0)
+        resid = errors[:, 0] * weight
+        columns = data.shape[1]
+        beta = np.zeros((columns - 1, theta.shape[1]))
+        if columns > 1:
+            x = errors[:, 1:] * weight[:, None]
+            gram = np.einsum("tib,tjb->bij", x, x)
+            moment = np.einsum("tib,tb->bi", x, resid)
+            gram[~np.isfinite(gram)] = 0.0
+            inverse = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+            beta = np.einsum("bij,bj->ib", inverse, moment)
+            resid = resid - np.einsum("tib,ib->tb", x, beta)
+        log_f = np.where(use, np.log(variances), 0.0).sum(axis=0)
+        sse = (resid**2).sum(axis=0)
+        objective = sse * np.exp(log_f / np.maximum(n_eff, 1))
+    objective = np.where(np.isfinite(objective), objective, np.inf)
+    return _Profile(objective, beta, sse, log_f, errors, final)
+
+
+# Starting points for (ar, ma, seasonal ar, seasonal ma).
+_STARTS = (
+    (0.1, -0.1, 0.1, -0.1),
+    (0.3, -0.8, 0.1, -0.7),
+    (0.7, -0.3, 0.3, -0.3),
+    (-0.4, 0.2, -0.2, -0.5),
+    (0.1, 0.5, 0.2, 0.2),
+    (0.9, -0.5, 0.5, -0.9),
+)
+
+
+def _start(kinds: tuple[float, float, float, float], shape: Shape) -> np.ndarray:
+    """One start: the first coefficient of each kind as given, higher ones near zero."""
+    parts = [
+        np.r_[first, np.full(count - 1, 0.05)] if count else np.zeros(0)
+        for first, count in zip(kinds, (shape.p, shape.q, shape.P, shape.Q))
+    ]
+    return np.concatenate(parts)
+
+
+def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """ARMA coefficients (m, B) of greatest likelihood, and whether each search settled.
+
+    Newton's method with slopes and curvature by differences: all points of all series go
+    through one filter run per round.  Curvature is made positive, damped while steps fail,
+    and a series leaves the batch once its next step promises no visible gain in AIC.
+    """
+    batch = data.shape[2]
+    m = shape.n_arma
+    if m == 0:
+        return np.zeros((0, batch)), np.ones(batch, dtype=bool)
+
+    def values(points, which):
+        """Log objective at ``points`` (k, m, A) of the series ``which``: (k, A)."""
+        k = len(points)
+        fits = _profile(
+            points.transpose(1, 0, 2).reshape(m, -1),
+            np.tile(data[:, :, which], k),
+            np.tile(lengths[which], k),
+            np.tile(use[:, which], k),
+            np.tile(n_eff[which], k),
+            shape,
+        )
+        with np.errstate(all="ignore"):
+            return np.log(fits.objective).reshape(k, -1)
+
+    h = 3e-4
+    unit = np.eye(m)
+    i, j = np.triu_indices(m, 1)
+    nudges = h * np.concatenate([np.zeros((1, m)), unit, -unit, unit[i] + unit[j]])[:, :, None]
+
+    def surroundings(at, which):
+        f = values(at[None] + nudges, which)
+        up, down, mixed = f[1 : m + 1], f[m + 1 : 2 * m + 1], f[2 * m + 1 :]
+        curve = np.zeros((f.shape[1], m, m))
+        with np.errstate(all="ignore"):
+            slope = ((up - down) / (2 * h)).T
+            curve[:, range(m), range(m)] = ((up + down - 2 * f[0]) / h**2).T
+            curve[:, i, j] = curve[:, j, i] = ((mixed - up[i] - up[j] + f[0]) / h**2).T
+        return f[0], slope, curve
+
+    active = np.arange(batch)
+    starts = np.stack([_start(kinds, shape) for kinds in _STARTS])
+    tried = values(np.repeat(starts[:, :, None], batch, axis=2), active)
+    theta = starts[tried.argmin(axis=0)].T.copy()
+
+    settled = np.zeros(batch, dtype=bool)
+    damping = np.full(batch, 1e-2)
+    best, slope, curve = surroundings(theta, active)
+    for _ in range(MAX_ITERATIONS):
+        usable = np.isfinite(slope).all(axis=1) & np.isfinite(curve).all(axis=(1, 2))
+        root, axes = np.linalg.eigh(np.where(usable[:, None, None], curve, unit))
+        along = np.einsum("bij,bi->bj", axes, np.where(usable[:, None], slope, 0.0))
+        bend = np.abs(root) + damping[active, None]
+        move = np.clip(-np.einsum("bij,bj->ib", axes, along / bend), -0.5, 0.5)
+        promised = 0.5 * (along**2 / (np.abs(root) + 1e-8)).sum(axis=1) * n_eff[active]
+        found, new_slope, new_curve = surroundings(theta[:, active] + move, active)
+        better = usable & (found < best)
+        done = ~usable | (promised < 1e-5) | (damping[active] > 1e8)
+        theta[:, active] += np.where(better, move, 0.0)
+        damping[active] *= np.where(better, 0.1, 10.0)
+        settled[active] = done & usable
+        best = np.where(better, found, best)
+        slope = np.where(better[:, None], new_slope, slope)
+        curve = np.where(better[:, None, None], new_curve, curve)
+        active, best, slope, curve = (a[~done] for a in (active, best, slope, curve))
+        if not len(active):
+            break
+    return theta, settled
+
+
+def _stack(series: list[np.ndarray]) -> np.ndarray:
+    """Arrays of unequal length as the columns of one, zero after their end."""
+    out = np.zeros((max(map(len, series)), len(series)))
+    for i, values in enumerate(series):
+        out[: len(values), i] = values
+    return out
+
+
+def _full_system(theta: np.ndarray, shape: Shape):
+    """Design (K,), transition (B, K, K) and loadings (B, K) with the differencing states."""
+    d, D, s, kd, K = shape.d, shape.D, shape.s, shape.k_diff, shape.k_states
+    phi, load = _coefficients(theta, shape)
+    ends = [d + (b + 1) * s - 1 for b in range(D)]
+    design = np.zeros(K)
+    design[:d] = 1.0
+    design[ends] = 1.0
+    design[kd] = 1.0
+    move = np.zeros((theta.shape[1], K, K))
+    for i in range(d):
+        move[:, i, i:d] = 1.0
+        move[:, i, ends + [kd]] = 1.0
+    for b in range(D):
+        first = d + b * s
+        move[:, first, ends[b:] + [kd]] = 1.0
+        for j in range(1, s):
+            move[:, first + j, first + j - 1] = 1.0
+    move[:, kd:, kd] = phi.T
+    for j in range(shape.r - 1):
+        move[:, kd + j, kd + j + 1] = 1.0
+    loads = np.zeros((theta.shape[1], K))
+    loads[:, kd:] = load.T
+    return design, move, loads
+
+
+def full_filter(theta: np.ndarray, z: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """One-step errors and variances of ``z`` (T, B) from the undifferenced state space.
+
+    Used for the first ``k_diff`` rows, where differences are not yet to be had.
+    """
+    design, move, loads = _full_system(theta, shape)
+    batch = z.shape[1]
+    state = np.zeros((batch, shape.k_states))
+    cov = np.repeat((KAPPA * np.eye(shape.k_states))[None], batch, axis=0)
+    shock = loads[:, :, None] * loads[:, None]
+    errors = np.empty_like(z)
+    variances = np.empty_like(z)
+    for t in range(len(z)):
+        errors[t] = z[t] - state @ design
+        cross = cov @ design
+        variances[t] = cross @ design
+        gain = cross / variances[t][:, None]
+        state = np.einsum("bij,bj->bi", move, state + gain * errors[t][:, None])
+        cov = cov - gain[:, :, None] * cross[:, None]
+        cov = move @ cov @ move.transpose(0, 2, 1) + shock
+    return errors, variances
+
+
+def fit_batch(
+    y: list[np.ndarray],
+    x: list[list[np.ndarray]],
+    order,
+    seasonal,
+    burn: int | None = None,
+) -> list[dict]:
+    """Fit one model shape to every series; ``x`` holds the regressors of each series.
+
+    ``burn`` sets how many first rows the likelihood leaves out when models of different
+    shapes are to be scored on the same dates; it is never less than ``k_states``.
+    """
+    shape = Shape.of(order, seasonal)
+    burn = max(burn or 0, shape.k_states)
+    out: list[dict] = [{} for _ in y]
+    queue = sorted(range(len(y)), key=lambda i: len(y[i]))
+    columns = 1 + (len(x[0]) if x else 0)
+    while queue:
+        longest = max(len(y[queue[-1]]), 1)
+        per_series = (1 + shape.n_arma) * (2 + shape.n_arma) * (longest * columns + shape.r**2)
+        size = max(1, CELLS_PER_CHUNK // per_series)
+        chunk, queue = queue[-size:], queue[:-size]
+        for i, result in zip(chunk, _fit_chunk([y[i] for i in chunk], [x[i] for i in chunk], shape, burn)):
+            out[i] = result
+    return out
+
+
+def _fit_chunk(y, x, shape: Shape, burn: int) -> list[dict]:
+    lengths = np.array([len(v) for v in y])
+    columns = 1 + len(x[0])
+    n_params = columns + shape.n_arma  # regressors, ARMA coefficients, shock variance
+    if lengths.max() <= burn:
+        return [_no_fit(n, burn) for n in lengths]
+
+    data = np.stack([_stack([[a, *b][c] for a, b in zip(y, x)]) for c in range(columns)], axis=1)
+    scale = np.sqrt((data**2).sum(axis=0) / lengths)
+    scale[(scale == 0) | ~np.isfinite(scale)] = 1.0
+    work = difference(data / scale, shape)
+    row = np.arange(shape.k_diff, len(work))[:, None]
+    use = (row >= burn) & (row < lengths)
+    n_eff = use.sum(axis=0)
+
+    theta, settled = _minimise(work, lengths, use, n_eff, shape)
+    fit = _profile(theta, work, lengths, use, n_eff, shape)
+
+    beta = fit.beta * scale[0] / scale[1:]
+    with np.errstate(all="ignore"):
+        sigma2 = fit.sse / n_eff * scale[0] ** 2
+        llf = -0.5 * (n_eff * (np.log(2 * np.pi * sigma2) + 1) + fit.log_f)
+        aic = 2 * n_params - 2 * llf
+    z = data[:, 0] - np.einsum("tib,ib->tb", data[:, 1:], beta)
+    state = (fit.final[:, 0] - np.einsum("rib,ib->rb", fit.final[:, 1:], fit.beta)) * scale[0]
+    errors = (fit.errors[:, 0] - np.einsum("tib,ib->tb", fit.errors[:, 1:], fit.beta)) * scale[0]
+    early, _ = full_filter(theta, z[: shape.k_diff], shape)
+
+    results = []
+    for i, n in enumerate(lengths):
+        if n_eff[i] <= n_params or not np.isfinite(aic[i]):
+            results.append(_no_fit(n, burn))
+            continue
+        results.append(
+            {
+                "params": np.r_[beta[:, i], theta[:, i], sigma2[i]],
+                "sigma2": sigma2[i],
+                "llf": llf[i],
+                "aic": aic[i],
+                "n_eff": int(n_eff[i]),
+                "converged": bool(settled[i]),
+                "state": state[:, i],
+                "tail": z[n - shape.k_diff : n, i],
+                "resid": np.r_[early[:, i], errors[: n - shape.k_diff, i]],
+                "burn_in": shape.k_states,
+            }
+        )
+    return results
+
+
+def _no_fit(n: int, burn: int) -> dict:
+    return {
+        "params": None, "sigma2": None, "llf": None, "aic": None,
+        "n_eff": max(int(n) - burn, 0), "converged": False,
+        "state": None, "tail": None, "resid": None, "burn_in": burn,
+    }
+
+
+def forecast_batch(
+    order, seasonal, params: list[np.ndarray], state: list[np.ndarray],
+    tail: list[np.ndarray], x: list[list[np.ndarray]],
+) -> list[np.ndarray]:
+    """Continue every series for as many steps as it has future regressor rows.
+
+    ``x`` holds one array per regressor; without regressors it holds a single array whose
+    length alone counts.
+    """
+    shape = Shape.of(order, seasonal)
+    values = np.stack(params, axis=1)
+    n_exog = len(values) - shape.n_arma - 1
+    beta, theta = values[:n_exog], values[n_exog : n_exog + shape.n_arma]
+    phi, _ = _coefficients(theta, shape)
+    now = np.stack(state, axis=1)
+    past = np.stack(tail, axis=1)[::-1]  # newest first
+    lengths = [len(v[0]) for v in x]
+    future = np.zeros((max(lengths), len(x)))
+    for i, columns in enumerate(x):
+        for j in range(n_exog):
+            future[: lengths[i], i] += beta[j, i] * columns[j]
+    undo = -shape.delta[1:, None]
+    out = np.empty_like(future)
+    for h in range(len(future)):
+        level = now[0] + (undo * past).sum(axis=0)
+        following = phi * now[0]
+        following[:-1] += now[1:]
+        now = following
+        if shape.k_diff:
+            past = np.concatenate([level[None], past[:-1]])
+        out[h] = level + future[h]
+    return [out[:n, i] for i, n in enumerate(lengths)]
