@@ -308,7 +308,7 @@ def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.n
         promised = 0.5 * (along**2 / (np.abs(root) + 1e-8)).sum(axis=1) * n_eff[active]
         found, new_slope, new_curve = surroundings(theta[:, active] + move, active)
         better = usable & (found < best)
-        done = ~usable | (promised < 1e-5) | (damping[active] > 1e8)
+        done = ~usable | (promised < 1e-9) | (damping[active] > 1e8)
         theta[:, active] += np.where(better, move, 0.0)
         damping[active] *= np.where(better, 0.1, 10.0)
         settled[active] = done & usable
