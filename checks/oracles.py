@@ -130,7 +130,47 @@ def rolling(k: int) -> str:
     return ", ".join(f"{r(f'{fn}(avg_value) {w}', 4)} AS avg_value_{name}_{k}" for name, fn in parts)
 
 
+TYPE = "OVER (PARTITION BY event_type ORDER BY date)"
+CLOSED_FORM = f"""{lagged(BY_TYPE, 'event_type', 'avg_value')},
+    w1 AS (SELECT event_type, date, avg_value AS y, n_events AS x, row_number() {TYPE} AS t,
+                  avg_value - lag(avg_value) {TYPE} AS dy, n_events - lag(n_events) {TYPE} AS dx FROM ({BY_TYPE})),
+    w2 AS (SELECT *, dy - lag(dy, 7) {TYPE} AS ddy, dx - lag(dx, 7) {TYPE} AS ddx FROM w1),
+    w3 AS (SELECT event_type, sum(ddx * ddy) / sum(ddx * ddx) AS b FROM w2 WHERE t > 9 GROUP BY 1),
+    w4 AS (SELECT w2.*, b, y - b * x AS z, ddy - b * ddx AS residual FROM w2 JOIN w3 USING (event_type)),
+    w5 AS (SELECT event_type, count(*) AS n_eff, max(b) AS b, sum(residual * residual) / count(*) AS sigma2
+           FROM w4 WHERE t > 9 GROUP BY 1)"""
+
+
 ORACLES: dict[str, str] = {
+    "aic_gain_and_gate": f"""
+        WITH {CLOSED_FORM},
+        a AS (SELECT event_type, m.n_obs, w5.n_eff, b, m.n_eff * (ln(2 * pi() * m.sigma2) + 1) + 4 AS base,
+                     w5.n_eff * (ln(2 * pi() * w5.sigma2) + 1) + 4 AS cand FROM m JOIN w5 USING (event_type)),
+        s AS (SELECT event_type, min(date) AS first_day, max(date) AS last_day FROM d GROUP BY 1)
+        SELECT event_type, n_obs, n_eff, {r('b')} AS coefficient, {r('base')} AS train_aic_baseline,
+               {r('cand')} AS train_aic_sarimax, {r('base - cand')} AS aic_gain, 'fitted' AS status,
+               base - cand >= 1 AS registered, CAST(first_day AS VARCHAR) AS train_start,
+               CAST(last_day AS VARCHAR) AS train_end
+        FROM a JOIN s USING (event_type)""",
+    "closed_form_residuals": f"""
+        WITH {CLOSED_FORM} SELECT event_type, {DAY}, {r('residual')} AS residual FROM w4 WHERE t > 9""",
+    "closed_form_forecast": f"""
+        WITH {CLOSED_FORM},
+        n AS (SELECT event_type, max(t) AS n FROM w4 GROUP BY 1),
+        h AS (SELECT event_type, n, h FROM n CROSS JOIN range(1, 6) s(h))
+        SELECT h.event_type, h AS horizon_step,
+               {r('week.z + last.z - before.z + future.b * future.x')} AS forecast_avg_value
+        FROM h JOIN w4 week ON week.event_type = h.event_type AND week.t = n + h - 7
+        JOIN w4 last ON last.event_type = h.event_type AND last.t = n
+        JOIN w4 before ON before.event_type = h.event_type AND before.t = n - 7
+        JOIN w4 future ON future.event_type = h.event_type AND future.t = n - 5 + h""",
+    "feature_vectors": f"""
+        WITH d AS (SELECT *, lag(avg_value) {USER} AS l1, lag(avg_value, 7) {USER} AS l7 FROM ({BY_USER}))
+        SELECT user_id, {DAY}, {r('avg_value')} AS label, {r('l1')} AS avg_value_lag_1, {r('l7')} AS avg_value_lag_7,
+               {r('CAST(dayofweek(d.date) + 1 AS DOUBLE)')} AS day_of_week,
+               {r('CAST(dayofmonth(d.date) AS DOUBLE)')} AS day_of_month,
+               {r('CAST(month(d.date) AS DOUBLE)')} AS month, {r('CAST(n_events AS DOUBLE)')} AS n_events
+        FROM d WHERE l7 IS NOT NULL""",
     "parquet_scan": f"SELECT {ORDERS} FROM orders",
     "csv_lookup_scan": """
         SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
@@ -140,8 +180,9 @@ ORACLES: dict[str, str] = {
         SELECT event_type, {DAILY}, NULL AS day_of_week, NULL AS day_of_month, NULL AS week_of_year,
                NULL AS month, NULL AS quarter, NULL AS is_weekend FROM d
         UNION ALL
-        SELECT event_type, {DAY}, NULL, n_events, dayofweek(d.date) + 1, dayofmonth(d.date), weekofyear(d.date),
-               month(d.date), quarter(d.date), dayofweek(d.date) IN (0, 6) FROM d""",
+        SELECT event_type, {DAY}, NULL, n_events, CAST(dayofweek(d.date) + 1 AS DOUBLE),
+               CAST(dayofmonth(d.date) AS DOUBLE), CAST(weekofyear(d.date) AS DOUBLE), CAST(month(d.date) AS DOUBLE),
+               CAST(quarter(d.date) AS DOUBLE), CAST(dayofweek(d.date) IN (0, 6) AS DOUBLE) FROM d""",
     "positive_rows": f"SELECT {LINE_COLUMNS.format(flag='l_returnflag')} FROM ({LINES})",
     "clean_rows": f"SELECT {LINE_COLUMNS.format(flag='coalesce(l_returnflag = chr(82), FALSE)')} FROM ({LINES})",
     "timestamp_casts": """

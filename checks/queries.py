@@ -5,6 +5,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,7 +82,8 @@ def table_overwrite_and_append(spark, sf_dir):
     days = daily_events(spark, sf_dir, *BY_TYPE)
     store.overwrite(days, name, replace_schema=True)
     store.append(features.add_calendar_features(days).drop(VALUE), name)
-    return present(store.read(name))
+    added = ("day_of_week", "day_of_month", "week_of_year", "month", "quarter", "is_weekend")
+    return present(store.read(name).withColumns({c: F.col(c).cast("double") for c in added}))
 
 
 # projections and filters
@@ -329,6 +331,48 @@ def aic_gate(spark, sf_dir):
     return fits.select(*BY_TYPE, "aic_gain", "status", models.passes_gate(1.0).alias("registered"))
 
 
+def _closed_form(spark, sf_dir):
+    """Candidate (0,1,0)(0,1,0,7) with one regressor: a regression, so that SQL can follow."""
+    days = daily_events(spark, sf_dir, *BY_TYPE)
+    return models.train(days, BY_TYPE, "date", VALUE, EXOG, (0, 1, 0), (0, 1, 0, 7))
+
+
+@query
+def aic_gain_and_gate(spark, sf_dir):
+    fits = _closed_form(spark, sf_dir).withColumn("registered", models.passes_gate(1.0))
+    return present(
+        fits.select(
+            *BY_TYPE, "n_obs", "n_eff", F.col("params")[0].alias("coefficient"),
+            F.col("baseline.aic").alias("train_aic_baseline"), F.col("aic").alias("train_aic_sarimax"),
+            "aic_gain", "status", "registered", "train_start", "train_end",
+        )
+    )
+
+
+@query
+def closed_form_residuals(spark, sf_dir):
+    rows = models.residuals(_closed_form(spark, sf_dir), BY_TYPE)
+    return present(rows.filter(~F.col("burn_in")).drop("burn_in"))
+
+
+@query
+def closed_form_forecast(spark, sf_dir):
+    """Train, gate, register, find the newest model, forecast: all steps, checked by SQL."""
+    stored = kept(registry.serialize_model(_closed_form(spark, sf_dir), BY_TYPE, "run"))
+    rows = registry.registry_rows(
+        stored, BY_TYPE, model_name="value_per_day", model_version="v1", target_series="daily_events",
+        store_table="models", created=datetime.now(timezone.utc), min_aic_improvement=-1000.0,
+    )
+    newest = registry.latest_models(rows, BY_TYPE).select(
+        *BY_TYPE, "run_id", "model_id", "order", "seasonal_order"
+    )
+    ready = inference.recent_regressors(
+        daily_events(spark, sf_dir, *BY_TYPE), registry.deserialize_model(stored, newest),
+        BY_TYPE, "date", EXOG, HORIZON,
+    )
+    return present(inference.forecast(ready, BY_TYPE, VALUE))
+
+
 @query
 def sarimax_residuals(spark, sf_dir):
     return models.residuals(_trained(spark, sf_dir, BY_TYPE), BY_TYPE)
@@ -455,7 +499,11 @@ def stationarity(spark, sf_dir):
 @query
 def feature_vectors(spark, sf_dir):
     rows = boosting.feature_vectors(daily_events(spark, sf_dir, *BY_USER), BY_USER, "date", VALUE, EXOG)
-    return rows.select(*BY_USER, "date", "label", F.col("features").cast("string").alias("features"))
+    values = vector_to_array("features")
+    names = ("avg_value_lag_1", "avg_value_lag_7", "day_of_week", "day_of_month", "month", "n_events")
+    return present(
+        rows.select(*BY_USER, "date", "label", *(values[i].alias(c) for i, c in enumerate(names)))
+    )
 
 
 @query
