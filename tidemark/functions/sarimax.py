@@ -250,17 +250,59 @@ def _start(kinds: tuple[float, float, float, float], shape: Shape) -> np.ndarray
     return np.concatenate(parts)
 
 
+def _invertible(theta: np.ndarray, shape: Shape) -> np.ndarray:
+    """Mirror moving-average roots that lie well outside the unit circle to its inside.
+
+    Both sides describe the same correlations, with another shock variance.
+    """
+    out = theta.copy()
+    first = shape.p
+    for start, count in ((first, shape.q), (first + shape.q + shape.P, shape.Q)):
+        for b in range(theta.shape[1]) if count else ():
+            roots = np.roots(np.r_[1.0, theta[start : start + count, b]])
+            outside = np.abs(roots) > 1.001
+            if outside.any():
+                roots[outside] = 1.0 / np.conj(roots[outside])
+                out[start : start + count, b] = np.real(np.poly(roots))[1:]
+    return out
+
+
 def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """ARMA coefficients (m, B) of greatest likelihood, and whether each search settled.
 
-    Newton's method with slopes and curvature by differences: all points of all series go
-    through one filter run per round.  Curvature is made positive, damped while steps fail,
-    and a series leaves the batch once its next step promises no visible gain in AIC.
+    Of two mirror images that are equally likely, the invertible one is given.
     """
     batch = data.shape[2]
     m = shape.n_arma
     if m == 0:
         return np.zeros((0, batch)), np.ones(batch, dtype=bool)
+    problem = (data, lengths, use, n_eff)
+    starts = np.stack([_start(kinds, shape) for kinds in _STARTS])
+    tried = [
+        _profile(np.repeat(s[:, None], batch, axis=1), *problem, shape).objective for s in starts
+    ]
+    theta, settled, best = _newton(starts[np.argmin(tried, axis=0)].T, *problem, shape)
+    mirrored = _invertible(theta, shape)
+    moved = np.flatnonzero((mirrored != theta).any(axis=0))
+    if len(moved):
+        part = (data[:, :, moved], lengths[moved], use[:, moved], n_eff[moved])
+        other, other_settled, other_best = _newton(mirrored[:, moved], *part, shape)
+        # as good to a hundredth of AIC
+        keep = n_eff[moved] * (other_best - best[moved]) < 0.01
+        theta[:, moved[keep]] = other[:, keep]
+        settled[moved[keep]] = other_settled[keep]
+    return theta, settled
+
+
+def _newton(theta, data, lengths, use, n_eff, shape: Shape):
+    """Search from ``theta`` (m, B): where it ends, whether it settled, log objective there.
+
+    Newton's method with slopes and curvature by differences: all points of all series go
+    through one filter run per round.  Curvature is made positive, damped while steps fail,
+    and a series leaves the batch once its next step promises no visible gain in AIC.
+    """
+    theta = theta.copy()
+    m, batch = theta.shape
 
     def values(points, which):
         """Log objective at ``points`` (k, m, A) of the series ``which``: (k, A)."""
@@ -292,11 +334,8 @@ def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.n
         return f[0], slope, curve
 
     active = np.arange(batch)
-    starts = np.stack([_start(kinds, shape) for kinds in _STARTS])
-    tried = values(np.repeat(starts[:, :, None], batch, axis=2), active)
-    theta = starts[tried.argmin(axis=0)].T.copy()
-
     settled = np.zeros(batch, dtype=bool)
+    ended = np.full(batch, np.inf)
     damping = np.full(batch, 1e-2)
     best, slope, curve = surroundings(theta, active)
     for _ in range(MAX_ITERATIONS):
@@ -313,12 +352,13 @@ def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.n
         damping[active] *= np.where(better, 0.1, 10.0)
         settled[active] = done & usable
         best = np.where(better, found, best)
+        ended[active] = best
         slope = np.where(better[:, None], new_slope, slope)
         curve = np.where(better[:, None, None], new_curve, curve)
         active, best, slope, curve = (a[~done] for a in (active, best, slope, curve))
         if not len(active):
             break
-    return theta, settled
+    return theta, settled, ended
 
 
 def _stack(series: list[np.ndarray]) -> np.ndarray:
@@ -413,7 +453,7 @@ def _fit_chunk(y, x, shape: Shape, burn: int) -> list[dict]:
         return [_no_fit(n, burn) for n in lengths]
 
     data = np.stack([_stack([[a, *b][c] for a, b in zip(y, x)]) for c in range(columns)], axis=1)
-    scale = np.sqrt((data**2).sum(axis=0) / lengths)
+    scale = np.sqrt((data**2).sum(axis=0) / np.maximum(lengths, 1))
     scale[(scale == 0) | ~np.isfinite(scale)] = 1.0
     work = difference(data / scale, shape)
     row = np.arange(shape.k_diff, len(work))[:, None]
