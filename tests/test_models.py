@@ -290,6 +290,13 @@ def test_fit_needs_one_exchange_by_series(lengths):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_a_filter_on_the_outcome_does_not_fit_twice(lengths):
+    fits = models.train(lengths, ["k"], "date", "y", ["x1", "x2"])
+    for frame in (models.residuals(fits, ["k"]), fits.filter(models.passes_gate(1.0))):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("fit_sarimax(") == 1
+
+
 def test_diagnostics_need_one_exchange_by_series(lengths):
     plan = diagnostics.ljung_box_test(lengths, "y", ["k"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1

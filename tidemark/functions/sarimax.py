@@ -337,6 +337,7 @@ def _newton(theta, data, lengths, use, n_eff, shape: Shape):
     settled = np.zeros(batch, dtype=bool)
     ended = np.full(batch, np.inf)
     damping = np.full(batch, 1e-2)
+    steady = np.ones(batch, dtype=bool)  # the last step was taken, too
     best, slope, curve = surroundings(theta, active)
     for _ in range(MAX_ITERATIONS):
         usable = np.isfinite(slope).all(axis=1) & np.isfinite(curve).all(axis=(1, 2))
@@ -349,7 +350,8 @@ def _newton(theta, data, lengths, use, n_eff, shape: Shape):
         better = usable & (found < best)
         done = ~usable | (promised < 1e-9) | (damping[active] > 1e8)
         theta[:, active] += np.where(better, move, 0.0)
-        damping[active] *= np.where(better, 0.1, 10.0)
+        damping[active] *= np.where(~better, 10.0, np.where(steady[active], 0.1, 1.0))
+        steady[active] = better
         settled[active] = done & usable
         best = np.where(better, found, best)
         ended[active] = best

@@ -83,8 +83,11 @@ def spread_by_series(df: DataFrame, series_keys: Sequence[str], partitions: int
     if not series_keys:
         return df
     if partitions is None:
-        conf = df.sparkSession.conf
-        partitions = int(conf.get("spark.sql.shuffle.partitions"))
+        session = df.sparkSession
+        partitions = max(
+            int(session.conf.get("spark.sql.shuffle.partitions")),
+            session.sparkContext.defaultParallelism,
+        )
     return df.repartition(partitions, *series_keys)
 
 

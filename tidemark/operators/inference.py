@@ -41,12 +41,13 @@ def recent_regressors(
     day = F.struct("_date", *(f"x{i}" for i in range(len(exog))))
     held = [c for c in models.columns if c not in series_keys]
     if series_keys:
-        known = join_models(days, models, series_keys).filter(F.col("_date") <= F.col("train_end"))
+        # days meet the narrow end date only; the wide model row joins what is left of them
+        ends = models.select(*series_keys, "train_end")
+        known = join_models(days, ends, series_keys).filter(F.col("_date") <= F.col("train_end"))
         newest = F.row_number().over(by_date(series_keys, "_date", descending=True))
         known = known.withColumn("_age", newest).filter(F.col("_age") <= horizon)
-        gathered = known.groupBy(*series_keys).agg(
-            *(F.first(c).alias(c) for c in held), F.sort_array(F.collect_list(day)).alias("_days")
-        )
+        gathered = known.groupBy(*series_keys).agg(F.sort_array(F.collect_list(day)).alias("_days"))
+        gathered = join_models(gathered, models, series_keys)
         return _with_future(gathered, series_keys, held, len(exog))
     # one series, one model: both become one row of the same aggregate
     both = days.select(day.alias("_day")).unionByName(models, allowMissingColumns=True)

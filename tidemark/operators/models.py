@@ -62,7 +62,7 @@ def _by_shape(order: pd.Series, seasonal: pd.Series) -> Iterator[tuple[tuple, tu
 
 
 @F.pandas_udf(FIT_TYPE)
-def fit_sarimax(
+def _fit_sarimax(
     y: pd.Series, x: pd.Series, order: pd.Series, seasonal: pd.Series, burn: pd.Series
 ) -> pd.DataFrame:
     out: list[dict | None] = [None] * len(y)
@@ -79,6 +79,11 @@ def fit_sarimax(
     return pd.DataFrame(out, columns=FIT_TYPE.names)
 
 
+# The fit always gives the same result; the mark keeps the optimizer from copying the call
+# into a filter on its outcome, which would run every fit twice.
+fit_sarimax = _fit_sarimax.asNondeterministic()
+
+
 @F.pandas_udf(_DOUBLES)
 def forecast_sarimax(
     order: pd.Series, seasonal: pd.Series, params: pd.Series,
