@@ -51,7 +51,7 @@ def lag_and_rolling(spark, sf_dir):
     return features.add_rolling_features(lagged, "avg_value", [3, 7], ["user_id"])
 
 
-def full_job(spark, sf_dir):
+def full_job(spark, sf_dir, **modes):
     """All six steps over one series, tables included."""
     tag = uuid.uuid4().hex
     ForecastJob(
@@ -66,6 +66,7 @@ def full_job(spark, sf_dir):
             flag_col="l_returnflag", flag_true="R", target_col="avg_price", count_col="n_rows",
             averages=(("avg_price", "l_extendedprice"), ("avg_quantity", "l_quantity")),
             exog_cols=("avg_quantity", "n_rows"), min_aic_improvement=-1e9,
+            **modes,
         ),
     ).run()
 
@@ -85,6 +86,7 @@ BENCHES = {
     "sarimax_fit_by_user": lambda s, d: consume(QUERIES["sarimax_models"](s, d)),
     "sarimax_holdout_by_user": lambda s, d: consume(QUERIES["sarimax_holdout_metrics"](s, d)),
     "full_job": full_job,
+    "full_job_one_pass": lambda s, d: full_job(s, d, raw_mode="link", clean_mode="view"),
 }
 
 

@@ -120,6 +120,19 @@ def test_job_over_many_series_with_linked_input(spark, sf):
     assert spark.table(cfg.scoring_log_table).first().n_series == 5
 
 
+def test_one_pass_over_the_input_gives_the_same_days(spark, small):
+    lean = _config("lean", small, raw_mode="link", clean_mode="view")
+    full = _config("full", small)
+    jobs = [ForecastJob(spark, cfg) for cfg in (lean, full)]
+    for job in jobs:
+        job.run()
+    counts = [{k: j.counts[k] for k in ("initial_rows", "clean_rows", "bad_timestamps")} for j in jobs]
+    assert counts[0] == counts[1]
+    days = [sorted(map(tuple, spark.table(c.daily_features_table).collect())) for c in (lean, full)]
+    assert [d[0] for d in days[0]] == [d[0] for d in days[1]]
+    assert [v for d in days[0] for v in d[1:]] == pytest.approx([v for d in days[1] for v in d[1:]])
+
+
 def test_gate_leaves_the_registry_alone_and_inference_is_skipped(spark, small):
     cfg = _config("gated", small, min_aic_improvement=1e12)
     job = ForecastJob(spark, cfg)

@@ -31,6 +31,7 @@ class JobConfig:
     run_log_table: str = "model_runs"
     table_format: str = "parquet"
     raw_mode: str = "copy"
+    clean_mode: str = "table"
 
     # model
     model_name: str = "sarimax_average_fare_per_day_with_exog"
@@ -75,6 +76,8 @@ class JobConfig:
             raise ValueError("min_observations must be at least 2")
         if self.raw_mode not in ("copy", "link"):
             raise ValueError("raw_mode must be 'copy' or 'link'")
+        if self.clean_mode not in ("table", "view"):
+            raise ValueError("clean_mode must be 'table' or 'view'")
         if self.aic_basis not in ("own", "common"):
             raise ValueError("aic_basis must be 'own' or 'common'")
         if (self.baseline_order, self.baseline_seasonal_order) != ((1, 0, 0), (0, 0, 0, 0)):

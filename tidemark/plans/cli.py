@@ -28,6 +28,7 @@ _VALUES = (
     ("model_name", str, "name recorded with the registered models"),
     ("table_format", str, "parquet, or delta where its jar is present"),
     ("raw_mode", str, "copy the input into the raw table, or link it in place"),
+    ("clean_mode", str, "write cleansed rows to a table, or keep them as a view"),
 )
 
 

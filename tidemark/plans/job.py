@@ -2,6 +2,9 @@
 
 Steps meet in tables, so each can run alone.  Every step writes its table in one pass and
 takes its numbers from that pass; a fit happens once, on its way into the model store.
+
+With ``raw_mode="link"`` and ``clean_mode="view"`` the input is read once, and only in the
+columns the daily features need; nothing as large as the input is written.
 """
 from __future__ import annotations
 
@@ -33,6 +36,7 @@ class ForecastJob:
         self.tables = TableStore(spark, config.table_format)
         self.run_id: str | None = None
         self.counts: dict[str, int] = {}
+        self._unread: Observation | None = None
 
     # step 1
     def ingest_data(self) -> tuple[DataFrame, DataFrame | None]:
@@ -66,9 +70,14 @@ class ForecastJob:
             cfg.flag_true,
             observation=seen,
         )
-        self.tables.overwrite(rows, cfg.clean_table_name, replace_schema=True)
-        self.counts |= seen.get
-        log.info("cleaned %s", self.counts)
+        if cfg.clean_mode == "view":
+            # its numbers come with the pass that builds the daily features
+            rows.createOrReplaceTempView(cfg.clean_table_name)
+            self._unread = seen
+        else:
+            self.tables.overwrite(rows, cfg.clean_table_name, replace_schema=True)
+            self.counts |= seen.get
+            log.info("cleaned %s", self.counts)
         return self.tables.read(cfg.clean_table_name)
 
     # step 3
@@ -83,6 +92,10 @@ class ForecastJob:
             cfg.date_col,
         )
         self.tables.overwrite(features, cfg.daily_features_table, replace_schema=True)
+        if self._unread is not None:
+            self.counts |= self._unread.get
+            self._unread = None
+            log.info("cleaned %s", self.counts)
         return self.tables.read(cfg.daily_features_table)
 
     # step 4
@@ -230,7 +243,10 @@ class ForecastJob:
     def diagnose(self) -> dict[str, DataFrame]:
         """Correlations of the series and of the residuals of this job's training run."""
         cfg = self.config
-        series = (self.tables.read(cfg.daily_features_table), cfg.target_col, cfg.series_keys, cfg.date_col)
+        days = daily.complete_cases(
+            self.tables.read(cfg.daily_features_table), [cfg.target_col, *cfg.exog_cols]
+        )
+        series = (days, cfg.target_col, cfg.series_keys, cfg.date_col)
         errors = (models.residuals(self.trained_models(), cfg.series_keys), "residual", cfg.series_keys)
         return {
             "acf": diagnostics.acf(*series),
