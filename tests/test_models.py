@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions import sarimax
 from tidemark.functions.columns import _upper_tail
@@ -29,10 +30,27 @@ def simulate(order, seasonal, theta, n, seed, beta=()):
     return 15 + z + np.asarray(beta) @ x if len(beta) else 15 + z, list(x)
 
 
+def system(theta, shape):
+    """Design, transition and loadings of the state space with its differencing states."""
+    phi, load = (a[:, 0] for a in sarimax._coefficients(np.array(theta, dtype=float)[:, None], shape))
+    d, D, s, k, r = shape.d, shape.D, shape.s, shape.k_diff, shape.r
+    last = [d + (b + 1) * s - 1 for b in range(D)]
+    design = np.zeros(k + r)
+    design[list(range(d)) + last + [k]] = 1.0
+    step = np.zeros((k + r, k + r))
+    for i in range(d):  # sums of differences
+        step[i, list(range(i, d)) + last + [k]] = 1.0
+    for b in range(D):  # a register of the last s values, refilled by its own sum
+        step[d + b * s, last[b:] + [k]] = 1.0
+        step[range(d + b * s + 1, d + (b + 1) * s), range(d + b * s, d + (b + 1) * s - 1)] = 1.0
+    step[k:, k] = phi
+    step[range(k, k + r - 1), range(k + 1, k + r)] = 1.0
+    return design, step, np.r_[np.zeros(k), load]
+
+
 def joint_normal(theta, n, shape):
     """Covariance of the first n values from the state space, written out in full."""
-    design, move, loads = sarimax._full_system(np.array(theta, dtype=float)[:, None], shape)
-    step, load = move[0], loads[0]
+    design, step, load = system(theta, shape)
     from_start, effect = np.zeros((n, shape.k_states)), np.zeros(n)
     row, spread = design.copy(), load.copy()
     for t in range(n):
@@ -42,6 +60,12 @@ def joint_normal(theta, n, shape):
     return KAPPA * from_start @ from_start.T + shocks @ shocks.T
 
 
+def one_step(theta, z, shape):
+    """One-step errors and variances of z from its joint normal."""
+    root = np.linalg.cholesky(joint_normal(theta, len(z), shape))
+    return np.linalg.solve(root, z) * np.diag(root), np.diag(root) ** 2
+
+
 @pytest.mark.parametrize(
     "order, seasonal, theta",
     [
@@ -54,17 +78,11 @@ def joint_normal(theta, n, shape):
 def test_filter_equals_the_joint_normal(order, seasonal, theta):
     shape, n = Shape.of(order, seasonal), 50
     z = simulate(order, seasonal, theta, n, 1)[0]
-    root = np.linalg.cholesky(joint_normal(theta, n, shape))
-    wanted, wanted_f = np.linalg.solve(root, z) * np.diag(root), np.diag(root) ** 2
-    at = np.array(theta)[:, None]
-    errors, f = sarimax.full_filter(at, z[:, None], shape)
-    assert errors[:, 0] == pytest.approx(wanted, rel=1e-3, abs=1e-3)
-    k = shape.k_diff
-    inner, inner_f, _ = sarimax.innovations(
-        at, sarimax.difference(z[:, None, None], shape), np.array([n]), shape
-    )
-    assert inner[:, 0, 0] == pytest.approx(wanted[k:], rel=1e-3, abs=1e-3)
-    assert inner_f[shape.r :, 0] == pytest.approx(wanted_f[shape.k_states :], rel=1e-4)
+    wanted, wanted_f = one_step(theta, z, shape)
+    k, data = shape.k_diff, sarimax.difference(z[:, None, None], shape)
+    errors, f, _ = sarimax.innovations(np.array(theta)[:, None], data, np.array([n]), shape)
+    assert errors[:, 0, 0] == pytest.approx(wanted[k:], rel=1e-3, abs=1e-3)
+    assert f[shape.r :, 0] == pytest.approx(wanted_f[shape.k_states :], rel=1e-4)
 
 
 def test_fit_is_a_peak_of_the_joint_likelihood():
@@ -74,9 +92,7 @@ def test_fit_is_a_peak_of_the_joint_likelihood():
 
     def llf(params):
         z = y - params[0] * x[0] - params[1] * x[1]
-        cov = joint_normal(params[2:4], len(y), shape)
-        root = np.linalg.cholesky(cov)
-        v, f = np.linalg.solve(root, z) * np.diag(root), np.diag(root) ** 2
+        v, f = one_step(params[2:4], z, shape)
         v, f = v[shape.k_states :], f[shape.k_states :] * params[4]
         return -0.5 * (np.log(2 * np.pi * f) + v**2 / f).sum()
 
@@ -147,30 +163,11 @@ def test_short_constant_and_collinear_series_do_not_stop_a_batch():
     assert len(fits) == 4
 
 
-def test_forecast_of_ar1_and_of_a_random_walk_by_hand():
-    one = sarimax.forecast_batch(
-        (1, 0, 0), (0, 0, 0, 0), [np.array([0.5, 1.0])], [np.array([4.0])], [np.zeros(0)], [[np.zeros(3)]]
-    )[0]
-    assert one == pytest.approx([4.0, 2.0, 1.0])
-    walk = sarimax.forecast_batch(
-        (0, 1, 0), (0, 0, 0, 0), [np.array([2.0, 1.0])], [np.array([0.0])], [np.array([10.0])],
-        [[np.array([1.0, 2.0])]],
-    )[0]
-    assert walk == pytest.approx([12.0, 14.0])
-
-
-def test_forecast_continues_the_recursion():
-    """One step ahead of a prefix equals the filter's own expectation of the next day."""
+def test_residuals_are_the_one_step_errors_of_every_day():
     y, x = simulate(*WEEKLY, [0.5, -0.4, 0.3, -0.6], 80, 4, (1.0,))
-    fit = sarimax.fit_batch([y[:-1]], [[x[0][:-1]]], *WEEKLY)[0]
-    ahead = sarimax.forecast_batch(
-        *WEEKLY, [fit["params"]], [fit["state"]], [fit["tail"]], [[x[0][-1:]]]
-    )[0]
-    shape = Shape.of(*WEEKLY)
-    z = y - fit["params"][0] * x[0]
-    errors, _ = sarimax.full_filter(fit["params"][1:5][:, None], z[:, None], shape)
-    assert y[-1] - ahead[0] == pytest.approx(errors[-1, 0], abs=1e-3)
-    assert fit["resid"] == pytest.approx(errors[:-1, 0], rel=1e-3, abs=1e-3)
+    fit = sarimax.fit_batch([y], [x], *WEEKLY)[0]
+    wanted = one_step(fit["params"][1:5], y - fit["params"][0] * x[0], Shape.of(*WEEKLY))[0]
+    assert fit["resid"] == pytest.approx(wanted, rel=1e-3, abs=1e-3)
 
 
 # the same through Spark
@@ -231,6 +228,26 @@ def test_gate():
     assert [r.aic_gain for r in frame.filter(models.passes_gate(1.0)).collect()] == [1.0]
 
 
+@pytest.mark.parametrize("order, seasonal", [SHORT, WEEKLY, ((2, 0, 1), (0, 0, 0, 0)), ((0, 1, 0), (0, 1, 0, 7))])
+def test_forecasts_are_conditional_means(spark, order, seasonal):
+    """Forecasts equal the means of the next days in the joint normal, given the days seen."""
+    shape, n, steps = Shape.of(order, seasonal), 60, 12
+    theta = [0.5, 0.2, -0.4, -0.6][: shape.n_arma]
+    y, x = simulate(order, seasonal, theta, n + steps, 8, (1.0, -1.0))
+    fit = sarimax.fit_batch([y[:n]], [[c[:n] for c in x]], order, seasonal)[0]
+    row = [v.tolist() if isinstance(v, np.ndarray) else v for v in (fit["params"], fit["recursion"], fit["recent"], fit["shocks"])]
+    frame = spark.createDataFrame(
+        [(*row, [c[n:].tolist() for c in x])],
+        "params array<double>, recursion array<double>, recent array<double>, shocks array<double>, future array<array<double>>",
+    )
+    found = frame.select(models.forecast_sarimax("", F.col("future"), F.lit(steps)).alias("f")).first().f
+    beta, arma = fit["params"][:2], fit["params"][2 : 2 + shape.n_arma]
+    cov = joint_normal(arma, n + steps, shape)
+    seen = y[:n] - beta[0] * x[0][:n] - beta[1] * x[1][:n]
+    wanted = cov[n:, :n] @ np.linalg.solve(cov[:n, :n], seen) + beta[0] * x[0][n:] + beta[1] * x[1][n:]
+    assert found == pytest.approx(wanted, rel=1e-3, abs=1e-2)
+
+
 def test_residual_rows_carry_the_burn_in(lengths):
     fits = models.train(lengths.filter("k = 'n60'"), ["k"], "date", "y", ["x1", "x2"])
     rows = models.residuals(fits, ["k"]).orderBy("date").collect()

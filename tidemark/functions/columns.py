@@ -26,6 +26,31 @@ def gaussian_aic(n: Column, sigma2: Column, n_params: int) -> Column:
     return n * (F.ln(sigma2 * (2 * math.pi)) + 1) + 2 * n_params
 
 
+def regression_part(params: Column, future: Column, steps: Column) -> Column:
+    """Sum of regressors times their coefficients, the first entries of ``params``, per step."""
+    weighted = F.zip_with(
+        F.slice(params, F.lit(1), F.size(future)), future, lambda b, x: F.transform(x, lambda v: b * v)
+    )
+    return F.aggregate(
+        weighted,
+        F.array_repeat(F.lit(0.0), steps),
+        lambda acc, column: F.zip_with(acc, column, lambda a, b: a + b),
+    )
+
+
+def continue_series(recursion: Column, recent: Column, shocks: Column, steps: Column) -> Column:
+    """The next ``steps`` values of z_t = sum of recursion_i z_{t-i} + shock terms."""
+
+    def next_value(known: Column, h: Column) -> Column:
+        past = F.slice(known, F.lit(1), F.size(recursion))
+        value = total(F.zip_with(recursion, past, lambda c, z: c * z))
+        return F.concat(F.array(value + F.coalesce(F.get(shocks, h - 1), F.lit(0.0))), known)
+
+    return F.aggregate(
+        F.sequence(F.lit(1), steps), recent, next_value, lambda known: F.reverse(F.slice(known, F.lit(1), steps))
+    )
+
+
 def autocorrelation_bands(acf: Column, n_obs: Column) -> Column:
     """Half-width of the 95 % band at each lag, were all later correlations zero."""
 

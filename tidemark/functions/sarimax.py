@@ -117,27 +117,42 @@ def _step(phi: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _after_differencing(phi, load, head, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+def _differencing_levels(shape: Shape) -> np.ndarray:
+    """What each differencing state alone puts into the first ``k_diff`` rows (row, state).
+
+    The states are, before the first row: the value and its differences up to d - 1, then
+    for every seasonal difference the last s values of what is still to be summed.
+    """
+    d, s, k = shape.d, shape.s, shape.k_diff
+    ends = [d + (b + 1) * s - 1 for b in range(shape.D)]
+    design = np.zeros(k)
+    design[:d] = design[ends] = 1.0
+    move = np.zeros((k, k))
+    for i in range(d):
+        move[i, i:d] = move[i, ends] = 1.0
+    for b in range(shape.D):
+        move[d + b * s, ends[b:]] = 1.0
+        for j in range(1, s):
+            move[d + b * s + j, d + b * s + j - 1] = 1.0
+    rows, carry = [], np.eye(k)
+    for _ in range(k):
+        rows.append(design @ carry)
+        carry = move @ carry
+    return difference(np.array(rows).reshape(k, k), shape)
+
+
+def _after_differencing(phi, load, head, shape: Shape):
     """Mean (r, c, B) and covariance (r, r, B) of the ARMA states once differences begin.
 
     The first ``k_diff`` rows are sums of differencing states and ARMA states, all diffuse
     alike, so they say something about the latter; this is their joint normal, conditioned
-    on ``head`` (k_diff, c, B).
+    on ``head`` (k_diff, c, B), whose own covariance (B, k_diff, k_diff) comes third.
     """
     r, batch = phi.shape
     k = shape.k_diff
     power = np.repeat(np.eye(r)[:, :, None], batch, axis=2)  # companion matrix to the t
     if not k:
-        return np.zeros((r, head.shape[1], batch)), KAPPA * power
-    # what the differencing states alone put into each row of head
-    level = np.zeros((k, k))
-    carry = np.eye(k)
-    design, move, _ = _full_system(np.zeros((shape.n_arma, 1)), shape)
-    for t in range(k):
-        level[t] = design[:k] @ carry
-        carry = move[0, :k, :k] @ carry
-    level = difference(level, shape)
-
+        return np.zeros((r, head.shape[1], batch)), KAPPA * power, np.zeros((batch, 0, 0))
     rows, effect = np.empty((k, r, batch)), [load]
     for t in range(k):
         rows[t] = power[0]
@@ -149,15 +164,24 @@ def _after_differencing(phi, load, head, shape: Shape) -> tuple[np.ndarray, np.n
             shocks[t, m - 1] = effect[t - m][0]
     onto = np.stack([effect[k - m] for m in range(1, k + 1)], axis=1)  # state by shock
 
-    both = np.concatenate([rows, power])
-    noise = np.concatenate([shocks, onto])
-    both, noise = both.transpose(2, 0, 1), noise.transpose(2, 0, 1)
+    both = np.concatenate([rows, power]).transpose(2, 0, 1)
+    noise = np.concatenate([shocks, onto]).transpose(2, 0, 1)
     joint = KAPPA * (both @ both.transpose(0, 2, 1)) + noise @ noise.transpose(0, 2, 1)
+    level = _differencing_levels(shape)
     joint[:, :k, :k] += KAPPA * (level @ level.T)
     weights = np.linalg.solve(joint[:, :k, :k], joint[:, :k, k:])
     mean = np.einsum("bkr,kcb->rcb", weights, head)
     cov = joint[:, k:, k:] - joint[:, k:, :k] @ weights
-    return mean, np.ascontiguousarray(cov.transpose(1, 2, 0))
+    return mean, np.ascontiguousarray(cov.transpose(1, 2, 0)), joint[:, :k, :k]
+
+
+def _head_errors(cov: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """One-step errors of ``head`` (k, B), given its covariance (B, k, k)."""
+    errors = head.copy()
+    for t in range(1, len(head)):
+        weights = np.linalg.solve(cov[:, :t, :t], cov[:, :t, t, None])[:, :, 0]
+        errors[t] -= np.einsum("bk,kb->b", weights, head[:t])
+    return errors
 
 
 def innovations(theta: np.ndarray, data: np.ndarray, lengths: np.ndarray, shape: Shape):
@@ -169,7 +193,7 @@ def innovations(theta: np.ndarray, data: np.ndarray, lengths: np.ndarray, shape:
     """
     phi, load = _coefficients(theta, shape)
     shock = load[:, None] * load[None]
-    state, cov = _after_differencing(phi, load, data[: shape.k_diff], shape)
+    state, cov, _ = _after_differencing(phi, load, data[: shape.k_diff], shape)
     body = data[shape.k_diff :]
     errors = np.empty_like(body)
     variances = np.empty((len(body), body.shape[2]))
@@ -371,55 +395,6 @@ def _stack(series: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _full_system(theta: np.ndarray, shape: Shape):
-    """Design (K,), transition (B, K, K) and loadings (B, K) with the differencing states."""
-    d, D, s, kd, K = shape.d, shape.D, shape.s, shape.k_diff, shape.k_states
-    phi, load = _coefficients(theta, shape)
-    ends = [d + (b + 1) * s - 1 for b in range(D)]
-    design = np.zeros(K)
-    design[:d] = 1.0
-    design[ends] = 1.0
-    design[kd] = 1.0
-    move = np.zeros((theta.shape[1], K, K))
-    for i in range(d):
-        move[:, i, i:d] = 1.0
-        move[:, i, ends + [kd]] = 1.0
-    for b in range(D):
-        first = d + b * s
-        move[:, first, ends[b:] + [kd]] = 1.0
-        for j in range(1, s):
-            move[:, first + j, first + j - 1] = 1.0
-    move[:, kd:, kd] = phi.T
-    for j in range(shape.r - 1):
-        move[:, kd + j, kd + j + 1] = 1.0
-    loads = np.zeros((theta.shape[1], K))
-    loads[:, kd:] = load.T
-    return design, move, loads
-
-
-def full_filter(theta: np.ndarray, z: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """One-step errors and variances of ``z`` (T, B) from the undifferenced state space.
-
-    Used for the first ``k_diff`` rows, where differences are not yet to be had.
-    """
-    design, move, loads = _full_system(theta, shape)
-    batch = z.shape[1]
-    state = np.zeros((batch, shape.k_states))
-    cov = np.repeat((KAPPA * np.eye(shape.k_states))[None], batch, axis=0)
-    shock = loads[:, :, None] * loads[:, None]
-    errors = np.empty_like(z)
-    variances = np.empty_like(z)
-    for t in range(len(z)):
-        errors[t] = z[t] - state @ design
-        cross = cov @ design
-        variances[t] = cross @ design
-        gain = cross / variances[t][:, None]
-        state = np.einsum("bij,bj->bi", move, state + gain * errors[t][:, None])
-        cov = cov - gain[:, :, None] * cross[:, None]
-        cov = move @ cov @ move.transpose(0, 2, 1) + shock
-    return errors, variances
-
-
 def fit_batch(
     y: list[np.ndarray],
     x: list[list[np.ndarray]],
@@ -473,7 +448,11 @@ def _fit_chunk(y, x, shape: Shape, burn: int) -> list[dict]:
     z = data[:, 0] - np.einsum("tib,ib->tb", data[:, 1:], beta)
     state = (fit.final[:, 0] - np.einsum("rib,ib->rb", fit.final[:, 1:], fit.beta)) * scale[0]
     errors = (fit.errors[:, 0] - np.einsum("tib,ib->tb", fit.errors[:, 1:], fit.beta)) * scale[0]
-    early, _ = full_filter(theta, z[: shape.k_diff], shape)
+    changes = difference(z, shape)
+    phi, load = _coefficients(theta, shape)
+    head = changes[: shape.k_diff]
+    early = _head_errors(_after_differencing(phi, load, head[:, None], shape)[2], head)
+    recursion, recent, shocks = _continuation(phi, state, z, changes, lengths, shape)
 
     results = []
     for i, n in enumerate(lengths):
@@ -488,8 +467,9 @@ def _fit_chunk(y, x, shape: Shape, burn: int) -> list[dict]:
                 "aic": aic[i],
                 "n_eff": int(n_eff[i]),
                 "converged": bool(settled[i]),
-                "state": state[:, i],
-                "tail": z[n - shape.k_diff : n, i],
+                "recursion": recursion[:, i],
+                "recent": recent[:, i],
+                "shocks": shocks[:, i],
                 "resid": np.r_[early[:, i], errors[: n - shape.k_diff, i]],
                 "burn_in": shape.k_states,
             }
@@ -497,43 +477,26 @@ def _fit_chunk(y, x, shape: Shape, burn: int) -> list[dict]:
     return results
 
 
-def _no_fit(n: int, burn: int) -> dict:
-    return {
-        "params": None, "sigma2": None, "llf": None, "aic": None,
-        "n_eff": max(int(n) - burn, 0), "converged": False,
-        "state": None, "tail": None, "resid": None, "burn_in": burn,
-    }
+def _continuation(phi, state, z, changes, lengths, shape: Shape):
+    """What carries the series on: z_t = sum of recursion_i z_{t-i} + the shocks still at work.
 
+    Returns the coefficients and the newest values, (r + k_diff, B), newest first, and the
+    expected shock terms of the next r days, (r, B).
+    """
+    r, k = len(phi), shape.k_states
+    poly = np.concatenate([np.ones((1, phi.shape[1])), -phi])
+    joint = np.zeros((k + 1, phi.shape[1]))
+    for j, c in enumerate(shape.delta):
+        joint[j : j + r + 1] += c * poly
+    back = np.maximum(lengths - 1 - np.arange(k)[:, None], 0)
+    recent = np.take_along_axis(z, back, axis=0)
+    newest = np.take_along_axis(changes, back[:r], axis=0)
+    shocks = np.stack([state[h] - (phi[h:] * newest[: r - h]).sum(axis=0) for h in range(r)])
+    return -joint[1:], recent, shocks
 
-def forecast_batch(
-    order, seasonal, params: list[np.ndarray], state: list[np.ndarray],
-    tail: list[np.ndarray], x: list[list[np.ndarray]],
-) -> list[np.ndarray]:
-    """Continue every series for as many steps as it has future regressor rows.
 
-    ``x`` holds one array per regressor; without regressors it holds a single array whose
-    length alone counts.
-    """
-    shape = Shape.of(order, seasonal)
-    values = np.stack(params, axis=1)
-    n_exog = len(values) - shape.n_arma - 1
-    beta, theta = values[:n_exog], values[n_exog : n_exog + shape.n_arma]
-    phi, _ = _coefficients(theta, shape)
-    now = np.stack(state, axis=1)
-    past = np.stack(tail, axis=1)[::-1]  # newest first
-    lengths = [len(v[0]) for v in x]
-    future = np.zeros((max(lengths), len(x)))
-    for i, columns in enumerate(x):
-        for j in range(n_exog):
-            future[: lengths[i], i] += beta[j, i] * columns[j]
-    undo = -shape.delta[1:, None]
-    out = np.empty_like(future)
-    for h in range(len(future)):
-        level = now[0] + (undo * past).sum(axis=0)
-        following = phi * now[0]
-        following[:-1] += now[1:]
-        now = following
-        if shape.k_diff:
-            past = np.concatenate([level[None], past[:-1]])
-        out[h] = level + future[h]
-    return [out[:n, i] for i, n in enumerate(lengths)]
+def _no_fit(n: int, burn: int) -> dict:
+    empty = dict.fromkeys(
+        ("params", "sigma2", "llf", "aic", "recursion", "recent", "shocks", "resid")
+    )
+    return empty | {"n_eff": max(int(n) - burn, 0), "converged": False, "burn_in": burn}

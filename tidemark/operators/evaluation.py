@@ -75,10 +75,8 @@ def holdout_forecasts(
         fitted = parts.withColumns({"order": chosen, "seasonal_order": chosen_seasonal}).withColumn(
             "_fit", fit_when(enough, "y", "x", F.lit(0))
         )
-        future = F.col("future") if exog else F.array(F.transform("actual", lambda _: F.lit(0.0)))
         done = fitted.withColumn(
-            "forecast",
-            forecast_sarimax("order", "seasonal_order", "_fit.params", "_fit.state", "_fit.tail", future),
+            "forecast", forecast_sarimax("_fit.", F.col("future"), F.size("actual"))
         ).withColumn(
             "status", F.when(enough & F.col("forecast").isNull(), "failed").otherwise(F.col("status"))
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .daily import by_date, complete_cases
@@ -30,7 +30,7 @@ def recent_regressors(
     exog: Sequence[str],
     horizon: int,
 ) -> DataFrame:
-    """One row per model with ``future``: the regressors of the last days it was trained on.
+    """One row per model with ``future``, the regressors of the last days it was trained on.
 
     The newest ``horizon`` days up to the model's ``train_end`` on which no regressor is
     missing stand in for the days to come; a short series gives fewer steps.
@@ -62,23 +62,22 @@ def recent_regressors(
 
 
 def _with_future(df: DataFrame, series_keys: Sequence[str], held: Sequence[str], n_exog: int) -> DataFrame:
-    # without regressors only the number of days counts
-    future = regressors("_days", n_exog) if n_exog else F.array(F.transform("_days", lambda _: F.lit(0.0)))
-    return df.select(*series_keys, *held, future.alias("future"))
+    return df.select(
+        *series_keys, *held, regressors("_days", n_exog).alias("future"), F.size("_days").alias("steps")
+    )
 
 
 def forecast(
-    df: DataFrame, series_keys: Sequence[str], target: str, extra: Sequence[str | Column] = ()
+    df: DataFrame, series_keys: Sequence[str], target: str, extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows (horizon_step, forecast_<target>) for rows that hold a model and its ``future``."""
-    values = forecast_sarimax("order", "seasonal_order", "params", "state", "tail", "future")
-    steps = df.withColumn("_values", values).select(
-        *series_keys, *extra, F.posexplode("_values").alias("_step", f"forecast_{target}")
-    )
-    kept = [c for c in steps.columns if c not in ("_step", f"forecast_{target}")]
+    """Rows (horizon_step, forecast_<target>) for rows of ``recent_regressors``."""
+    values = forecast_sarimax("", F.col("future"), F.col("steps"))
+    steps = df.select(*series_keys, *extra, F.posexplode(values).alias("_step", "_value"))
     return steps.select(
-        *kept, (F.col("_step") + 1).cast("bigint").alias("horizon_step"), f"forecast_{target}"
-    )
+        *series_keys, *extra,
+        (F.col("_step") + 1).cast("bigint").alias("horizon_step"),
+        F.col("_value").alias(f"forecast_{target}"),
+    )
 
 
 def scoring_log_rows(

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Order, SeasonalOrder
-from ..functions.columns import gaussian_aic
-from ..functions.sarimax import Shape, fit_batch, forecast_batch
+from ..functions.columns import continue_series, gaussian_aic, regression_part
+from ..functions.sarimax import Shape, fit_batch
 from .daily import by_date, complete_cases, spread_by_series
 
 SEASONAL_FROM = 30
@@ -32,8 +32,9 @@ FIT_TYPE = (
     .add("aic", T.DoubleType())
     .add("n_eff", T.LongType())
     .add("converged", T.BooleanType())
-    .add("state", _DOUBLES)
-    .add("tail", _DOUBLES)
+    .add("recursion", _DOUBLES)
+    .add("recent", _DOUBLES)
+    .add("shocks", _DOUBLES)
     .add("resid", _DOUBLES)
     .add("burn_in", T.IntegerType())
 )
@@ -84,25 +85,17 @@ def _fit_sarimax(
 fit_sarimax = _fit_sarimax.asNondeterministic()
 
 
-@F.pandas_udf(_DOUBLES)
-def forecast_sarimax(
-    order: pd.Series, seasonal: pd.Series, params: pd.Series,
-    state: pd.Series, tail: pd.Series, x: pd.Series,
-) -> pd.Series:
-    out: list[np.ndarray | None] = [None] * len(order)
-    fitted = np.array([p is not None and v is not None for p, v in zip(params, x)], dtype=bool)
-    usable = np.flatnonzero(fitted)
-    if len(usable):
-        for shape_order, shape_seasonal, rows in _by_shape(order.iloc[usable], seasonal.iloc[usable]):
-            same = usable[rows]
-            steps = forecast_batch(
-                shape_order, shape_seasonal,
-                *([np.asarray(column.iloc[i], dtype=float) for i in same] for column in (params, state, tail)),
-                [[np.asarray(c, dtype=float) for c in x.iloc[i]] for i in same],
-            )
-            for i, values in zip(same, steps):
-                out[i] = values
-    return pd.Series(out)
+def forecast_sarimax(model: str, future: Column, steps: Column) -> Column:
+    """Array of forecasts by the model in the columns ``<model>params`` etc.; null without one.
+
+    ``future`` holds one array of ``steps`` values for each regressor.
+    """
+    params = F.col(f"{model}params")
+    carried = continue_series(
+        F.col(f"{model}recursion"), F.col(f"{model}recent"), F.col(f"{model}shocks"), steps
+    )
+    values = F.zip_with(carried, regression_part(params, future, steps), lambda z, b: z + b)
+    return F.when(params.isNotNull() & (steps > 0), values)
 
 
 def _lagged_pairs(
@@ -306,7 +299,7 @@ def search_orders(
         tried = tried.repartition(*series_keys, "order", "seasonal_order")
     return tried.withColumn("_fit", fit_when(F.lit(True), "y", "x", F.lit(burn))).select(
         *series_keys, "n_obs", "order", "seasonal_order",
-        *(f"_fit.{c}" for c in ("params", "sigma2", "aic", "n_eff", "converged", "state", "tail")),
+        *(f"_fit.{c}" for c in FIT_TYPE.names if c not in ("llf", "resid", "burn_in")),
     )
 
 

@@ -37,7 +37,7 @@ def deserialize_model(store: DataFrame, wanted: DataFrame, series_keys: Sequence
     return wanted.join(held, ["run_id", "model_id"])
 
 
-MODEL_STATE = ("params", "state", "tail", "train_end")
+MODEL_STATE = ("params", "recursion", "recent", "shocks", "train_end")
 
 
 def registry_rows(
