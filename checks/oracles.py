@@ -141,7 +141,41 @@ CLOSED_FORM = f"""{lagged(BY_TYPE, 'event_type', 'avg_value')},
            FROM w4 WHERE t > 9 GROUP BY 1)"""
 
 
+FLAG = "OVER (PARTITION BY l_returnflag ORDER BY date)"
+FLAG_DAYS = daily_lines("l_returnflag").replace(
+    "SELECT * FROM lineitem", "SELECT * REPLACE (l_returnflag = 'R' AS l_returnflag) FROM lineitem"
+)
+
 ORACLES: dict[str, str] = {
+    "order_search": f"""
+        WITH z AS (SELECT user_id, t, avg_value AS y, lag(avg_value) {USER} AS y1, dy, lag(dy) {USER} AS dy1
+                   FROM (SELECT d.*, v.avg_value FROM ({DIFFERENCES}) d
+                         JOIN ({BY_USER}) v ON v.user_id = d.user_id AND v.date = d.date)),
+        o AS (SELECT user_id, '1,0,0' AS o, 2 AS k, y, y1 AS x FROM z WHERE t > 2
+              UNION ALL SELECT user_id, '1,1,0', 2, dy, dy1 FROM z WHERE t > 2
+              UNION ALL SELECT user_id, '0,1,0', 1, dy, 0 FROM z WHERE t > 2),
+        c AS (SELECT user_id, o, coalesce(sum(x * y) / nullif(sum(x * x), 0), 0) AS c FROM o GROUP BY 1, 2),
+        a AS (SELECT user_id, o, count(*) AS n,
+                     count(*) * (ln(2 * pi() * sum((y - c * x) * (y - c * x)) / count(*)) + 1) + 2 * max(k) AS aic
+              FROM o JOIN c USING (user_id, o) GROUP BY 1, 2)
+        SELECT user_id, min(n) + 2 AS n_obs, count(*) AS n_fitted, min(n) AS n_eff,
+               min_by(o, aic) AS "order", {r('min(aic)', 5)} AS aic
+        FROM a GROUP BY 1""",
+    "closed_form_holdout": f"""
+        WITH d AS (SELECT l_returnflag, date, avg_quantity AS y, n_rows AS x, row_number() {FLAG} AS t,
+                          count(*) OVER (PARTITION BY l_returnflag) AS n,
+                          avg_quantity - lag(avg_quantity) {FLAG} AS dy, n_rows - lag(n_rows) {FLAG} AS dx
+                   FROM ({FLAG_DAYS})),
+        w AS (SELECT *, n - least(7, greatest(1, n // 5)) AS kept, dy - lag(dy, 7) {FLAG} AS ddy,
+                     dx - lag(dx, 7) {FLAG} AS ddx FROM d),
+        b AS (SELECT l_returnflag, sum(ddx * ddy) / sum(ddx * ddx) AS b FROM w WHERE t > 9 AND t <= kept GROUP BY 1),
+        z AS (SELECT w.*, b, y - b * x AS z FROM w JOIN b USING (l_returnflag))
+        SELECT f.l_returnflag, CAST(f.date AS VARCHAR) AS date, {r('f.y', 5)} AS actual_avg_quantity,
+               {r('f.b * f.x + week.z + last.z - before.z', 5)} AS forecast_avg_quantity, 'ok' AS status
+        FROM z f JOIN z week ON week.l_returnflag = f.l_returnflag AND week.t = f.t - 7
+        JOIN z last ON last.l_returnflag = f.l_returnflag AND last.t = f.kept
+        JOIN z before ON before.l_returnflag = f.l_returnflag AND before.t = f.kept - 7
+        WHERE f.t > f.kept""",
     "aic_gain_and_gate": f"""
         WITH {CLOSED_FORM},
         a AS (SELECT event_type, m.n_obs, w5.n_eff, b, m.n_eff * (ln(2 * pi() * m.sigma2) + 1) + 4 AS base,

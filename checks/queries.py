@@ -385,6 +385,17 @@ def auto_arima(spark, sf_dir):
     return best.select(*BY_TYPE, "n_obs", "n_fitted", F.array_join("order", ",").alias("order"), "aic")
 
 
+@query
+def order_search(spark, sf_dir):
+    """Least AIC among three orders that SQL can fit, all scored on the same days."""
+    series = daily.series_rows(daily_events(spark, sf_dir, *BY_USER), BY_USER, "date", VALUE)
+    none = (0, 0, 0, 0)
+    best = models.fit_auto_arima(series, BY_USER, [((1, 0, 0), none), ((1, 1, 0), none), ((0, 1, 0), none)])
+    return present(
+        best.select(*BY_USER, "n_obs", "n_fitted", "n_eff", F.array_join("order", ",").alias("order"), "aic"), 5
+    )
+
+
 # registry and inference
 
 
@@ -445,6 +456,17 @@ def ar1_holdout_metrics(spark, sf_dir):
     return present(evaluation.compute_metrics(days, "actual_avg_value", "forecast_avg_value", BY_USER))
 
 
+@query
+def closed_form_holdout(spark, sf_dir):
+    """Hold-out forecasts of a model that is a regression of differences."""
+    return present(
+        evaluation.holdout_forecasts(
+            daily_lines(spark, sf_dir, "l_returnflag").withColumnRenamed("n_rows", "n"),
+            ["l_returnflag"], "date", "avg_quantity", ["n"], (0, 1, 0), (0, 1, 0, 7),
+        ), 5
+    )
+
+
 @query
 def sarimax_holdout_metrics(spark, sf_dir):
     days = evaluation.holdout_forecasts(

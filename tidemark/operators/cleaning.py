@@ -41,13 +41,17 @@ def bad_timestamp(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def _report_columns(positive: Sequence[str], timestamps: Sequence[str], drop_nan: bool) -> list[Column]:
+def _report_columns(
+    df: DataFrame, positive: Sequence[str], timestamps: Sequence[str], drop_nan: bool
+) -> list[Column]:
     # coalesce: a null test is a failed test, as in a filter
     kept = F.coalesce(all_positive(positive, drop_nan), F.lit(False))
+    # dates and timestamps cannot be bad, so rows are not parsed a second time for them
+    doubtful = [c for c in timestamps if not df.schema[c].dataType.typeName().startswith(("timestamp", "date"))]
     return [
         F.count(F.lit(1)).alias("initial_rows"),
         F.count_if(kept).alias("clean_rows"),
-        F.count_if(kept & bad_timestamp(timestamps)).alias("bad_timestamps"),
+        F.count_if(kept & bad_timestamp(doubtful)).alias("bad_timestamps"),
     ]
 
 
@@ -59,7 +63,7 @@ def quality_report(
 ) -> DataFrame:
     """One row: rows before and after the rules, removed rows and their share (null if empty)."""
     removed = F.col("initial_rows") - F.col("clean_rows")
-    return df.agg(*_report_columns(positive, timestamps, drop_nan)).select(
+    return df.agg(*_report_columns(df, positive, timestamps, drop_nan)).select(
         "initial_rows",
         "clean_rows",
         removed.alias("removed_rows"),
@@ -83,7 +87,7 @@ def clean(
     written, so that the report costs no scan of its own.
     """
     if observation is not None:
-        df = df.observe(observation, *_report_columns(positive, timestamps, drop_nan))
+        df = df.observe(observation, *_report_columns(df, positive, timestamps, drop_nan))
     kept = positive_rows(df, positive, drop_nan)
     if flag is not None:
         kept = flag_to_boolean(kept, flag, flag_true)
