@@ -133,6 +133,15 @@ def test_models_without_regressors_forecast_the_whole_horizon(spark):
     assert inference.forecast(ready, ["k"], "y").count() == 3
 
 
+def test_a_series_with_a_null_key_is_forecast_too(spark):
+    days = _days(spark).unionByName(_days(spark).withColumn("k", F.lit(None).cast("string")))
+    stored = _stored(days, ["k"])
+    known = registry.deserialize_model(stored, _rows(stored, ["k"]).select("k", "run_id", "model_id", "order", "seasonal_order"))
+    ready = inference.recent_regressors(days, known, ["k"], "date", ["x1", "x2"], 3)
+    steps = inference.forecast(ready, ["k"], "y").collect()
+    assert len(steps) == 6 and {r.k for r in steps} == {"a", None}
+
+
 def test_join_without_keys_is_refused(spark):
     with pytest.raises(ValueError):
         inference.join_models(_days(spark), _days(spark), [])

@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,14 +14,15 @@ from .models import forecast_sarimax, regressors
 
 
 def join_models(rows: DataFrame, models: DataFrame, series_keys: Sequence[str]) -> DataFrame:
-    """Give every row the columns of its series' model.
+    """Give every row the columns of its series' model; a null key is a key like any other.
 
-    An equi-join on the series key; its strategy is left to adaptive execution, which knows
-    the sizes.
+    An equi-join whose strategy is left to adaptive execution, which knows the sizes.
     """
     if not series_keys:
         raise ValueError("a join without series keys would be a product of both sides")
-    return rows.join(models, list(series_keys))
+    named = {k: f"_model_{k}" for k in series_keys}
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(other)) for k, other in named.items()))
+    return rows.join(models.withColumnsRenamed(named), same).drop(*named.values())
 
 
 def recent_regressors(
