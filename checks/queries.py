@@ -83,7 +83,9 @@ def table_overwrite_and_append(spark, sf_dir):
     store.overwrite(days, name, replace_schema=True)
     store.append(features.add_calendar_features(days).drop(VALUE), name)
     added = ("day_of_week", "day_of_month", "week_of_year", "month", "quarter", "is_weekend")
-    return present(store.read(name).withColumns({c: F.col(c).cast("double") for c in added}))
+    rows = kept(store.read(name).withColumns({c: F.col(c).cast("double") for c in added}))
+    spark.sql(f"DROP TABLE {name}")
+    return present(rows)
 
 
 # projections and filters

@@ -156,11 +156,16 @@ def test_regression_without_arma_is_least_squares():
 
 def test_short_constant_and_collinear_series_do_not_stop_a_batch():
     flat, line = np.full(40, 3.0), np.arange(40.0)
-    ys = [np.zeros(0), np.arange(2.0), flat, np.sin(line)]
-    xs = [[y * 1.0, y * 1.0] for y in ys]
-    fits = sarimax.fit_batch(ys, xs, *SHORT)
-    assert [f["aic"] is None for f in fits[:2]] == [True, True]
-    assert len(fits) == 4
+    spiked, wild = np.sin(line), np.cos(line) * 1e300
+    spiked[7] = np.inf
+    good = np.sin(line) + np.random.default_rng(0).normal(size=40)
+    ys = [np.zeros(0), np.arange(2.0), flat, np.sin(line), spiked, wild, good]
+    xs = [[y * 1.0, y * 1.0] for y in ys[:-1]] + [[line, flat]]
+    for order, seasonal in (SHORT, WEEKLY):
+        fits = sarimax.fit_batch(ys, xs, order, seasonal)
+        assert [f["aic"] is None for f in fits[:2]] == [True, True] and fits[4]["aic"] is None
+        alone = sarimax.fit_batch(ys[-1:], xs[-1:], order, seasonal)[0]
+        assert fits[-1]["aic"] == pytest.approx(alone["aic"], abs=1e-4)
 
 
 def test_residuals_are_the_one_step_errors_of_every_day():
@@ -267,6 +272,14 @@ def test_search_finds_the_best_of_all_candidates(spark):
             assert r.aic == pytest.approx(min(t.aic for t in tried if t.k == r.k))
 
 
+def test_search_keeps_series_that_no_candidate_fits(lengths):
+    from tidemark.operators.daily import series_rows
+
+    best = models.fit_auto_arima(series_rows(lengths, ["k"], "date", "y", ["x1"]), ["k"]).collect()
+    assert len(best) == 7
+    assert {r.k for r in best if r.aic is None} >= {"n1"} and {r.k for r in best if r.aic is not None} >= {"n60"}
+
+
 def test_partial_autocorrelations_equal_yule_walker(spark, lengths):
     rows = diagnostics.pacf(lengths.filter("k = 'n60'"), "y", ["k"]).orderBy("lag").collect()
     acf = [r.acf for r in diagnostics.acf(lengths.filter("k = 'n60'"), "y", ["k"]).orderBy("lag").collect()]

@@ -234,22 +234,21 @@ class _Profile(NamedTuple):
 def _profile(theta, data, lengths, use, n_eff, shape: Shape) -> _Profile:
     """Concentrate b and the shock variance out of the likelihood at ``theta`` (m, B)."""
     errors, variances, final = innovations(theta, data, lengths, shape)
-    with np.errstate(all="ignore"):
-        weight = np.where(use, 1.0 / np.sqrt(variances), 0.0)
-        resid = errors[:, 0] * weight
-        columns = data.shape[1]
-        beta = np.zeros((columns - 1, theta.shape[1]))
-        if columns > 1:
-            x = errors[:, 1:] * weight[:, None]
-            gram = np.einsum("tib,tjb->bij", x, x)
-            moment = np.einsum("tib,tb->bi", x, resid)
-            gram[~np.isfinite(gram)] = 0.0
-            inverse = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
-            beta = np.einsum("bij,bj->ib", inverse, moment)
-            resid = resid - np.einsum("tib,ib->tb", x, beta)
-        log_f = np.where(use, np.log(variances), 0.0).sum(axis=0)
-        sse = (resid**2).sum(axis=0)
-        objective = sse * np.exp(log_f / np.maximum(n_eff, 1))
+    weight = np.where(use, 1.0 / np.sqrt(variances), 0.0)
+    resid = errors[:, 0] * weight
+    columns = data.shape[1]
+    beta = np.zeros((columns - 1, theta.shape[1]))
+    if columns > 1:
+        x = errors[:, 1:] * weight[:, None]
+        gram = np.einsum("tib,tjb->bij", x, x)
+        moment = np.einsum("tib,tb->bi", x, resid)
+        gram[~np.isfinite(gram)] = 0.0
+        inverse = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+        beta = np.einsum("bij,bj->ib", inverse, moment)
+        resid = resid - np.einsum("tib,ib->tb", x, beta)
+    log_f = np.where(use, np.log(variances), 0.0).sum(axis=0)
+    sse = (resid**2).sum(axis=0)
+    objective = sse * np.exp(log_f / np.maximum(n_eff, 1))
     objective = np.where(np.isfinite(objective), objective, np.inf)
     return _Profile(objective, beta, sse, log_f, errors, final)
 
@@ -339,8 +338,7 @@ def _newton(theta, data, lengths, use, n_eff, shape: Shape):
             np.tile(n_eff[which], k),
             shape,
         )
-        with np.errstate(all="ignore"):
-            return np.log(fits.objective).reshape(k, -1)
+        return np.log(fits.objective).reshape(k, -1)
 
     h = 3e-4
     unit = np.eye(m)
@@ -351,10 +349,9 @@ def _newton(theta, data, lengths, use, n_eff, shape: Shape):
         f = values(at[None] + nudges, which)
         up, down, mixed = f[1 : m + 1], f[m + 1 : 2 * m + 1], f[2 * m + 1 :]
         curve = np.zeros((f.shape[1], m, m))
-        with np.errstate(all="ignore"):
-            slope = ((up - down) / (2 * h)).T
-            curve[:, range(m), range(m)] = ((up + down - 2 * f[0]) / h**2).T
-            curve[:, i, j] = curve[:, j, i] = ((mixed - up[i] - up[j] + f[0]) / h**2).T
+        slope = ((up - down) / (2 * h)).T
+        curve[:, range(m), range(m)] = ((up + down - 2 * f[0]) / h**2).T
+        curve[:, i, j] = curve[:, j, i] = ((mixed - up[i] - up[j] + f[0]) / h**2).T
         return f[0], slope, curve
 
     active = np.arange(batch)
@@ -417,8 +414,11 @@ def fit_batch(
         per_series = (1 + shape.n_arma) * (2 + shape.n_arma) * (longest * columns + shape.r**2)
         size = max(1, CELLS_PER_CHUNK // per_series)
         chunk, queue = queue[-size:], queue[:-size]
-        for i, result in zip(chunk, _fit_chunk([y[i] for i in chunk], [x[i] for i in chunk], shape, burn)):
-            out[i] = result
+        # what is not finite ends as a series without a fit
+        with np.errstate(all="ignore"):
+            fits = _fit_chunk([y[i] for i in chunk], [x[i] for i in chunk], shape, burn)
+        for i, fit in zip(chunk, fits):
+            out[i] = fit
     return out
 
 
@@ -441,10 +441,9 @@ def _fit_chunk(y, x, shape: Shape, burn: int) -> list[dict]:
     fit = _profile(theta, work, lengths, use, n_eff, shape)
 
     beta = fit.beta * scale[0] / scale[1:]
-    with np.errstate(all="ignore"):
-        sigma2 = fit.sse / n_eff * scale[0] ** 2
-        llf = -0.5 * (n_eff * (np.log(2 * np.pi * sigma2) + 1) + fit.log_f)
-        aic = 2 * n_params - 2 * llf
+    sigma2 = fit.sse / n_eff * scale[0] ** 2
+    llf = -0.5 * (n_eff * (np.log(2 * np.pi * sigma2) + 1) + fit.log_f)
+    aic = 2 * n_params - 2 * llf
     z = data[:, 0] - np.einsum("tib,ib->tb", data[:, 1:], beta)
     state = (fit.final[:, 0] - np.einsum("rib,ib->rb", fit.final[:, 1:], fit.beta)) * scale[0]
     errors = (fit.errors[:, 0] - np.einsum("tib,ib->tb", fit.errors[:, 1:], fit.beta)) * scale[0]
