@@ -186,6 +186,16 @@ ORACLES: dict[str, str] = {
                base - cand >= 1 AS registered, CAST(first_day AS VARCHAR) AS train_start,
                CAST(last_day AS VARCHAR) AS train_end
         FROM a JOIN s USING (event_type)""",
+    "aic_gain_on_common_days": f"""
+        WITH {CLOSED_FORM},
+        q AS (SELECT event_type, y, CASE WHEN t > 9 THEN prev END AS x FROM p),
+        g AS (SELECT event_type, sum(x * y) / sum(x * x) AS c FROM q GROUP BY 1),
+        a AS (SELECT event_type, count(x) AS n, max(c) AS phi,
+                     count(x) * (ln(2 * pi() * sum((y - c * x) * (y - c * x)) / count(x)) + 1) + 4 AS base
+              FROM q JOIN g USING (event_type) GROUP BY 1)
+        SELECT event_type, n AS n_eff_baseline, w5.n_eff, {r('a.phi')} AS phi, {r('base')} AS train_aic_baseline,
+               {r('base - (w5.n_eff * (ln(2 * pi() * w5.sigma2) + 1) + 4)')} AS aic_gain
+        FROM a JOIN w5 USING (event_type)""",
     "closed_form_residuals": f"""
         WITH {CLOSED_FORM} SELECT event_type, {DAY}, {r('residual')} AS residual FROM w4 WHERE t > 9""",
     "closed_form_forecast": f"""

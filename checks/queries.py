@@ -333,10 +333,12 @@ def aic_gate(spark, sf_dir):
     return fits.select(*BY_TYPE, "aic_gain", "status", models.passes_gate(1.0).alias("registered"))
 
 
-def _closed_form(spark, sf_dir):
+def _closed_form(spark, sf_dir, basis="own"):
     """Candidate (0,1,0)(0,1,0,7) with one regressor: a regression, so that SQL can follow."""
     days = daily_events(spark, sf_dir, *BY_TYPE)
-    return models.train(days, BY_TYPE, "date", VALUE, EXOG, (0, 1, 0), (0, 1, 0, 7))
+    return models.train(
+        days, BY_TYPE, "date", VALUE, EXOG, (0, 1, 0), (0, 1, 0, 7), aic_basis=basis
+    )
 
 
 @query
@@ -351,6 +353,17 @@ def aic_gain_and_gate(spark, sf_dir):
     )
 
 
+@query
+def aic_gain_on_common_days(spark, sf_dir):
+    fits = _closed_form(spark, sf_dir, "common")
+    return present(
+        fits.select(
+            *BY_TYPE, F.col("baseline.n_eff").alias("n_eff_baseline"), "n_eff",
+            F.col("baseline.phi").alias("phi"), F.col("baseline.aic").alias("train_aic_baseline"), "aic_gain",
+        )
+    )
+
+
 @query
 def closed_form_residuals(spark, sf_dir):
     rows = models.residuals(_closed_form(spark, sf_dir), BY_TYPE)
@@ -532,7 +545,8 @@ def feature_vectors(spark, sf_dir):
 
 @query
 def boosted_trees(spark, sf_dir):
-    rows = boosting.feature_vectors(daily_lines(spark, sf_dir), (), "date", "avg_price", ("avg_quantity", "n_rows"))
-    train, test = boosting.split_vectors(rows, (), "date", JobConfig().gbt_train_split)
+    """One model for the series of all users, tested on the newest fifth of each."""
+    rows = boosting.feature_vectors(daily_events(spark, sf_dir, *BY_USER), BY_USER, "date", VALUE, EXOG)
+    train, test = boosting.split_vectors(rows, BY_USER, "date", JobConfig().gbt_train_split)
     predicted = boosting.fit_gbt(train).transform(test)
-    return predicted.select("date", "label", "prediction")
+    return predicted.select(*BY_USER, "date", "label", "prediction")

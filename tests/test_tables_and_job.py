@@ -133,6 +133,18 @@ def test_one_pass_over_the_input_gives_the_same_days(spark, small):
     assert [v for d in days[0] for v in d[1:]] == pytest.approx([v for d in days[1] for v in d[1:]])
 
 
+def test_one_pass_reads_only_the_columns_it_needs(spark, small):
+    from tidemark.operators.daily import daily_features
+
+    cfg = _config("narrow", small, raw_mode="link", clean_mode="view")
+    job = ForecastJob(spark, cfg)
+    job.ingest_data()
+    days = daily_features(job.clean_data(), cfg.ts_col, dict(cfg.averages), cfg.count_col)
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema") :].split("\n")[0]
+    assert "l_extendedprice" in read and "l_orderkey" not in read and "l_linestatus" not in read
+
+
 def test_gate_leaves_the_registry_alone_and_inference_is_skipped(spark, small):
     cfg = _config("gated", small, min_aic_improvement=1e12)
     job = ForecastJob(spark, cfg)
