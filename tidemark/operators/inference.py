@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .daily import by_date, complete_cases
+from .daily import complete_cases
 from .models import forecast_sarimax, regressors
 
 
@@ -36,37 +36,32 @@ def recent_regressors(
     """One row per model with ``future``, the regressors of the last days it was trained on.
 
     The newest ``horizon`` days up to the model's ``train_end`` on which no regressor is
-    missing stand in for the days to come; a short series gives fewer steps.
+    missing stand in for the days to come; a short series gives fewer ``steps``.
+
+    Days and models meet in one aggregate by series rather than in a join: each side is
+    read once and shuffled once, a null key is a key like any other, and one series without
+    keys needs no product.
     """
-    days = complete_cases(daily, list(exog), date_col).select(
-        *series_keys, F.col(date_col).alias("_date"), *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(exog))
+    day = F.struct(
+        F.col(date_col).alias("date"),
+        *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(exog)),
     )
-    day = F.struct("_date", *(f"x{i}" for i in range(len(exog))))
     held = [c for c in models.columns if c not in series_keys]
-    if series_keys:
-        # days meet the narrow end date only; the wide model row joins what is left of them
-        ends = models.select(*series_keys, "train_end")
-        known = join_models(days, ends, series_keys).filter(F.col("_date") <= F.col("train_end"))
-        newest = F.row_number().over(by_date(series_keys, "_date", descending=True))
-        known = known.withColumn("_age", newest).filter(F.col("_age") <= horizon)
-        gathered = known.groupBy(*series_keys).agg(F.sort_array(F.collect_list(day)).alias("_days"))
-        gathered = join_models(gathered, models, series_keys)
-        return _with_future(gathered, series_keys, held, len(exog))
-    # one series, one model: both become one row of the same aggregate
-    both = days.select(day.alias("_day")).unionByName(models, allowMissingColumns=True)
-    gathered = both.agg(
-        *(F.first(c, ignorenulls=True).alias(c) for c in held),
+    days = complete_cases(daily, list(exog), date_col).select(*series_keys, day.alias("_day"))
+    rows = days.unionByName(
+        models.select(*series_keys, F.struct(*held).alias("_model")), allowMissingColumns=True
+    )
+    gathered = rows.groupBy(*series_keys).agg(
+        F.first("_model", ignorenulls=True).alias("_model"),
         F.sort_array(F.collect_list("_day")).alias("_days"),
-    ).filter(F.col("model_id").isNotNull())
-    seen = F.filter("_days", lambda d: d["_date"] <= F.col("train_end"))
-    start = F.greatest(F.size(seen) - horizon + 1, F.lit(1))
-    gathered = gathered.withColumn("_days", F.slice(seen, start, F.lit(horizon)))
-    return _with_future(gathered.filter(F.size("_days") > 0), (), held, len(exog))
-
-
-def _with_future(df: DataFrame, series_keys: Sequence[str], held: Sequence[str], n_exog: int) -> DataFrame:
-    return df.select(
-        *series_keys, *held, regressors("_days", n_exog).alias("future"), F.size("_days").alias("steps")
+    )
+    known = gathered.filter(F.col("_model").isNotNull()).select(*series_keys, "_model.*", "_days")
+    seen = F.filter("_days", lambda d: d["date"] <= F.col("train_end"))
+    recent = known.withColumn("_seen", seen).withColumn(
+        "_days", F.slice("_seen", F.greatest(F.size("_seen") - horizon + 1, F.lit(1)), F.lit(horizon))
+    )
+    return recent.select(
+        *series_keys, *held, regressors("_days", len(exog)).alias("future"), F.size("_days").alias("steps")
     )
 
 

@@ -31,8 +31,8 @@ def serialize_model(models: DataFrame, series_keys: Sequence[str], run_id: str)
     )
 
 
-def deserialize_model(store: DataFrame, wanted: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
-    """The stored fits named by the ``model_id`` of ``wanted``."""
+def deserialize_model(store: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Add what is needed to continue a series to the models that ``wanted`` names by run and id."""
     held = store.select("model_id", "run_id", *MODEL_STATE)
     return wanted.join(held, ["run_id", "model_id"])
 
@@ -118,8 +118,9 @@ def latest_models(
     scope: str = "series",
     model_name: str | None = None,
     target_series: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The newest staged model of each series and model name.
+    """The newest staged model of each series and model name, in all or some ``columns``.
 
     Inactive rows do not count and ties go to the greater model id.  ``scope="global"``
     asks for one row of the whole registry and looks at the stage alone.
@@ -134,7 +135,7 @@ def latest_models(
         staged = staged.filter(F.col("model_name") == model_name)
     if target_series is not None:
         staged = staged.filter(F.col("target_series") == target_series)
-    return latest_rows(staged, ("model_name", *series_keys), ("created_utc", "model_id"))
+    return latest_rows(staged, ("model_name", *series_keys), ("created_utc", "model_id"), columns)
 
 
 def run_log_rows(

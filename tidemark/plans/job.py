@@ -180,17 +180,12 @@ class ForecastJob:
             cfg.series_keys,
             model_name=cfg.model_name,
             target_series=cfg.daily_features_table,
+            columns=["run_id", "model_id", "model_version", "order", "seasonal_order"],
         )
         if newest.isEmpty():
             log.warning("no model in the registry; nothing to forecast")
             return None
-        known = registry.deserialize_model(
-            self.tables.read(cfg.model_store_table),
-            newest.select(
-                *cfg.series_keys, "run_id", "model_id", "model_name", "model_version",
-                "order", "seasonal_order",
-            ),
-        )
+        known = registry.deserialize_model(self.tables.read(cfg.model_store_table), newest)
         ready = inference.recent_regressors(
             self.tables.read(cfg.daily_features_table),
             known,
