@@ -147,14 +147,20 @@ def test_join_without_keys_is_refused(spark):
         inference.join_models(_days(spark), _days(spark), [])
 
 
-def test_holdout_statuses_and_metrics(spark):
+@pytest.mark.parametrize("model", ["sarimax", "ar1"])
+def test_holdout_statuses(spark, model):
     days = _days(spark, 40).unionByName(_days(spark, 1, "b")).unionByName(_days(spark, 11, "c"))
-    rows = evaluation.holdout_forecasts(days, ["k"], "date", "y", ["x1", "x2"]).collect()
+    rows = evaluation.holdout_forecasts(
+        days, ["k"], "date", "y", ["x1", "x2"] if model == "sarimax" else [], model=model
+    ).collect()
     by_key = {k: [r for r in rows if r.k == k] for k in "abc"}
     assert {k: len(v) for k, v in by_key.items()} == {"a": 7, "b": 1, "c": 2}
     assert {r.status for r in by_key["b"] + by_key["c"]} == {"too_short"}
     assert all(r.forecast_y is None for r in by_key["b"] + by_key["c"])
     assert all(r.forecast_y is not None and r.status == "ok" for r in by_key["a"])
+
+
+def test_metrics_leave_out_rows_without_a_forecast(spark):
     frame = spark.createDataFrame([(1.0, 2.0), (2.0, 5.0), (3.0, None)], "a double, f double")
     m = evaluation.compute_metrics(frame, "a", "f").first()
     assert (m.n, m.mae) == (2, 2.0) and m.rmse == pytest.approx(5**0.5)

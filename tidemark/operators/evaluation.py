@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Order, SeasonalOrder
 from .daily import length_status, series_rows
-from .features import holdout_length
+from .features import MAX_HOLDOUT, holdout_length
 from .models import ar1_forecast, choose_order, fit_when, forecast_sarimax
 
 
@@ -68,7 +68,7 @@ def holdout_forecasts(
     parts = split_series(series, series_keys, min_observations)
     enough = F.col("status") == "ok"
     if model == "ar1":
-        forecast = F.when(enough, ar1_forecast(F.col("_phi"), F.element_at("y", -1), 7))
+        forecast = F.when(enough, ar1_forecast(F.col("_phi"), F.try_element_at("y", F.lit(-1)), MAX_HOLDOUT))
         done = parts.withColumn("_phi", _ar1_slope("y")).withColumn("forecast", forecast)
     elif model == "sarimax":
         chosen, chosen_seasonal = choose_order(F.col("n_train"), order, seasonal)

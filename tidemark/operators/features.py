@@ -93,9 +93,13 @@ def add_rolling_features(
     return df.withColumns(added)
 
 
+# Fixed value: the longest hold-out in days.
+MAX_HOLDOUT = 7
+
+
 def holdout_length(n_obs: Column) -> Column:
     """A fifth of the series, at least 1 day and at most 7."""
-    return F.least(F.lit(7), F.greatest(F.lit(1), F.floor(n_obs / 5))).cast("int")
+    return F.least(F.lit(MAX_HOLDOUT), F.greatest(F.lit(1), F.floor(n_obs / 5))).cast("int")
 
 
 def train_test_split_ts(
