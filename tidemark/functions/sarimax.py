@@ -301,10 +301,8 @@ def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.n
         return np.zeros((0, batch)), np.ones(batch, dtype=bool)
     problem = (data, lengths, use, n_eff)
     starts = np.stack([_start(kinds, shape) for kinds in _STARTS])
-    tried = [
-        _profile(np.repeat(s[:, None], batch, axis=1), *problem, shape).objective for s in starts
-    ]
-    theta, settled, best = _newton(starts[np.argmin(tried, axis=0)].T, *problem, shape)
+    tried = _log_objective(np.repeat(starts[:, :, None], batch, axis=2), *problem, shape)
+    theta, settled, best = _newton(starts[tried.argmin(axis=0)].T, *problem, shape)
     mirrored = _invertible(theta, shape)
     moved = np.flatnonzero((mirrored != theta).any(axis=0))
     if len(moved):
@@ -317,6 +315,16 @@ def _minimise(data, lengths, use, n_eff, shape: Shape) -> tuple[np.ndarray, np.n
     return theta, settled
 
 
+def _log_objective(points, data, lengths, use, n_eff, shape: Shape) -> np.ndarray:
+    """Log objective of every series at each of ``points`` (k, m, B), in one run: (k, B)."""
+    k, m, batch = points.shape
+    fits = _profile(
+        points.transpose(1, 0, 2).reshape(m, k * batch),
+        np.tile(data, k), np.tile(lengths, k), np.tile(use, k), np.tile(n_eff, k), shape,
+    )
+    return np.log(fits.objective).reshape(k, batch)
+
+
 def _newton(theta, data, lengths, use, n_eff, shape: Shape):
     """Search from ``theta`` (m, B): where it ends, whether it settled, log objective there.
 
@@ -327,26 +335,14 @@ def _newton(theta, data, lengths, use, n_eff, shape: Shape):
     theta = theta.copy()
     m, batch = theta.shape
 
-    def values(points, which):
-        """Log objective at ``points`` (k, m, A) of the series ``which``: (k, A)."""
-        k = len(points)
-        fits = _profile(
-            points.transpose(1, 0, 2).reshape(m, -1),
-            np.tile(data[:, :, which], k),
-            np.tile(lengths[which], k),
-            np.tile(use[:, which], k),
-            np.tile(n_eff[which], k),
-            shape,
-        )
-        return np.log(fits.objective).reshape(k, -1)
-
     h = 3e-4
     unit = np.eye(m)
     i, j = np.triu_indices(m, 1)
     nudges = h * np.concatenate([np.zeros((1, m)), unit, -unit, unit[i] + unit[j]])[:, :, None]
 
     def surroundings(at, which):
-        f = values(at[None] + nudges, which)
+        part = (data[:, :, which], lengths[which], use[:, which], n_eff[which])
+        f = _log_objective(at[None] + nudges, *part, shape)
         up, down, mixed = f[1 : m + 1], f[m + 1 : 2 * m + 1], f[2 * m + 1 :]
         curve = np.zeros((f.shape[1], m, m))
         slope = ((up - down) / (2 * h)).T
