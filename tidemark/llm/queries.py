@@ -3,13 +3,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-from . import line_dedup, mixing, quality_rules
-from .common import read
+from . import line_dedup, mixing, quality_rules, sentencepieces, token_records
+from .common import read, scratch
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -17,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # texts may be long
         ship_package(spark)
         return fn(spark, sf_dir)
 
@@ -39,3 +44,23 @@ def op5_source_mixing(spark, sf_dir):
 def op6_quality_rules(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs, read(spark, sf_dir, "labels")).drop("lang")
+
+
+@query
+def op4_token_records(spark, sf_dir):
+    folder = scratch(spark)
+    index = token_records.write_records(read(spark, sf_dir, "documents"), folder, BYTE_BPE)
+    back = token_records.read_records(token_records.with_start(index), folder, ("doc_id", "start"))
+    return back.select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), token_records.ids_crc32().alias("ids_crc32"))
+
+
+@query
+def op9_sentencepiece(spark, sf_dir):
+    ids = sentencepieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    both = sentencepieces.decode(ids.drop("text"), PIECES)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
