@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-from . import line_dedup, mixing, quality_rules, sentencepieces, token_records
+from . import chat_format, line_dedup, mixing, quality_rules, sentencepieces, token_records
 from .common import read, scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,3 +64,18 @@ def op9_sentencepiece(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: A conversation whose texts look like the template.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op8_chat_format(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kinds = dict(rows.dtypes)
+    extra = spark.range(2).select(
+        F.lit(-7).cast(kinds["conv_id"]).alias("conv_id"), F.col("id").cast(kinds["turn"]).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat_format.digest_chats(chat_format.format_chats(rows.unionByName(extra)))
