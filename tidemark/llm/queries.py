@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-from . import chat_format, line_dedup, mixing, quality_rules, sentencepieces, token_records
+from . import chat_format, language_id, line_dedup, mixing, quality_rules, sentencepieces, token_records, toxicity
 from .common import read, scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,3 +79,15 @@ def op8_chat_format(spark, sf_dir):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"),
     )
     return chat_format.digest_chats(chat_format.format_chats(rows.unionByName(extra)))
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.Toxicity.fit(docs, read(spark, sf_dir, "labels")).score(docs).drop("text")
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.predict(docs.drop("lang"), language_id.fit(docs)).drop("text")
