@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-from . import chat_format, language_id, line_dedup, mixing, quality_rules, sentencepieces, token_records, toxicity
+from . import chat_format, embedding_dedup, language_id, line_dedup, mixing, quality_rules, sentencepieces, token_records, toxicity
 from .common import read, scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -91,3 +91,8 @@ def op7_toxicity(spark, sf_dir):
 def op10_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.predict(docs.drop("lang"), language_id.fit(docs)).drop("text")
+
+
+@query
+def op2_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.link_vectors(read(spark, sf_dir, "embeddings"))
