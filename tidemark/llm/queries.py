@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-from . import chat_format, embedding_dedup, language_id, line_dedup, mixing, quality_rules, sentencepieces, token_records, toxicity
+from . import chat_format, embedding_dedup, language_id, line_dedup, mixing, ngram_join, quality_rules, sentencepieces, token_records, toxicity
 from .common import read, scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -96,3 +96,8 @@ def op10_language_id(spark, sf_dir):
 @query
 def op2_embedding_dedup(spark, sf_dir):
     return embedding_dedup.link_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.join(read(spark, sf_dir, "documents"))
