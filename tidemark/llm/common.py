@@ -51,7 +51,7 @@ def let(value: Column, body) -> Column:
 
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     """Names a row by id and text. Rows that share both share a key, and so every decision."""
-    return F.md5(F.concat_ws("\u0001", F.coalesce(F.col(id_column).cast("string"), F.lit("null")), F.col(text_column).isNull().cast("string"), text_or_empty(text_column)))
+    return F.coalesce(F.unhex(F.md5(F.concat_ws("\u0001", F.coalesce(F.col(id_column).cast("string"), F.lit("null")), F.col(text_column).isNull().cast("string"), text_or_empty(text_column)))), F.lit(b""))
 
 
 def replacing(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

@@ -59,16 +59,18 @@ def unit_text(unit: Column) -> Column:
     return F.array_join(F.slice(F.col("_lines"), unit["first"] + 1, unit["lines"]), "\n")
 
 
-def repeated_lines(docs: DataFrame, window: int, divisor: int, min_lines: int, long_words: int) -> DataFrame:
+def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: int, divisor: int, min_lines: int, long_words: int) -> DataFrame:
     """``_key`` and ``_drop``, the array of line numbers to remove."""
-    split = docs.select("_key", "_id", F.split("_text", "\n", -1).alias("_lines"))
+    split = keyed.select("_key", F.col(id_column).alias("_id"), F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
     hashed = with_units(split, window, divisor, min_lines, long_words).select(
         "_key", F.explode(F.transform("_units", lambda u: F.struct(u["first"].alias("first"), u["lines"].alias("lines"), F.xxhash64(unit_text(u)).alias("h")))).alias("u")
     )
     hashed = hashed.select("_key", "u.*")
     often = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     listed = hashed.join(often, "h").groupBy("_key").agg(F.collect_set(F.struct("first", "lines", "h")).alias("_found"))
-    units = split.join(listed, "_key").select("_key", "_id", F.explode("_found").alias("u"), "_lines")
+    # the same exchange of texts by key serves here and where lines are dropped, if there are no further columns
+    found = keyed.select("_key", id_column, text_column).join(listed, "_key")
+    units = found.select("_key", F.col(id_column).alias("_id"), F.explode("_found").alias("u"), F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
     units = units.select("_key", "_id", "u.*", unit_text(F.col("u")).alias("unit"))
     place = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_key", "first")
     owners = units.groupBy("h", "unit").agg(F.min(place).alias("owner"), F.max(place).alias("last"))
@@ -80,10 +82,8 @@ def repeated_lines(docs: DataFrame, window: int, divisor: int, min_lines: int, l
 
 def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
     """The documents with their remaining text, n_lines and n_dropped."""
-    keyed = docs.withColumn("_key", row_key(id_column, text_column))
-    narrow = keyed.select("_key", F.col(id_column).alias("_id"), text_or_empty(text_column).alias("_text"))
-    narrow = narrow.where(F.col("_text") != "")
-    drops = repeated_lines(narrow, window, divisor, min_lines, long_words)
+    keyed = docs.select(row_key(id_column, text_column).alias("_key"), *docs.columns)
+    drops = repeated_lines(keyed, id_column, text_column, window, divisor, min_lines, long_words)
     wide = keyed.join(drops, "_key", "left").withColumn("_lines", F.split(text_or_empty(text_column), "\n", -1))
     kept = F.array_join(F.filter("_lines", lambda x, i: ~F.array_contains("_drop", i)), "\n")
     return replacing(
