@@ -95,12 +95,12 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     source = F.col(source_column).cast("string")
     places = settled(docs.select(source.alias("source"), words_in(text_column).alias("size"), place(id_column).alias("place")))
     found = thresholds(places, source_targets(places, weights, most)).select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "times", "below"
+        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("times").alias("_times"), F.col("below").alias("_below")
     )
     wide = docs.withColumns({"_size": words_in(text_column), "_place": place(id_column)})
     wide = wide.join(found, source.eqNullSafe(F.col("_source")))
-    copies = F.when(F.col("_size") > 0, F.col("times") + (F.col("_place") < F.col("below")).cast("long")).otherwise(F.lit(0)).cast("long")
+    copies = F.when(F.col("_size") > 0, F.col("_times") + (F.col("_place") < F.col("_below")).cast("long")).otherwise(F.lit(0)).cast("long")
     return replacing(
         wide,
         {"size": F.col("_size"), "source_size": F.col("_source_size"), "target": F.col("_target"), "copies": copies, "taken": F.col("_size") * copies},
-    ).drop("_size", "_place", "_source", "_source_size", "_target", "times", "below")
+    ).drop("_size", "_place", "_source", "_source_size", "_target", "_times", "_below")

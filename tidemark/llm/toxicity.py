@@ -40,7 +40,7 @@ SECOND_PERSON = frozenset(
     "you your yours yourself u ur tu toi te ton ta tes vous votre vos du dich dir dein deine euch euer ihr sie usted ustedes ti tus vosotros".split()
 )
 WORD = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"[^\W\d_]+(?:[*@$!#0-9.\-_]+[^\W\d_]+)+|[@$0-9!][^\W\d_]{2,}")
+DISGUISED = re.compile(r"[@$0-9!]?[^\W\d_]+(?:[*@$!#0-9.\-_]+[^\W\d_]+)+|[@$0-9!][^\W\d_]{2,}")
 SPACED = re.compile(r"\b(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b")
 PLAIN = str.maketrans("@$01345!7", "asoieasit")
 CAPITAL = re.compile("[A-ZÀ-ÖØ-Þ]")
