@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,9 @@ from .common import replacing
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Remembered units and pairs per worker; when full, the memory starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+#: Bits for the right one of a pair.
+PAIR = 24
 
 
 def units_of(pieces) -> re.Pattern:
@@ -76,13 +80,14 @@ class PrefixTable:
                 self.out.append(bytes([value]))
             elif piece.type == NORMAL:
                 self.score[piece.piece], self.id[piece.piece] = piece.score, i
-                automaton.add_word(piece.piece, (i, len(piece.piece)))
+                automaton.add_word(piece.piece, i)
                 self.out.append(piece.piece.replace(SPACE, " ").encode())
             else:
                 self.out.append(model.trainer_spec.unk_surface.encode() if piece.type == UNKNOWN else b"")
         automaton.make_automaton()
         self.automaton = automaton
         self.text_of = [p.piece for p in model.pieces]
+        self.length = list(map(len, self.text_of))
         known = {p for p in self.id if len(p) == 1}
         self.unknown = re.compile("[^" + re.escape("".join(sorted(known))) + "]")
         self.unit = units_of(self.id)
@@ -104,7 +109,7 @@ class PrefixTable:
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
+        key = left << PAIR | right
         found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= REMEMBERED:
@@ -116,27 +121,28 @@ class PrefixTable:
     def run(self, text: str) -> list[int]:
         """The ids of a run of known characters."""
         n = len(text)
-        last, size = [0] * (n + 1), [0] * (n + 1)
-        pairs = self.pairs
-        for end, (piece, length) in self.automaton.iter(text):
+        last = [-1] * (n + 1)
+        pairs, length = self.pairs, self.length
+        for end, piece in self.automaton.iter(text):
             end += 1
-            if size[end]:
+            if last[end] >= 0:
                 continue  # the only fitting piece is already known
-            before = end - length
+            before = end - length[piece]
             if before:
-                if not size[before]:
+                left = last[before]
+                if left < 0:
                     continue
-                fits = pairs.get(last[before] << 32 | piece)
+                fits = pairs.get(left << PAIR | piece)
                 if fits is None:
-                    fits = self.compatible(last[before], piece)
+                    fits = self.compatible(left, piece)
             else:
-                fits = length == 1 or self.whole(piece)
+                fits = length[piece] == 1 or self.whole(piece)
             if fits:
-                last[end], size[end] = piece, length
+                last[end] = piece
         ids = []
         while n:
             ids.append(last[n])
-            n -= size[n]
+            n -= length[last[n]]
         ids.reverse()
         return ids
 
@@ -206,9 +212,15 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: st
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
         of = table(path).encode
-        return pa.array((of(t) for t in texts.cast(pa.string()).to_pylist()), pa.list_(pa.int32()))
+        values, sizes = array("i"), [0]
+        for text in texts:
+            values.extend(of(text.as_py()))
+            sizes.append(len(values))
+        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
 
-    return replacing(docs, {ids_column: ids_of(F.col(text_column).cast("string"))})
+    # a decoder above would else run the encoder a second time, inlined
+    once = ids_of.asNondeterministic()
+    return replacing(docs, {ids_column: once(F.col(text_column).cast("string"))})
 
 
 def decode(docs: DataFrame, path: str, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:
@@ -217,6 +229,7 @@ def decode(docs: DataFrame, path: str, ids_column: str = "ids", text_column: str
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
         of = table(path).decode
-        return pa.array((of(x.as_py()) for x in ids), pa.string())
+        at, values = ids.offsets.to_pylist(), ids.values.to_numpy(zero_copy_only=False)
+        return pa.array((of(values[a:b].tolist()) for a, b in zip(at, at[1:])), pa.string())
 
     return replacing(docs, {text_column: text_of(F.col(ids_column))})
