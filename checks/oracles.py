@@ -215,6 +215,18 @@ ORACLES: dict[str, str] = {
                {r('CAST(dayofmonth(d.date) AS DOUBLE)')} AS day_of_month,
                {r('CAST(month(d.date) AS DOUBLE)')} AS month, {r('CAST(n_events AS DOUBLE)')} AS n_events
         FROM d WHERE l7 IS NOT NULL""",
+    "boosted_split": f"""
+        WITH d AS (SELECT *, lag(avg_value) {USER} AS l1, lag(avg_value, 7) {USER} AS l7 FROM ({BY_USER})),
+        v AS (SELECT user_id, d.date, avg_value AS label, row_number() {USER} AS t, count(*) OVER (PARTITION BY user_id) AS n
+              FROM d WHERE l7 IS NOT NULL),
+        s AS (SELECT *, t > floor(n * 0.8) AS test FROM v)
+        SELECT user_id, count(*) FILTER (NOT test) AS n_train, {r('sum(label) FILTER (NOT test)')} AS train_labels,
+               count(*) FILTER (test) AS n_test, {r('sum(label) FILTER (test)')} AS test_labels,
+               count(*) FILTER (test) AS n_finite FROM s GROUP BY user_id""",
+    "scoring_log": f"""
+        WITH d AS (SELECT DISTINCT event_type FROM ({BY_TYPE}))
+        SELECT m AS model_name, 'v1' AS model_version, 5 AS forecast_horizon, count(*) AS n_series
+        FROM d, (VALUES ('even'), ('odd')) t(m) GROUP BY m""",
     "parquet_scan": f"SELECT {ORDERS} FROM orders",
     "csv_lookup_scan": """
         SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,

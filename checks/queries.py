@@ -49,6 +49,8 @@ def query(fn: Query) -> Query:
 def scratch_path(spark: SparkSession) -> str:
     """A new folder beside the checkpoints, where every executor can read it."""
     ensure_checkpoint_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
 
 
@@ -543,6 +545,35 @@ def feature_vectors(spark, sf_dir):
     )
 
 
+@query
+def boosted_split(spark, sf_dir):
+    """Per user: rows to learn from and to test on, their label sums, and tests with a finite prediction."""
+    rows = boosting.feature_vectors(daily_events(spark, sf_dir, *BY_USER), BY_USER, "date", VALUE, EXOG)
+    # trees and predictions both start from the marked rows: write them once
+    marked = kept(features.train_test_split_ts(rows, BY_USER, "date", train_fraction=JobConfig().gbt_train_split))
+    train = marked.filter("split = 'train'").select(*rows.columns)
+    test = boosting.fit_gbt(train).transform(marked.filter("split = 'test'"))
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    part = lambda df, name, *more: df.groupBy(*BY_USER).agg(F.count(F.lit(1)).alias(f"n_{name}"), F.sum("label").alias(f"{name}_labels"), *more)
+    counts = part(train, "train").join(part(test, "test", F.count_if(finite).alias("n_finite")), list(BY_USER), "full")
+    return present(counts)
+
+
+@query
+def scoring_log(spark, sf_dir):
+    """Series that each of two model names continues, counted from the forecasts."""
+    days = daily_events(spark, sf_dir, *BY_TYPE)
+    ends = days.groupBy(*BY_TYPE).agg(F.max("date").alias("train_end"))
+    names = F.explode(F.array(F.lit("even"), F.lit("odd")))
+    both = ends.withColumn("model_name", names).withColumn("model_version", F.lit("v1"))
+    ready = inference.recent_regressors(days, both, BY_TYPE, "date", EXOG, HORIZON)
+    rows = inference.scoring_log_rows(
+        ready, scoring_run_id="r", registry_table="a", predictions_table="b",
+        scoring_time=datetime(2024, 1, 1, tzinfo=timezone.utc), horizon=HORIZON,
+    )
+    return rows.select("model_name", "model_version", "forecast_horizon", "n_series")
+
+
 @query
 def boosted_trees(spark, sf_dir):
     """One model for the series of all users, tested on the newest fifth of each."""

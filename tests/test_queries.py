@@ -5,7 +5,7 @@ from checks.compare import difference, rows
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 
-ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES) - {"boosted_trees"})
+ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -14,7 +14,7 @@ ROLES = dict(
 )
 TABLES = (
     "raw_table_name", "clean_table_name", "daily_features_table", "registry_table", "predictions_table",
-    "scoring_log_table", "model_store_table", "run_log_table",
+    "scoring_log_table", "model_store_table", "run_log_table", "holdout_table", "holdout_metrics_table",
 )
 
 
@@ -181,7 +181,7 @@ def test_command_line(spark, monkeypatch):
     assert given.forecast_horizon == 7 and given.series_keys == ["a", "b"] and given.skip_inference
     assert given.raw_table_name == JobConfig().raw_table_name
     ran = []
-    monkeypatch.setattr(cli.ForecastJob, "run", lambda self, skip_inference: ran.append(skip_inference))
+    monkeypatch.setattr(cli.ForecastJob, "run", lambda self, skip_inference, evaluate: ran.append(skip_inference))
     assert cli.main(["--dry-run"]) == 0 and ran == []
     assert cli.main(["--skip-inference"]) == 0 and ran == [True]
     assert cli.main(["--forecast-horizon", "0"]) == 1
@@ -196,3 +196,96 @@ def test_skip_inference_stops_after_registration(spark, small):
     ForecastJob(spark, cfg).run(skip_inference=True)
     assert spark.catalog.tableExists(cfg.registry_table)
     assert not spark.catalog.tableExists(cfg.predictions_table)
+
+
+def test_linking_never_deletes_rows_that_were_copied(spark, small):
+    copied = _config("kept", small)
+    ForecastJob(spark, copied).ingest_data()
+    linked = _config("kept", small, raw_mode="link")
+    with pytest.raises(ValueError, match="rows of its own"):
+        ForecastJob(spark, linked).ingest_data()
+    assert spark.table(copied.raw_table_name).count() == spark.read.parquet(small).count()
+
+
+def test_linking_a_relative_path(spark, small):
+    import os
+
+    TableStore(spark).link(os.path.relpath(small), "t_relative")
+    TableStore(spark).link(os.path.relpath(small), "t_relative")
+    assert spark.table("t_relative").count() == spark.read.parquet(small).count()
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(spark):
+    store = TableStore(spark)
+    store.overwrite(spark.range(5), "t_safe")
+    bad = spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        store.overwrite(bad, "t_safe")
+    assert store.read("t_safe").count() == 5
+    store.overwrite(store.read("t_safe").filter("id > 2"), "t_safe")
+    assert store.read("t_safe").count() == 2
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("t_safe_")]
+
+
+def test_registering_twice_adds_nothing_and_is_counted_once(spark, sf):
+    cfg = _config(
+        "once", f"{sf}/events.parquet", series_keys=("event_type",), ts_col="ts",
+        positive_cols=("value",), flag_col=None, averages=(("avg_price", "value"),),
+        exog_cols=("n_rows",), min_aic_improvement=-1000.0,
+    )
+    job = ForecastJob(spark, cfg)
+    for step in (job.ingest_data, job.clean_data, job.engineer_features, job.train_models):
+        step()
+    first = job.register_model().count()
+    assert job.register_model().count() == first == spark.table(cfg.registry_table).count()
+    job.run_batch_inference()
+    steps = spark.table(cfg.predictions_table).select("event_type").distinct().count()
+    assert [r.n_series for r in spark.table(cfg.scoring_log_table).collect()] == [steps]
+
+
+def test_every_model_of_a_series_is_continued(spark):
+    import datetime as dt
+
+    from tidemark.operators.inference import recent_regressors
+
+    days = spark.createDataFrame([("a", dt.date(2024, 1, d), float(d)) for d in range(1, 9)], "k string, date date, x double")
+    models = spark.createDataFrame(
+        [("a", "one", dt.date(2024, 1, 8)), ("a", "two", dt.date(2024, 1, 5)), ("b", "one", dt.date(2024, 1, 8))],
+        "k string, model_name string, train_end date",
+    )
+    got = {(r.k, r.model_name): r.future for r in recent_regressors(days, models, ["k"], "date", ["x"], 3).collect()}
+    assert got == {("a", "one"): [[6.0, 7.0, 8.0]], ("a", "two"): [[3.0, 4.0, 5.0]], ("b", "one"): [[]]}
+
+
+def test_a_search_that_has_not_converged_is_failed(spark, monkeypatch):
+    import datetime as dt
+
+    from tidemark.operators import models
+
+    fit = models.fit_when
+
+    def never(*args):
+        return fit(*args).withField("converged", F.lit(False))
+
+    monkeypatch.setattr(models, "fit_when", never)
+    days = spark.createDataFrame(
+        [("a", dt.date(2024, 1, 1) + dt.timedelta(d), float(d % 5 + d % 3)) for d in range(25)], "k string, date date, y double"
+    )
+    row = models.train(days, ["k"], "date", "y", []).first()
+    assert row.status == "failed" and row.converged is False
+
+
+def test_command_line_names_columns_and_evaluates(spark, sf):
+    tables = [x for t in TABLES for x in ("--" + t.replace("_", "-"), f"cli_{t}")]
+    code = cli.main([
+        "--raw-parquet-path", f"{sf}/events.parquet", "--lookup-csv-path", "", "--series-keys", "event_type",
+        "--ts-col", "ts", "--other-ts-cols", "--positive-cols", "value", "--flag-col", "", "--date-col", "day",
+        "--target-col", "mean_value", "--averages", "mean_value=value", "--count-col", "n", "--exog-cols", "n",
+        "--evaluate", *tables,
+    ])
+    assert code == 0
+    days, errors = spark.table("cli_holdout_table"), spark.table("cli_holdout_metrics_table")
+    assert {"event_type", "date", "actual_mean_value", "forecast_mean_value", "status"} == set(days.columns)
+    assert errors.count() == 5 and errors.filter("n > 0 and mae > 0 and rmse >= mae").count() == 5
+    with pytest.raises(SystemExit):
+        cli.parse_arguments(["--averages", "nothing"])

@@ -14,6 +14,9 @@ class JobConfig:
     The first block names inputs and tables, the second the model, the third maps the
     columns of the input onto the roles they play.  With ``series_keys`` empty the whole
     input is one daily series; with keys there is one series per distinct key.
+
+    ``aic_basis="common"`` compares baseline and candidate on the same days, ``"own"`` each on
+    the days it can score.  Series of fewer than ``seasonal_from`` days get a model without season.
     """
 
     # inputs
@@ -29,6 +32,8 @@ class JobConfig:
     scoring_log_table: str = "scoring_runs"
     model_store_table: str = "time_series_models"
     run_log_table: str = "model_runs"
+    holdout_table: str = "holdout_comparison"
+    holdout_metrics_table: str = "holdout_metrics"
     table_format: str = "parquet"
     raw_mode: str = "copy"
     clean_mode: str = "table"
@@ -44,7 +49,8 @@ class JobConfig:
     exog_cols: tuple[str, ...] = ("avg_trip_distance", "trip_count")
     min_observations: int = 10
     min_aic_improvement: float = 1.0
-    aic_basis: str = "own"
+    aic_basis: str = "common"
+    seasonal_from: int = 30
     experiment_name: str = "average_fare_per_day_sarimax"
     fit_partitions: int | None = None
 
@@ -71,9 +77,9 @@ class JobConfig:
 
     def __post_init__(self) -> None:
         if self.forecast_horizon <= 0:
-            raise ValueError("forecast_horizon must be positive")
+            raise ValueError(f"cannot forecast {self.forecast_horizon} steps; ask for one or more")
         if self.min_observations < 2:
-            raise ValueError("min_observations must be at least 2")
+            raise ValueError("a model needs two days at the very least (min_observations)")
         if self.raw_mode not in ("copy", "link"):
             raise ValueError("raw_mode must be 'copy' or 'link'")
         if self.clean_mode not in ("table", "view"):

@@ -369,7 +369,8 @@ def _newton(theta, data, lengths, use, n_eff, shape: Shape):
         theta[:, active] += np.where(better, move, 0.0)
         damping[active] *= np.where(~better, 10.0, np.where(steady[active], 0.1, 1.0))
         steady[active] = better
-        settled[active] = done & usable
+        # a search that stalls has converged only if next to nothing was left to gain
+        settled[active] = usable & ((promised < 1e-9) | (done & (promised < 1e-4)))
         best = np.where(better, found, best)
         ended[active] = best
         slope = np.where(better[:, None], new_slope, slope)

@@ -56,7 +56,8 @@ def last_rows(
     """The last ``n`` days of every series, numbered 1.. in order of time."""
     newest = F.row_number().over(by_date(series_keys, date_col, descending=True))
     tail = df.withColumn("_age", newest).filter(F.col("_age") <= n)
-    return tail.withColumn(step, F.row_number().over(by_date(series_keys, date_col))).drop("_age")
+    kept = F.count(F.lit(1)).over(Window.partitionBy(*series_keys))
+    return tail.withColumn(step, (kept - F.col("_age") + 1).cast("int")).drop("_age")
 
 
 def series_lengths(

@@ -21,18 +21,19 @@ def parse_datetime_index(
 ) -> DataFrame:
     """Turn a text or timestamp column into a date column and drop rows that are no date.
 
-    Raises if a series has two rows for one date, unless ``check_unique`` is off.
+    Unless ``check_unique`` is off, the result fails when it is computed if a series has two
+    rows for one date.
     """
     if fmt is not None:
         parsed = F.try_to_timestamp(F.col(column), F.lit(fmt))
     else:
         parsed = F.col(column).try_cast("timestamp")
     dated = df.withColumn(column, F.to_date(parsed)).filter(F.col(column).isNotNull())
-    if check_unique:
-        twice = duplicate_dates(dated, column, series_keys).limit(1)
-        if not twice.isEmpty():
-            raise ValueError(f"more than one row per series and {column}")
-    return dated
+    if not check_unique:
+        return dated
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*series_keys, column))
+    refuse = F.raise_error(F.lit(f"more than one row per series and {column}")).cast("boolean")
+    return dated.withColumn("_rows", rows).filter(F.when(F.col("_rows") == 1, True).otherwise(refuse)).drop("_rows")
 
 
 def duplicate_dates(df: DataFrame, date_col: str, series_keys: Sequence[str] = ()) -> DataFrame:

@@ -40,7 +40,7 @@ def recent_regressors(
 
     Days and models meet in one aggregate by series rather than in a join: each side is
     read once and shuffled once, a null key is a key like any other, and one series without
-    keys needs no product.
+    keys needs no product.  A series may have several models, one for each model name.
     """
     day = F.struct(
         F.col(date_col).alias("date"),
@@ -52,10 +52,11 @@ def recent_regressors(
         models.select(*series_keys, F.struct(*held).alias("_model")), allowMissingColumns=True
     )
     gathered = rows.groupBy(*series_keys).agg(
-        F.first("_model", ignorenulls=True).alias("_model"),
+        F.collect_list("_model").alias("_models"),
         F.sort_array(F.collect_list("_day")).alias("_days"),
     )
-    known = gathered.filter(F.col("_model").isNotNull()).select(*series_keys, "_model.*", "_days")
+    each = gathered.select(*series_keys, F.explode("_models").alias("_model"), "_days")
+    known = each.select(*series_keys, "_model.*", "_days")
     seen = F.filter("_days", lambda d: d["date"] <= F.col("train_end"))
     recent = known.withColumn("_seen", seen).withColumn(
         "_days", F.slice("_seen", F.greatest(F.size("_seen") - horizon + 1, F.lit(1)), F.lit(horizon))

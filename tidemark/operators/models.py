@@ -19,6 +19,7 @@ from ..functions.columns import continue_series, gaussian_aic, regression_part
 from ..functions.sarimax import Shape, fit_batch
 from .daily import by_date, complete_cases, spread_by_series
 
+#: Days from which the seasonal order is used, unless a job says otherwise.
 SEASONAL_FROM = 30
 SHORT_ORDER: Order = (1, 1, 1)
 SHORT_SEASONAL: SeasonalOrder = (0, 0, 0, 0)
@@ -45,10 +46,13 @@ def int_array(values: Sequence[int]) -> Column:
 
 
 def choose_order(
-    n_obs: Column, order: Order = (1, 1, 1), seasonal: SeasonalOrder = (1, 1, 1, 7)
+    n_obs: Column,
+    order: Order = (1, 1, 1),
+    seasonal: SeasonalOrder = (1, 1, 1, 7),
+    seasonal_from: int = SEASONAL_FROM,
 ) -> tuple[Column, Column]:
-    """The stated orders from 30 days on, (1,1,1)(0,0,0,0) below."""
-    enough = n_obs >= SEASONAL_FROM
+    """The stated orders from ``seasonal_from`` days on, (1,1,1)(0,0,0,0) below."""
+    enough = n_obs >= seasonal_from
     return (
         F.when(enough, int_array(order)).otherwise(int_array(SHORT_ORDER)),
         F.when(enough, int_array(seasonal)).otherwise(int_array(SHORT_SEASONAL)),
@@ -178,14 +182,16 @@ def train(
     min_observations: int = 10,
     aic_basis: str = "own",
     partitions: int | None = None,
+    seasonal_from: int = SEASONAL_FROM,
 ) -> DataFrame:
     """One model row per series: orders, parameters, both AICs, tail state, residuals, status.
 
     ``aic_basis="common"`` scores baseline and candidate on the same days; ``"own"`` leaves
-    each the days its own states allow.  Status is ``fitted``, ``failed`` or ``too_short``.
+    each the days its own states allow.  Status is ``fitted``, ``failed`` or ``too_short``; a
+    search that has not converged is ``failed``.
     """
     burns = [max(Shape.of(o, s).k_states, 1) for o, s in ((order, seasonal), (SHORT_ORDER, SHORT_SEASONAL))]
-    shared = F.when(F.col("_n") >= SEASONAL_FROM, burns[0]).otherwise(burns[1])
+    shared = F.when(F.col("_n") >= seasonal_from, burns[0]).otherwise(burns[1])
     ready = spread_by_series(complete_cases(df, [target, *exog], date_col), series_keys, partitions)
     pairs = _lagged_pairs(
         ready, series_keys, date_col, target, shared if aic_basis == "common" else None
@@ -206,7 +212,7 @@ def train(
         regressors("_days", len(exog)).alias("_x"),
         F.struct("phi", "sigma2", "aic", "n_eff").alias("baseline"),
     )
-    chosen, chosen_seasonal = choose_order(F.col("n_obs"), order, seasonal)
+    chosen, chosen_seasonal = choose_order(F.col("n_obs"), order, seasonal, seasonal_from)
     ready_to_fit = F.col("n_obs") >= min_observations
     fitted = (
         baseline.withColumns({"order": chosen, "seasonal_order": chosen_seasonal})
@@ -227,7 +233,7 @@ def train(
     gain = F.col("baseline.aic") - F.col("aic")
     status = (
         F.when(~ready_to_fit, "too_short")
-        .when(gain.isNull() | F.isnan(gain), "failed")
+        .when(gain.isNull() | F.isnan(gain) | ~F.coalesce("converged", F.lit(False)), "failed")
         .otherwise("fitted")
     )
     return fitted.withColumns({"aic_gain": gain, "status": status})
@@ -309,10 +315,10 @@ def fit_auto_arima(
     candidates: Sequence[tuple[Order, SeasonalOrder]] = SEARCH_ORDERS,
     spread: bool = False,
 ) -> DataFrame:
-    """The candidate of least AIC for every series; fewer parameters win a tie."""
+    """The converged candidate of least AIC for every series; fewer parameters win a tie."""
     tried = search_orders(series, series_keys, candidates, spread)
     rank = F.when(
-        F.col("aic").isNotNull(),
+        F.col("aic").isNotNull() & F.col("converged"),
         F.struct("aic", F.size("params"), F.col("order"), F.col("seasonal_order")),
     )
     chosen = [c for c in tried.columns if c not in (*series_keys, "n_obs")]

@@ -73,6 +73,7 @@ def registry_rows(
             F.lit("train_aic_sarimax"), F.col("aic"),
             F.lit("aic_gain"), F.col("aic_gain"),
             F.lit("n_obs"), F.col("n_obs").cast("double"),
+            F.lit("converged"), F.col("converged").cast("double"),
         ).alias("metrics"),
     )
 

@@ -29,7 +29,32 @@ _VALUES = (
     ("table_format", str, "parquet, or delta where its jar is present"),
     ("raw_mode", str, "copy the input into the raw table, or link it in place"),
     ("clean_mode", str, "write cleansed rows to a table, or keep them as a view"),
+    ("holdout_table", str, "table of held-out days and their forecasts (with --evaluate)"),
+    ("holdout_metrics_table", str, "table of errors on held-out days (with --evaluate)"),
+    ("model_store_table", str, "table of all fits"),
+    ("run_log_table", str, "table of parameters and metrics of runs"),
+    ("aic_basis", str, "score both models on common days, or each on its own"),
+    ("ts_col", str, "column with the time of a row"),
+    ("flag_col", str, "text column to turn into a boolean; an empty value skips it"),
+    ("flag_true", str, "text of that column that means true"),
+    ("date_col", str, "name of the date column of daily tables"),
+    ("target_col", str, "daily column to forecast"),
+    ("count_col", str, "name of the daily number of rows"),
 )
+# options that take any number of values
+_LISTS = (
+    ("series_keys", "one series per key"),
+    ("positive_cols", "columns that must be above zero"),
+    ("other_ts_cols", "further columns to read as times"),
+    ("exog_cols", "daily columns that serve as regressors"),
+)
+
+
+def _pair(text: str) -> tuple[str, str]:
+    name, found, source = text.partition("=")
+    if not (name and found and source):
+        raise argparse.ArgumentTypeError(f"{text} is not new=source")
+    return name, source
 
 
 def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -38,9 +63,15 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         parser.add_argument(
             "--" + name.replace("_", "-"), type=kind, default=getattr(DEFAULT_CONFIG, name), help=text
         )
+    for name, text in _LISTS:
+        parser.add_argument(
+            "--" + name.replace("_", "-"), nargs="*", default=list(getattr(DEFAULT_CONFIG, name)), help=text
+        )
     parser.add_argument(
-        "--series-keys", nargs="*", default=list(DEFAULT_CONFIG.series_keys), help="one series per key"
-    )
+        "--averages", nargs="*", type=_pair, default=list(DEFAULT_CONFIG.averages),
+        help="daily averages, each as new=source",
+    )
+    parser.add_argument("--evaluate", action="store_true", help="forecast held-out days and store the errors")
     parser.add_argument("--skip-inference", action="store_true", help="stop after registration")
     parser.add_argument("--dry-run", action="store_true", help="check parameters and session only")
     return parser.parse_args(argv)
@@ -51,14 +82,15 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = parse_arguments(argv)
     try:
         given = {name: getattr(args, name) for name, _, _ in _VALUES}
-        given["lookup_csv_path"] = given["lookup_csv_path"] or None
-        config = JobConfig.from_args(**given, series_keys=tuple(args.series_keys))
+        given |= {name: tuple(getattr(args, name)) for name, _ in _LISTS}
+        given |= {name: given[name] or None for name in ("lookup_csv_path", "flag_col")}
+        config = JobConfig.from_args(**given, averages=tuple(args.averages))
         spark = get_or_create_spark()
         log.info("Spark %s", spark.version)
         if args.dry_run:
             log.info("dry run: parameters are valid")
             return 0
-        ForecastJob(spark, config).run(skip_inference=args.skip_inference)
+        ForecastJob(spark, config).run(skip_inference=args.skip_inference, evaluate=args.evaluate)
         return 0
     except Exception:
         log.exception("failed")

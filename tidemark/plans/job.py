@@ -114,6 +114,7 @@ class ForecastJob:
             cfg.min_observations,
             cfg.aic_basis,
             cfg.fit_partitions,
+            cfg.seasonal_from,
         )
         stored = registry.serialize_model(fitted, cfg.series_keys, run_id)
         seen = Observation("train")
@@ -162,6 +163,13 @@ class ForecastJob:
             created=_now(),
             min_aic_improvement=cfg.min_aic_improvement,
         )
+        if self.tables.exists(cfg.registry_table):
+            # a second call registers nothing twice
+            held = self.tables.read(cfg.registry_table).filter(F.col("run_id") == self.run_id)
+            if not held.isEmpty():
+                rows = rows.join(held.select("model_id"), "model_id", "left_anti").select(*rows.columns)
+                if rows.isEmpty():
+                    return held
         if rows.isEmpty():
             log.warning("no AIC improvement of %s or more; registry unchanged", cfg.min_aic_improvement)
             return None
@@ -199,17 +207,12 @@ class ForecastJob:
             ready.withColumn("scoring_run_id", F.lit(scoring_run_id)),
             cfg.series_keys,
             cfg.target_col,
-            ["scoring_run_id", "model_id"],
-        )
-        self.tables.overwrite(steps, cfg.predictions_table)
-        scored = self.tables.read(cfg.predictions_table).filter(F.col("horizon_step") == 1)
-        used = scored.select("model_id").join(
-            self.tables.read(cfg.registry_table).select("model_id", "model_name", "model_version"),
-            "model_id",
+            ["scoring_run_id", "model_id", "model_name", "model_version"],
         )
+        self.tables.overwrite(steps, cfg.predictions_table, replace_schema=True)
         self.tables.append(
             inference.scoring_log_rows(
-                used,
+                self.tables.read(cfg.predictions_table).filter(F.col("horizon_step") == 1),
                 scoring_run_id=scoring_run_id,
                 registry_table=cfg.registry_table,
                 predictions_table=cfg.predictions_table,
@@ -222,8 +225,9 @@ class ForecastJob:
 
     # evaluation and diagnostics
     def evaluate_holdout(self) -> DataFrame:
+        """Store the held-out days beside their forecasts, and the errors per series; returns the days."""
         cfg = self.config
-        return evaluation.holdout_forecasts(
+        days = evaluation.holdout_forecasts(
             self.tables.read(cfg.daily_features_table),
             cfg.series_keys,
             cfg.date_col,
@@ -234,6 +238,13 @@ class ForecastJob:
             cfg.min_observations,
             partitions=cfg.fit_partitions,
         )
+        self.tables.overwrite(days, cfg.holdout_table, replace_schema=True)
+        stored = self.tables.read(cfg.holdout_table)
+        errors = evaluation.compute_metrics(
+            stored, f"actual_{cfg.target_col}", f"forecast_{cfg.target_col}", cfg.series_keys
+        )
+        self.tables.overwrite(errors, cfg.holdout_metrics_table, replace_schema=True)
+        return stored
 
     def diagnose(self) -> dict[str, DataFrame]:
         """Correlations of the series and of the residuals of this job's training run."""
@@ -251,7 +262,7 @@ class ForecastJob:
             "ljung_box": diagnostics.ljung_box_test(*errors),
         }
 
-    def run(self, skip_inference: bool = False) -> None:
+    def run(self, skip_inference: bool = False, evaluate: bool = False) -> None:
         steps = [
             self.ingest_data,
             self.clean_data,
@@ -261,6 +272,8 @@ class ForecastJob:
         ]
         if not skip_inference:
             steps.append(self.run_batch_inference)
+        if evaluate:
+            steps.append(self.evaluate_holdout)
         log.info("parameters %s", self.config.to_dict())
         try:
             for step in steps:

@@ -1,6 +1,7 @@
 """Catalog tables: scan, overwrite and append with the schema rules of the job."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -50,7 +51,18 @@ class TableStore:
             held, new = _layout(self.read(name)), _layout(df)
             if held != new:
                 raise SchemaMismatch(f"{name} holds {held}, the new rows have {new}")
-        writer.saveAsTable(name)
+        if self.format == "delta" or not self.exists(name):
+            writer.saveAsTable(name)
+            return
+        # the new rows are complete before the old ones go; a write that fails leaves those
+        beside = f"{name}_{uuid.uuid4().hex}"
+        try:
+            writer.saveAsTable(beside)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {beside}")
+            raise
+        self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
 
     def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
         """Add rows; columns the table lacks are added, columns the rows lack become null."""
@@ -80,9 +92,21 @@ class TableStore:
             )
         )
 
+    def _qualified(self, path: str) -> str:
+        session = self.spark._jsparkSession
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = found.getFileSystem(session.sessionState().newHadoopConf())
+        return files.makeQualified(found).toString()
+
     def link(self, path: str, name: str) -> None:
-        """Register Parquet files as a table where they lie, without copying them."""
-        location = path.replace("'", "\\'")
+        """Register Parquet files as a table where they lie, without copying them.
+
+        A table of that name goes only if it is a link itself: dropping a managed table would
+        delete its rows.  A relative path counts from where ``spark.read`` counts.
+        """
+        if self.exists(name) and self.spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} holds rows of its own; drop it yourself before linking {path}")
+        location = self._qualified(path).replace("'", "\\'")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
 
