@@ -153,7 +153,8 @@ class Toxicity:
         sample = settled(sample.select("text", F.col("_label").cast("double"), part.alias("part")).repartition(8, F.xxhash64("text")))
         lexicon = frozenset(INSULTS) | frozenset(learned_words(sample.where("part < 4"), words, least))
         made = sample.select("_label", "part", features_of(lexicon)("text").alias("f"))
-        made = settled(made.select("_label", "part", array_to_vector("f").alias("features")))
+        # bounded rows that the trees pass over many times: few partitions
+        made = settled(made.select("_label", "part", array_to_vector("f").alias("features")).coalesce(8))
         classes = {(r["tree"], r["_label"]): r["n"] for r in made.groupBy((F.col("part") < 8).alias("tree"), "_label").agg(F.count(F.lit(1)).alias("n")).collect()}
         if len(classes) < 4:
             toxic = sum(v for (_, y), v in classes.items() if y == 1)
