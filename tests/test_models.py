@@ -308,11 +308,12 @@ def test_correlations_of_short_and_flat_series(lengths):
      (18.307, 10, 0.05), (30.144, 19, 0.05), (31.410, 20, 0.05), (37.566, 20, 0.01)],
 )
 def test_chi_square_tail(q, dof, p):
-    assert _upper_tail(q, dof) == pytest.approx(p, rel=1e-3)
+    assert _upper_tail(np.array([q]), dof) == pytest.approx([p], rel=1e-3)
 
 
 def test_chi_square_tail_at_the_ends():
-    assert _upper_tail(0.0, 10) == 1.0 and 0 < _upper_tail(900.0, 20) < 1e-100
+    none, far, unknown = (float(_upper_tail(np.array([q]), 20)[0]) for q in (0.0, 900.0, np.nan))
+    assert none == 1.0 and 0 < far < 1e-100 and np.isnan(unknown)
 
 
 def test_fit_needs_one_exchange_by_series(lengths):

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,24 +99,23 @@ def ljung_box(acf: Column, n_obs: Column, lag: Column) -> Column:
     return n_obs * (n_obs + 2) * total(terms)
 
 
-def _upper_tail(q: float, dof: int) -> float:
-    """P(chi-square with ``dof`` degrees of freedom > q), by the finite sums."""
-    if q is None or math.isnan(q):
-        return math.nan
-    half = q / 2
-    if half <= 0:
-        return 1.0
-    if dof % 2 == 0:
-        tail, power = 0.0, 0.0
-    else:
-        tail, power = math.erfc(math.sqrt(half)), 0.5
-    # terms half^power e^-half / gamma(power + 1)
-    while power < dof / 2:
-        tail += math.exp(power * math.log(half) - half - math.lgamma(power + 1))
-        power += 1
-    return min(tail, 1.0)
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+
+def _upper_tail(q: np.ndarray, dof: int) -> np.ndarray:
+    """P(chi-square with ``dof`` degrees of freedom > q) for many q, by the finite sums."""
+    half = np.where(q > 0, q, 1.0) / 2
+    # terms half^power e^-half / gamma(power + 1), from 0 or, for odd degrees, from 1/2
+    tail = _erfc(np.sqrt(half)).astype(float) if dof % 2 else np.zeros_like(half)
+    for power in np.arange(dof % 2 / 2, dof / 2):
+        tail += np.exp(power * np.log(half) - half - math.lgamma(power + 1))
+    return np.where(np.isnan(q), np.nan, np.where(q > 0, np.minimum(tail, 1.0), 1.0))
 
 
 @F.pandas_udf(T.DoubleType())
 def chi2_tail(q: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([_upper_tail(a, int(b)) for a, b in zip(q, dof)], dtype="float64")
+    out = np.full(len(q), np.nan)
+    values, degrees = q.to_numpy(dtype=float), dof.to_numpy()
+    for d in np.unique(degrees):
+        out[degrees == d] = _upper_tail(values[degrees == d], int(d))
+    return pd.Series(out)
