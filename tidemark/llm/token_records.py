@@ -12,7 +12,8 @@ that no index names. Any subset of records can be read in any order by it.
 
 Files go where the folder's URI says, through Arrow's file systems. Texts are encoded by the tokenizers
 library: cut before a blank that follows a non-blank, where this kind of pre-tokenizer cuts too, each
-distinct piece once per worker. Texts with other blanks before such a cut are encoded whole.
+distinct piece once per worker. Texts with other blanks before such a cut, or with added tokens in them, are
+encoded whole.
 
 Defined results: null text is an empty one, which has just the end id; rows that share an id are ordered by
 text; an empty table gives an empty index; a frame whose checksums differ raises.
@@ -36,8 +37,12 @@ from .common import small, text_or_empty
 
 #: Fixed values of the mask: a rotation and a constant.
 ROTATE, ADD = 15, 0xA282EAD8
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: Where Latin letters are the only ones, also between a letter and a mark.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+LATIN_PIECE = re.compile(rf"[ \n]*[^ \n{LATIN}]*[{LATIN}]+|[ \n]*[^ \n{LATIN}]+|[ \n]+")
+OTHER_LETTER = re.compile(rf"[^\W\d_{LATIN}]")
 OTHER_BLANK = re.compile(r"[^\S \n][ \n]")
 WIDTHS = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
@@ -78,21 +83,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.pieces: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)  # this kind writes a byte as one character
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
+    def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, WIDTHS[self.width]).tobytes() for e in found]
 
-    def encode(self, text: str) -> bytes:
-        if OTHER_BLANK.search(text):
-            return self._raw([text])[0]
-        pieces, known = PIECE.findall(text), self.pieces
-        if missing := list({p for p in pieces if p not in known}):
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(set(pieces))
-            known.update(zip(missing, self._raw(missing)))
-        return b"".join(map(known.__getitem__, pieces))
+    def _learn(self, missing: list[str]) -> None:
+        """Encode pieces in one text, where the library cuts between them anyway, and find their ids by length."""
+        safe = [p for p in missing if p[0] in " \n" and not p[-1].isspace()]
+        rest = [p for p in missing if p[0] not in " \n" or p[-1].isspace()]
+        self.pieces.update(zip(rest, self._each(rest)))
+        if safe:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(safe)], add_special_tokens=False)[0].ids)
+            reach = np.cumsum(self.lengths[ids])
+            ends = np.searchsorted(reach, np.cumsum([len(p.encode()) for p in safe])) + 1
+            raw, cuts = ids.astype(WIDTHS[self.width]).tobytes(), [0, *(ends * self.width).tolist()]
+            self.pieces.update(zip(safe, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+
+    def _cut(self, text: str) -> list[str] | None:
+        if OTHER_BLANK.search(text) or any(a in text for a in self.added):
+            return None
+        return (PIECE if OTHER_LETTER.search(text) else LATIN_PIECE).findall(text)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        cut = list(map(self._cut, texts))
+        distinct = {p for pieces in cut if pieces for p in pieces}
+        if missing := [p for p in distinct if p not in self.pieces]:
+            if len(self.pieces) + len(missing) > REMEMBERED:
+                self.pieces.clear()
+                missing = list(distinct)
+            self._learn(missing)
+        for text, pieces in zip(texts, cut):
+            yield self._each([text])[0] if pieces is None else b"".join(map(self.pieces.__getitem__, pieces))
 
 
 @lru_cache(maxsize=4)
@@ -125,8 +152,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, id_column: str =
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{root}/{name}")
             places = []
-            for text in batch.column(1):
-                ids = of.encode(text.as_py()) + end
+            encoded = (x for at in range(0, batch.num_rows, 64) for x in of.encode(batch.column(1).slice(at, 64).to_pylist()))
+            for ids in encoded:
+                ids += end
                 raw = frame(head + ids)
                 out.write(raw)
                 places.append((record, offset, len(raw), before, len(ids) // of.width))
