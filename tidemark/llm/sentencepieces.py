@@ -34,7 +34,7 @@ from .common import replacing
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: Remembered units and pairs per worker; when full, the memory starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Bits for the right one of a pair.
 PAIR = 24
 
