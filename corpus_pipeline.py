@@ -30,8 +30,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove repeated chunks of lines from texts; no document goes."""
-    return like(docs, line_dedup.drop_repeated(docs))
+    """Remove repeated runs of lines from texts; no document goes."""
+    return like(docs, line_dedup.drop_repeated(docs, runs=True))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

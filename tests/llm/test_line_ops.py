@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from tidemark.llm import line_dedup, mixing, quality_rules
 
 DOCS = "doc_id long, text string, lang string, source string"
@@ -26,6 +27,22 @@ def test_a_shared_block_of_short_lines_is_found_wherever_it_stands(spark):
     assert all(f"own {k} 0" in got[k]["text"] for k in range(6))
 
 
+def test_the_pipeline_removes_whole_runs_of_short_lines(spark):
+    random.seed(4)
+    blocks = [[f"line {i} of block {b}" + "\n" * (i % 3 == 0 and i < n - 1) for i in range(n)] for b, n in enumerate([2, 3, 4, 5, 6, 7, 8, 40])]
+    rows = []
+    for b, block in enumerate(blocks):
+        for k in range(6):
+            own = [[f"own {b} {k} {side} {j}" for j in range(random.randrange(1, 5))] for side in (0, 1)]
+            rows.append((10 * b + k, "\n".join(own[0] + block + own[1]), "\n".join(own[0] + own[1]), "s"))
+    rows += [(900, "x\nx\nx\nx", "x\nx", "s"), (903, "c\nline 0 of block 0\nd", "c\nline 0 of block 0\nd", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, wanted string, source string")
+    got = corpus_pipeline.without_repeated_lines(spark, docs, "").collect()
+    assert len(got) == len(rows)
+    wanted = {i: without if i % 10 or i == 900 else text for i, text, without, _ in rows}
+    assert {r["doc_id"]: r["text"] for r in got} == wanted
+
+
 def test_line_dedup_edges(spark):
     whole = "\n".join(" ".join(f"{j}x{i}" for i in range(30)) for j in range(3))
     rows = [(1, None, "en", "s"), (2, "", "en", "s"), (None, whole, "en", "s"), (5, whole, None, None), (5, whole, None, None), (6, "\n\n", "en", "s")]

@@ -3,8 +3,11 @@
 Lines are hashed; a hash rolling over ``window`` line hashes ends a chunk where it falls on a chosen
 residue, so boundaries depend on content alone and survive insertions before them. Compared are chunks
 of ``min_lines`` lines or more and, as chunks whose size forces a cut, single lines of ``long_words``
-words or more. Narrow rows (hash, document, place) first tell which hashes repeat. Only for those are the
-bytes compared, by grouping on the text itself. The first occurrence (by id, then place) stays.
+words or more. With ``runs``, also every two successive lines that are not blank, with the blank ones between:
+a run of two or more equal lines is made of such pairs, so it goes as a whole wherever it stands, whatever
+its lines' length. Narrow rows (hash, document, place) first tell which hashes repeat. Only for those are the
+bytes compared, by grouping on the text itself. The first occurrence (by id, then place) stays; a pair that
+overlaps its own first occurrence (a line said three times) leaves that standing.
 
 Skew: both groupings combine on the map side, so a passage in a third of all documents sends one row per
 task; its join back is one to many on plain columns, which adaptive execution can split.
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, replacing, row_key, text_or_empty
+from .common import WORD, let, replacing, row_key, text_or_empty
 
 WINDOW, DIVISOR, MIN_LINES, LONG_WORDS = 2, 2, 2, 20
 #: Base and modulus of the rolling hash.
@@ -29,7 +32,20 @@ def line_hashes(lines: Column) -> Column:
     return F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long"))
 
 
-def with_units(df: DataFrame, window: int, divisor: int, min_lines: int, long_words: int) -> DataFrame:
+def pairs(long_words: int) -> Column:
+    """Two successive lines that are not blank, with what stands between; two long ones are units by themselves."""
+    words = F.transform("_lines", lambda x, i: F.struct(i.alias("i"), F.regexp_count(x, F.lit(WORD)).alias("words")))
+    full = F.filter(words, lambda w: w["words"] > 0)
+
+    def of(full: Column) -> Column:
+        both = F.arrays_zip(full.alias("a"), F.slice(full, 2, F.greatest(F.size(full) - 1, F.lit(0))).alias("b"))
+        both = F.filter(both, lambda p: p["b"].isNotNull() & ((p["a"]["words"] < long_words) | (p["b"]["words"] < long_words)))
+        return F.transform(both, lambda p: F.struct(p["a"]["i"].alias("first"), (p["b"]["i"] - p["a"]["i"] + 1).alias("lines")))
+
+    return let(full, of)
+
+
+def with_units(df: DataFrame, window: int, divisor: int, min_lines: int, long_words: int, runs: bool = False) -> DataFrame:
     """From ``_lines``: ``_units``, an array of (first line, number of lines, text)."""
     df = df.withColumn("_hashes", line_hashes(F.col("_lines")))
 
@@ -52,17 +68,17 @@ def with_units(df: DataFrame, window: int, divisor: int, min_lines: int, long_wo
         F.transform("_lines", lambda x, i: F.struct(i.alias("first"), F.when(F.regexp_count(x, F.lit(WORD)) >= long_words, 1).otherwise(0).alias("lines"))),
         lambda c: c["lines"] == 1,
     )
-    return df.withColumn("_units", F.concat(chunks, solo)).drop("_hashes", "_ends")
+    return df.withColumn("_units", F.concat(chunks, solo, *[pairs(long_words)] * runs)).drop("_hashes", "_ends")
 
 
 def unit_text(unit: Column) -> Column:
     return F.array_join(F.slice(F.col("_lines"), unit["first"] + 1, unit["lines"]), "\n")
 
 
-def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: int, divisor: int, min_lines: int, long_words: int) -> DataFrame:
+def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: int, divisor: int, min_lines: int, long_words: int, runs: bool = False) -> DataFrame:
     """``_key`` and ``_drop``, the array of line numbers to remove."""
     split = keyed.select("_key", F.col(id_column).alias("_id"), F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
-    hashed = with_units(split, window, divisor, min_lines, long_words).select(
+    hashed = with_units(split, window, divisor, min_lines, long_words, runs).select(
         "_key", F.explode(F.transform("_units", lambda u: F.struct(u["first"].alias("first"), u["lines"].alias("lines"), F.xxhash64(unit_text(u)).alias("h")))).alias("u")
     )
     hashed = hashed.select("_key", "u.*")
@@ -76,14 +92,15 @@ def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: i
     owners = units.groupBy("h", "unit").agg(F.min(place).alias("owner"), F.max(place).alias("last"))
     owners = owners.where("owner != last").select("h", "unit", "owner")
     later = units.join(owners, ["h", "unit"]).where(place != F.col("owner"))
-    covered = F.sequence(F.col("first"), F.col("first") + F.col("lines") - 1)
+    after = F.when(F.col("_key") == F.col("owner._key"), F.greatest(F.col("first"), F.col("owner.first") + F.col("lines"))).otherwise(F.col("first"))
+    covered = F.sequence(after, F.col("first") + F.col("lines") - 1)
     return later.groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_set(covered))).alias("_drop"))
 
 
-def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
-    """The documents with their remaining text, n_lines and n_dropped."""
+def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS, runs: bool = False) -> DataFrame:
+    """The documents with their remaining text, n_lines and n_dropped. ``runs``: see above."""
     keyed = docs.select(row_key(id_column, text_column).alias("_key"), *docs.columns)
-    drops = repeated_lines(keyed, id_column, text_column, window, divisor, min_lines, long_words)
+    drops = repeated_lines(keyed, id_column, text_column, window, divisor, min_lines, long_words, runs)
     wide = keyed.join(drops, "_key", "left").withColumn("_lines", F.split(text_or_empty(text_column), "\n", -1))
     kept = F.array_join(F.filter("_lines", lambda x, i: ~F.array_contains("_drop", i)), "\n")
     return replacing(
