@@ -74,6 +74,32 @@ def test_toxicity_learns_words_that_copies_do_not_hide(spark):
     assert model.score(odd.limit(0)).count() == 0
 
 
+def test_toxicity_learns_few_texts_that_repeat_a_common_stem(spark):
+    rng = np.random.default_rng(7)
+    letter = lambda k: "x" + "".join("abcdefghij"[int(c)] for c in str(k))
+    rows, labels = [], []
+    for i in range(3000):
+        words = [letter(rng.integers(400)) for _ in range(40)]
+        bad, once = i % 50 == 0, i % 8 == 1
+        for j in range(3 if bad else once):  # one such word shows nothing, three do
+            words.insert(int(rng.integers(len(words))), "gromlich" + "abcdefgh"[int(rng.integers(8))] * (1 + j))
+        rows.append((i, " ".join(words), "de"))
+        labels.append((i, int(bad)))
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.Toxicity.fit(docs, marks)
+    assert "3^grom" in model.lexicon
+    got = model.score(docs).toPandas()
+    held = got[got.held_out]
+    assert held[held.doc_id % 50 == 0].predicted.mean() > 0.9 and held[held.doc_id % 50 > 0].predicted.mean() < 0.01
+
+
+def test_sure_units_bound_the_share_of_false_ones():
+    strong, weak = [(f"w{i}", 9, 9, 40.0) for i in range(5)], [(f"v{i}", 5, 9, 10.0) for i in range(5)]
+    assert toxicity.sure_units(strong + weak, 10_000, 300) == [f"w{i}" for i in range(5)]
+    assert toxicity.sure_units([("^abcd", 9, 9, 40.0), ("^abcde", 9, 9, 40.0), ("2^abcde", 8, 8, 36.0)], 100, 300) == ["^abcd", "2^abcde"]
+    assert toxicity.sure_units([], 0, 300) == []
+
+
 def test_toxicity_without_usable_labels(spark):
     docs = spark.createDataFrame([(1, "a", "en"), (2, "b", "en")], DOCS)
     none = spark.createDataFrame([(None, 1), (1, None), (2, 0), (2, 1)], "doc_id long, toxic int")
