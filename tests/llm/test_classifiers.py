@@ -93,6 +93,14 @@ def test_toxicity_learns_few_texts_that_repeat_a_common_stem(spark):
     assert held[held.doc_id % 50 == 0].predicted.mean() > 0.9 and held[held.doc_id % 50 > 0].predicted.mean() < 0.01
 
 
+def test_no_fold_is_judged_by_words_it_taught(spark):
+    # "foldword" marks toxic texts of fold 0 alone, "everyword" those of all folds
+    rows = [(float(i % 4 == 0), i, i // 4 % 4, f"plain text w{'abcdefghij'[i % 10]}" + " everyword" * (i % 4 == 0) + " foldword" * (i % 16 == 0)) for i in range(800)]
+    found = toxicity.learned_words(spark.createDataFrame(rows, "_label double, sketch long, fold int, text string"), 300, 5)
+    assert ["everyword" in x for x in found] == [True] * 5
+    assert ["foldword" in x for x in found] == [False, True, True, True, True]
+
+
 def test_sure_units_bound_the_share_of_false_ones():
     strong, weak = [(f"w{i}", 9, 9, 40.0) for i in range(5)], [(f"v{i}", 5, 9, 10.0) for i in range(5)]
     assert toxicity.sure_units(strong + weak, 10_000, 300) == [f"w{i}" for i in range(5)]
