@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ship_package
 
-from . import chat_format, embedding_dedup, language_id, line_dedup, mixing, ngram_join, quality_rules, sentencepieces, token_records, toxicity
+from . import chat_format, embedding_dedup, filter_audit, language_id, line_dedup, mixing, ngram_join, pii, quality_rules, sentencepieces, source_audit, token_records, toxicity
 from .common import read, scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,3 +101,18 @@ def op2_embedding_dedup(spark, sf_dir):
 @query
 def op1_ngram_join(spark, sf_dir):
     return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op12_private_terms(spark, sf_dir):
+    return pii.digests(pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op13_source_audit(spark, sf_dir):
+    return source_audit.audit(read(spark, sf_dir, "documents"))
