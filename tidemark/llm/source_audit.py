@@ -13,8 +13,8 @@ g's histogram of shares, and ``both`` the correction on terms that g and h share
 ``BLOCK`` sources in numpy: a term adds a small matrix to the block's, and a block's matrix leaves its task once for
 ``TERMS`` terms, so no pair of sources is ever written for a single term.
 
-Skew: copies fold on the map side before texts move; a text is then one row per source. Counts leave Python as
-sums of many texts, and fold again before they are shuffled. A term has at most one entry per source, a histogram at
+Skew: copies fold on the map side before texts move, and texts are known by their SHA-256. Counts leave Python as
+sums of many texts, so a common term is a few rows per task. A term has at most one entry per source, a histogram at
 most one per distinct count. Pairs of sources of a language are the result itself; they are dealt over ``DEAL`` tasks.
 
 Arithmetic is exact, in whole numbers. Defined results: null text, lang and source are the empty string;
@@ -36,52 +36,49 @@ from .common import settled, small
 
 MIN_DOCS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Entries that a task counts before it hands them on, and spellings it remembers.
-HELD = 200_000
-BLOCK, TERMS, DEAL = 512, 20_000, 16
+#: Entries that a task counts before it hands them on.
+HELD = 400_000
+BLOCK, TERMS, DEAL = 512, 2_000, 16
 
 
 def collapse(docs: DataFrame) -> DataFrame:
-    """One row per language and text, with ``sources``, an array of (source, copies)."""
+    """One row per language and text, with ``sources``, an array of (source, copies). Texts move once."""
     rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    copies = rows.groupBy("lang", "text", "source").agg(F.count(F.lit(1)).alias("n"))
-    return copies.groupBy("lang", "text").agg(F.collect_list(F.struct("source", "n")).alias("sources"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    texts = rows.groupBy("lang", "digest").agg(F.first("text").alias("text"))
+    copies = rows.groupBy("lang", "digest", "source").agg(F.count(F.lit(1)).alias("n"))
+    copies = copies.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "n")).alias("sources"))
+    return texts.join(copies, ["lang", "digest"]).drop("digest")
 
 
 def count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums over many texts: (lang, term, source, n), and document frequencies with a null source."""
-    held: dict[tuple, Counter] = defaultdict(Counter)
-    spelt: dict[str, str] = {}
-
-    def out() -> pd.DataFrame:
-        rows = [(lang, term, source, n) for (lang, source), terms in held.items() for term, n in terms.items()]
-        held.clear()
-        return pd.DataFrame(rows, columns=["lang", "term", "source", "n"])
+    """Sums over many texts: (lang, source, term, n occurrences, number of documents)."""
+    count: dict[tuple[str, str], Counter] = defaultdict(Counter)
+    docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
+
+    def out() -> Iterator[pd.DataFrame]:
+        for (lang, source), terms in count.items():
+            seen = docs[lang, source]
+            rows = pd.DataFrame({"term": list(terms), "n": list(terms.values()), "docs": [seen[t] for t in terms]})
+            yield rows.assign(lang=lang, source=source)
+        count.clear()
+        docs.clear()
 
     for batch in batches:
         for lang, text, sources in zip(batch["lang"], batch["text"], batch["sources"]):
-            terms: Counter = Counter()
-            for word, n in Counter(TERM.findall(text)).items():
-                low = spelt.get(word)
-                if low is None:
-                    if len(spelt) > HELD:
-                        spelt.clear()
-                    low = spelt[word] = word.translate(CAPITALS)
-                terms[low] += n
-            where = [(s["source"], int(s["n"])) for s in sources]
-            copies = sum(n for _, n in where)
-            seen = held[lang, None]
-            for term in terms:
-                seen[term] += copies
-            for source, copies in where:
-                own = held[lang, source]
-                for term, n in terms.items():
-                    own[term] += n * copies
-            if sum(map(len, held.values())) > HELD:
-                yield out()
-    if held:
-        yield out()
+            words = TERM.findall(text.encode().lower().decode())  # of bytes, only A to Z have a lower case
+            for s in sources:
+                own, seen, copies = count[lang, s["source"]], docs[lang, s["source"]], int(s["n"])
+                if copies == 1:
+                    own.update(words)
+                    seen.update(set(words))
+                else:
+                    for term, n in Counter(words).items():
+                        own[term] += n * copies
+                        seen[term] += copies
+            if sum(map(len, count.values())) > HELD:
+                yield from out()
+    yield from out()
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -93,13 +90,12 @@ def share(count: Column, n: Column, v: Column) -> Column:
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Rows (lang, term, n, sources): the kept terms with their counts, in all and by source."""
-    sums = collapse(docs).mapInPandas(count_terms, "lang string, term string, source string, n long")
-    sums = sums.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    named = F.col("source").isNotNull()
+    counted = collapse(docs).mapInPandas(count_terms, "lang string, source string, term string, n long, docs long")
+    # Python has folded these rows, so they are dealt by term as they are, and both sums are taken where they lie
+    dealt = counted.repartition("lang", "term")
+    sums = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     terms = sums.groupBy("lang", "term").agg(
-        F.sum(F.when(~named, F.col("n"))).alias("docs"),
-        F.sum(F.when(named, F.col("n"))).alias("n"),
-        F.collect_list(F.when(named, F.struct("source", "n"))).alias("sources"),
+        F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.collect_list(F.struct("source", "n")).alias("sources")
     )
     return terms.where(F.col("docs") >= min_docs).drop("docs")
 
