@@ -37,12 +37,14 @@ from .common import small, text_or_empty
 
 #: Fixed values of the mask: a rotation and a constant.
 ROTATE, ADD = 15, 0xA282EAD8
+#: Pieces that a worker remembers, in two generations: when the newer is full, only the older one goes.
 REMEMBERED = 800_000
 PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: Where Latin letters are the only ones, also between a letter and a mark.
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 LATIN_PIECE = re.compile(rf"[ \n]*[^ \n{LATIN}]*[{LATIN}]+|[ \n]*[^ \n{LATIN}]+|[ \n]+")
 OTHER_LETTER = re.compile(rf"[^\W\d_{LATIN}]")
+ASCII_BLANKS = "\t\r\v\f\x1c\x1d\x1e\x1f"
 OTHER_BLANK = re.compile(r"[^\S \n][ \n]")
 WIDTHS = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
@@ -83,6 +85,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
@@ -106,18 +109,19 @@ class Encoder:
             self.pieces.update(zip(safe, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
 
     def _cut(self, text: str) -> list[str] | None:
-        if OTHER_BLANK.search(text) or any(a in text for a in self.added):
+        plain = text.isascii()  # then a look for single characters does
+        if any(a in text for a in self.added) or ((not plain or any(map(text.__contains__, ASCII_BLANKS))) and OTHER_BLANK.search(text)):
             return None
-        return (PIECE if OTHER_LETTER.search(text) else LATIN_PIECE).findall(text)
+        return (PIECE if not plain and OTHER_LETTER.search(text) else LATIN_PIECE).findall(text)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         cut = list(map(self._cut, texts))
-        distinct = {p for pieces in cut if pieces for p in pieces}
-        if missing := [p for p in distinct if p not in self.pieces]:
-            if len(self.pieces) + len(missing) > REMEMBERED:
-                self.pieces.clear()
-                missing = list(distinct)
-            self._learn(missing)
+        distinct = set().union(*filter(None, cut))
+        if missing := distinct.difference(self.pieces):
+            if len(self.pieces) + len(missing) > REMEMBERED // 2:
+                self.older, self.pieces, missing = self.pieces, {}, distinct
+            self.pieces |= {p: self.older[p] for p in missing if p in self.older}
+            self._learn([p for p in missing if p not in self.pieces])
         for text, pieces in zip(texts, cut):
             yield self._each([text])[0] if pieces is None else b"".join(map(self.pieces.__getitem__, pieces))
 
