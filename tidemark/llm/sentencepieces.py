@@ -33,8 +33,8 @@ from .common import replacing
 
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
-#: Remembered units and pairs per worker; when full, the memory starts afresh.
-REMEMBERED = 500_000
+#: Remembered pairs, and units in two generations of half as many: when the newer is full, the older one goes.
+REMEMBERED = 800_000
 #: Bits for the right one of a pair.
 PAIR = 24
 
@@ -92,7 +92,8 @@ class PrefixTable:
         self.unknown = re.compile("[^" + re.escape("".join(sorted(known))) + "]")
         self.unit = units_of(self.id)
         self.pairs: dict[int, bool] = {}
-        self.units: dict[str, list[int]] = {}
+        self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """What merging makes of a short text: the best-scored neighbours first, the leftmost of equals."""
@@ -151,10 +152,21 @@ class PrefixTable:
         """Whether merging reaches the piece at all."""
         return len(self.merged(self.text_of[piece])) == 1
 
-    def of_unit(self, unit: str) -> list[int]:
+    def of_unit(self, unit: str) -> bytes:
+        """The ids of a unit, 32 bits each."""
         found = self.units.get(unit)
         if found is not None:
             return found
+        packed = self.older.get(unit)
+        if packed is None:
+            packed = array("i", self.found(unit)).tobytes()
+        if len(unit) <= 40:
+            if len(self.units) >= REMEMBERED // 2:
+                self.older, self.units = self.units, {}
+            self.units[unit] = packed
+        return packed
+
+    def found(self, unit: str) -> list[int]:
         ids: list[int] = []
         at = 0
         for m in self.unknown.finditer(unit):
@@ -164,23 +176,20 @@ class PrefixTable:
             at = m.end()
         if at < len(unit):
             ids += self.run(unit[at:] if at else unit)
-        if len(unit) <= 40:
-            if len(self.units) >= REMEMBERED:
-                self.units.clear()
-            self.units[unit] = ids
         return ids
 
     def encode(self, text: str | None) -> list[int]:
+        return array("i", self.packed(text)).tolist()
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text, 32 bits each."""
         if not text:
-            return []
+            return b""
         marked = text.replace(" ", SPACE)
         if self.dummy_prefix:
             marked = SPACE + marked
-        ids: list[int] = []
         known, of_unit = self.units.get, self.of_unit
-        for unit in self.unit.findall(marked):
-            ids += known(unit) or of_unit(unit)
-        return ids
+        return b"".join([known(unit) or of_unit(unit) for unit in self.unit.findall(marked)])
 
     def decode(self, ids: list[int] | None) -> str:
         """Pieces in a row, byte pieces joined to characters; bytes that form none become U+FFFD, one each."""
@@ -211,11 +220,11 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: st
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        of = table(path).encode
-        values, sizes = array("i"), [0]
+        of = table(path).packed
+        values, sizes = bytearray(), [0]
         for text in texts:
-            values.extend(of(text.as_py()))
-            sizes.append(len(values))
+            values += of(text.as_py())
+            sizes.append(len(values) // 4)
         return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
 
     # a decoder above would else run the encoder a second time, inlined
