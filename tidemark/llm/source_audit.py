@@ -51,6 +51,11 @@ def collapse(docs: DataFrame) -> DataFrame:
     return texts.join(copies, ["lang", "digest"]).drop("digest")
 
 
+def texts(value: str, n: int) -> np.ndarray:
+    """A column of one text as plain objects, which all versions of pandas hand on as one array."""
+    return np.full(n, value, object)
+
+
 def count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sums over many texts: (lang, source, term, n occurrences, number of documents)."""
     count: dict[tuple[str, str], Counter] = defaultdict(Counter)
@@ -59,8 +64,8 @@ def count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def out() -> Iterator[pd.DataFrame]:
         for (lang, source), terms in count.items():
             seen = docs[lang, source]
-            rows = pd.DataFrame({"term": list(terms), "n": list(terms.values()), "docs": [seen[t] for t in terms]})
-            yield rows.assign(lang=lang, source=source)
+            numbers = {"n": list(terms.values()), "docs": [seen[t] for t in terms]}
+            yield pd.DataFrame({"lang": texts(lang, len(terms)), "source": texts(source, len(terms)), "term": np.array([*terms, None], object)[:-1], **numbers})
         count.clear()
         docs.clear()
 
@@ -117,7 +122,7 @@ def add_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def out() -> pd.DataFrame:
         lang, a, b = at
         rows, columns = np.nonzero(total)
-        return pd.DataFrame({"lang": lang, "g": rows + a * BLOCK, "h": columns + b * BLOCK, "value": total[rows, columns]})
+        return pd.DataFrame({"lang": texts(lang, len(rows)), "g": rows + a * BLOCK, "h": columns + b * BLOCK, "value": total[rows, columns]})
 
     for batch in batches:
         for lang, a, b, entries in zip(batch["lang"], batch["a"], batch["b"], batch["entries"]):
