@@ -1,7 +1,11 @@
 """SQL that gives the same results as ``checks.queries`` on the same tables."""
 from __future__ import annotations
 
+from tidemark.functions.arma import Shape
+from tidemark.operators.models import SEARCH_ORDERS
+
 from .inputs import sql_round as r
+from .regressions import ahead, best_of, trained, with_
 
 LINES = "SELECT * FROM lineitem WHERE l_discount > 0 AND l_tax > 0"
 
@@ -88,18 +92,18 @@ def acf(source: str, key: str, y: str, shown: str) -> str:
     FROM b"""
 
 
-def ljung_box(source: str, key: str, y: str) -> str:
-    """The chi-square tail is the finite sum for an even number of lags."""
+def ljung_box(source: str, key: str, y: str, digits: int = 6, odd: bool = False) -> str:
+    """The chi-square tail is the finite sum for an even number of lags, or with ``odd`` the series of its complement."""
+    tail = "exp(-q / 2) * list_sum([pow(q / 2, i) / factorial(CAST(i AS INTEGER)) for i in range(0, top // 2)])"
+    if odd:
+        tail = "1 - list_sum([exp((top / 2 + i) * ln(q / 2) - q / 2 - lgamma(top / 2 + i + 1)) for i in range(0, 300)])"
     return f"""
     WITH {correlations(source, key, y)},
     l AS (SELECT DISTINCT {key}, n_obs, unnest([least(10, greatest(1, least(20, n_obs - 1))),
                  greatest(1, least(20, n_obs - 1))]) AS top FROM acf),
     q AS (SELECT {key}, l.n_obs, top, l.n_obs * (l.n_obs + 2) * sum(acf * acf / (l.n_obs - lag)) AS q
           FROM l JOIN acf USING ({key}) WHERE lag BETWEEN 1 AND top GROUP BY 1, 2, 3)
-    SELECT {key}, n_obs, CAST(top AS INTEGER) AS lag, {r('q')} AS q,
-           {r('exp(-q / 2) * list_sum([pow(q / 2, i) / factorial(CAST(i AS INTEGER)) for i in range(0, top // 2)])')}
-               AS p_value
-    FROM q"""
+    SELECT {key}, n_obs, CAST(top AS INTEGER) AS lag, {r('q', digits)} AS q, {r(tail, digits)} AS p_value FROM q"""
 
 
 HOLDOUT = f"""
@@ -380,3 +384,38 @@ ORACLES: dict[str, str] = {
         SELECT user_id, CAST(n AS BIGINT) AS n_pairs, {r('g')} AS gamma, {r('t_stat')} AS t_stat, t_stat < -2.86 AS stationary
         FROM t""",
 }
+
+
+def _fits(source: str, key: str, **options: str) -> list[str]:
+    return trained(source, key, "avg_value", "n_events", **options)
+
+
+_by_user, _by_type = _fits(BY_USER, "user_id"), _fits(BY_TYPE, "event_type")
+_seasonal = "CASE WHEN weekly THEN '{0}1{1}1{1}1{1}7{2}' ELSE '{0}0{1}0{1}0{1}0{2}' END"
+_model_id = """'run-' || sha256('{"user_id":' || user_id || '}')"""
+_residuals = f"{with_(_by_type)} SELECT event_type, date, e AS residual, t <= 17 AS burn_in FROM steps JOIN fits USING (event_type) WHERE t > 0 AND status = 'fitted'"
+
+ORACLES |= {
+    "sarimax_models": f"""{with_(_by_user)}
+        SELECT user_id, n_obs, coalesce(n_eff, greatest(n_obs - CASE WHEN weekly THEN 17 ELSE 3 END, 0)) AS n_eff, {r('aic', 4)} AS aic, {r('gain', 4)} AS aic_gain,
+               converged, status, {r('sigma2', 4)} AS sigma2, '1,1,1' AS "order", {_seasonal.format('', ',', '')} AS seasonal_order,
+               {r('b', 4)} AS coefficient, {r('ar', 4)} AS ar, {r('ma', 4)} AS ma FROM fits""",
+    "aic_gate": f"""{with_(_fits(BY_TYPE, "event_type", basis="common"))}
+        SELECT event_type, {r('gain', 4)} AS aic_gain, status, coalesce(status = 'fitted' AND gain >= 1, false) AS registered FROM fits""",
+    "sarimax_residuals": f"SELECT event_type, {DAY}, {r('residual', 4)} AS residual, burn_in FROM ({_residuals}) days_of_fits",
+    "sarimax_residual_whiteness": ljung_box(f"SELECT * FROM ({_residuals}) x WHERE residual IS NOT NULL", "event_type", "residual", 4, True),
+    "auto_arima": f"""{with_(best_of(BY_TYPE, "event_type", "avg_value", "n_events", [Shape.of(*c) for c in SEARCH_ORDERS]))}
+        SELECT event_type, n_obs, n_fitted, "order", {r('aic', 4)} AS aic FROM best""",
+    "model_registry": f"""{with_(_by_user)}
+        SELECT user_id, 'value_per_day' AS model_name, 'v1' AS model_version, 'models#' || {_model_id} AS model_path, '' AS mlflow_model_uri, 'daily_events' AS target_series,
+               '2024-01-01T00:00:00.000000+00:00' AS created_utc, '(1, 1, 1)' AS "order", {_seasonal.format('(', ', ', ')')} AS seasonal_order, n_obs, 'n_events' AS exog_columns,
+               'Staging' AS stage, 'active' AS status, {r('round(base_aic, 3)', 2)} AS train_aic_baseline, {r('round(aic, 3)', 2)} AS train_aic_sarimax, {r('round(gain, 3)', 2)} AS aic_gain
+        FROM fits WHERE status = 'fitted' AND gain >= 1""",
+    "sarimax_forecast": f"""{with_(_by_user + ahead("user_id", "5"))}
+        SELECT user_id, {_model_id} AS model_id, h AS horizon_step, {r('zs[1] + b * days.x', 4)} AS forecast_avg_value
+        FROM ahead JOIN fits USING (user_id) JOIN days USING (user_id) WHERE h > 0 AND status = 'fitted' AND gain >= 1 AND days.t = n - 5 + h""",
+    "sarimax_holdout_metrics": f"""{with_(_fits(BY_USER, "user_id", kept="n - least(7, greatest(1, n // 5))") + ahead("user_id", "7"))},
+        o AS (SELECT days.user_id, y AS actual, CASE WHEN status = 'fitted' THEN zs[1] + b * x END AS forecast
+              FROM days JOIN fits USING (user_id) LEFT JOIN ahead ON ahead.user_id = days.user_id AND h = t - kept WHERE t > kept)
+        SELECT user_id, count(forecast) AS n, {r('avg(abs(actual - forecast))', 4)} AS mae, {r('sqrt(avg((actual - forecast) ** 2))', 4)} AS rmse FROM o GROUP BY user_id""",
+}

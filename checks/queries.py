@@ -312,12 +312,13 @@ def _trained(spark, sf_dir, keys=BY_USER):
 
 @query
 def sarimax_models(spark, sf_dir):
-    return _trained(spark, sf_dir).select(
-        *BY_USER, "n_obs", "n_eff", "aic", "aic_gain", "converged", "status",
+    fits = _trained(spark, sf_dir).select(
+        *BY_USER, "n_obs", "n_eff", "aic", "aic_gain", "converged", "status", "sigma2",
         F.array_join("order", ",").alias("order"),
         F.array_join("seasonal_order", ",").alias("seasonal_order"),
-        F.array_join(F.transform("params", lambda p: p.cast("string")), ",").alias("params"),
+        *(F.get("params", F.lit(i)).alias(c) for i, c in enumerate(("coefficient", "ar", "ma"))),
     )
+    return present(fits, 4)
 
 
 @query
@@ -332,7 +333,7 @@ def aic_gate(spark, sf_dir):
     fits = models.train(
         daily_events(spark, sf_dir, *BY_TYPE), BY_TYPE, "date", VALUE, EXOG, aic_basis="common"
     )
-    return fits.select(*BY_TYPE, "aic_gain", "status", models.passes_gate(1.0).alias("registered"))
+    return present(fits.select(*BY_TYPE, "aic_gain", "status", models.passes_gate(1.0).alias("registered")), 4)
 
 
 def _closed_form(spark, sf_dir, basis="own"):
@@ -392,14 +393,14 @@ def closed_form_forecast(spark, sf_dir):
 
 @query
 def sarimax_residuals(spark, sf_dir):
-    return models.residuals(_trained(spark, sf_dir, BY_TYPE), BY_TYPE)
+    return present(models.residuals(_trained(spark, sf_dir, BY_TYPE), BY_TYPE), 4)
 
 
 @query
 def auto_arima(spark, sf_dir):
     series = daily.series_rows(daily_events(spark, sf_dir, *BY_TYPE), BY_TYPE, "date", VALUE, EXOG)
     best = models.fit_auto_arima(series, BY_TYPE)
-    return best.select(*BY_TYPE, "n_obs", "n_fitted", F.array_join("order", ",").alias("order"), "aic")
+    return present(best.select(*BY_TYPE, "n_obs", "n_fitted", F.array_join("order", ",").alias("order"), "aic"), 4)
 
 
 @query
@@ -428,7 +429,7 @@ def _registered(spark, sf_dir):
     stored = kept(registry.serialize_model(_trained(spark, sf_dir), BY_USER, "run"))
     rows = registry.registry_rows(
         stored, BY_USER, model_name="value_per_day", model_version="v1", target_series="daily_events",
-        store_table="models", created=datetime.now(timezone.utc), min_aic_improvement=1.0,
+        store_table="models", created=datetime(2024, 1, 1, tzinfo=timezone.utc), min_aic_improvement=1.0,
     )
     return stored, rows
 
@@ -436,7 +437,9 @@ def _registered(spark, sf_dir):
 @query
 def model_registry(spark, sf_dir):
     _, rows = _registered(spark, sf_dir)
-    return registry.as_text_layout(rows, BY_USER)
+    text = registry.as_text_layout(rows.withColumn("metrics", F.transform_values("metrics", lambda _, v: F.round(v, 3))), BY_USER)
+    parts = {k: F.get_json_object("metrics_json", f"$.{k}").cast("double") for k in ("train_aic_baseline", "train_aic_sarimax", "aic_gain")}
+    return present(text.withColumns(parts).drop("metrics_json"), 2)
 
 
 @query
@@ -450,7 +453,7 @@ def sarimax_forecast(spark, sf_dir):
         daily_events(spark, sf_dir, *BY_USER), registry.deserialize_model(stored, newest),
         BY_USER, "date", EXOG, HORIZON,
     )
-    return inference.forecast(ready, BY_USER, VALUE, ["model_id"])
+    return present(inference.forecast(ready, BY_USER, VALUE, ["model_id"]), 4)
 
 
 # evaluation
@@ -489,7 +492,7 @@ def sarimax_holdout_metrics(spark, sf_dir):
     days = evaluation.holdout_forecasts(
         daily_events(spark, sf_dir, *BY_USER), BY_USER, "date", VALUE, EXOG
     )
-    return evaluation.compute_metrics(days, "actual_avg_value", "forecast_avg_value", BY_USER)
+    return present(evaluation.compute_metrics(days, "actual_avg_value", "forecast_avg_value", BY_USER), 4)
 
 
 # diagnostics
@@ -524,7 +527,7 @@ def ljung_box_of_residuals(spark, sf_dir):
 @query
 def sarimax_residual_whiteness(spark, sf_dir):
     errors = models.residuals(_trained(spark, sf_dir, BY_TYPE), BY_TYPE)
-    return diagnostics.ljung_box_test(errors, "residual", BY_TYPE)
+    return present(diagnostics.ljung_box_test(errors, "residual", BY_TYPE), 4)
 
 
 @query

@@ -262,12 +262,12 @@ def test_a_search_that_has_not_converged_is_failed(spark, monkeypatch):
 
     from tidemark.operators import models
 
-    fit = models.fit_when
+    fit = models.fit_series
 
     def never(*args):
-        return fit(*args).withField("converged", F.lit(False))
+        return fit(*args).withColumn("_fit", F.col("_fit").withField("converged", F.lit(False)))
 
-    monkeypatch.setattr(models, "fit_when", never)
+    monkeypatch.setattr(models, "fit_series", never)
     days = spark.createDataFrame(
         [("a", dt.date(2024, 1, 1) + dt.timedelta(d), float(d % 5 + d % 3)) for d in range(25)], "k string, date date, y double"
     )

@@ -1,13 +1,10 @@
-"""Column expressions used by several operators.  All but ``chi2_tail`` stay in the JVM."""
+"""Column expressions used by several operators.  All stay in the JVM."""
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed value: the 97.5 % point of the standard normal distribution.
 NORMAL_975 = 1.959963984540054
@@ -99,23 +96,37 @@ def ljung_box(acf: Column, n_obs: Column, lag: Column) -> Column:
     return n_obs * (n_obs + 2) * total(terms)
 
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+#: Terms of the series and of the continued fraction below; both have settled long before.
+TERMS = 200
 
 
-def _upper_tail(q: np.ndarray, dof: int) -> np.ndarray:
-    """P(chi-square with ``dof`` degrees of freedom > q) for many q, by the finite sums."""
-    half = np.where(q > 0, q, 1.0) / 2
-    # terms half^power e^-half / gamma(power + 1), from 0 or, for odd degrees, from 1/2
-    tail = _erfc(np.sqrt(half)).astype(float) if dof % 2 else np.zeros_like(half)
-    for power in np.arange(dof % 2 / 2, dof / 2):
-        tail += np.exp(power * np.log(half) - half - math.lgamma(power + 1))
-    return np.where(np.isnan(q), np.nan, np.where(q > 0, np.minimum(tail, 1.0), 1.0))
+def chi2_tail(q: Column, dof: Column) -> Column:
+    """P(chi-square with ``dof`` degrees of freedom > q); null for null, 1 up to zero, NaN for NaN.
 
+    A finite sum for even degrees. For odd ones the incomplete gamma function: its series below the
+    mean, its continued fraction above, where the tail may be tiny.
+    """
 
-@F.pandas_udf(T.DoubleType())
-def chi2_tail(q: pd.Series, dof: pd.Series) -> pd.Series:
-    out = np.full(len(q), np.nan)
-    values, degrees = q.to_numpy(dtype=float), dof.to_numpy()
-    for d in np.unique(degrees):
-        out[degrees == d] = _upper_tail(values[degrees == d], int(d))
-    return pd.Series(out)
+    def tail(v: Column) -> Column:
+        x, a = v["x"], v["a"]
+
+        def poisson(acc: Column, i: Column) -> Column:
+            return F.struct((acc["t"] * x / i).alias("t"), (acc["s"] + acc["t"]).alias("s"))
+
+        even = F.aggregate(F.sequence(F.lit(1), F.greatest(F.floor(a).cast("int"), F.lit(1))), F.struct(F.exp(-x).alias("t"), F.lit(0.0).alias("s")), poisson, lambda acc: acc["s"])
+        # the gamma function at a, half of an odd number
+        halves = F.sequence(F.lit(1), F.greatest(F.ceil(a).cast("int") - 1, F.lit(1)))
+        log_gamma = 0.5 * math.log(math.pi) + F.aggregate(halves, F.lit(0.0), lambda s, j: s + F.when(j < a, F.ln(j - 0.5)).otherwise(0.0))
+        front = let(log_gamma, lambda g: F.exp(a * F.ln(x) - x - g))
+
+        def grow(acc: Column, n: Column) -> Column:
+            return F.struct((acc["t"] * x / (a + n)).alias("t"), (acc["s"] + acc["t"]).alias("s"))
+
+        steps = F.sequence(F.lit(1), F.lit(TERMS))
+        series = let(front, lambda f: F.aggregate(steps, F.struct((f / a).alias("t"), F.lit(0.0).alias("s")), grow, lambda acc: 1 - acc["s"]))
+        fraction = F.aggregate(F.reverse(steps), x + 2 * TERMS + 1 - a, lambda f, i: x + 2 * i - 1 - a - i * (i - a) / f)
+        odd = F.when(x < a + 1, series).otherwise(front / fraction)
+        return F.least(F.when(v["dof"] % 2 == 0, even).otherwise(odd), F.lit(1.0))
+
+    value = F.struct((q / 2).alias("x"), (dof / 2).alias("a"), dof.cast("int").alias("dof"))
+    return F.when(F.isnan(q), q).when(q <= 0, 1.0).when(q.isNotNull(), let(value, tail))

@@ -121,5 +121,5 @@ def series_rows(
         F.size("days").cast("bigint").alias("n_obs"),
         F.col("days.date").alias("dates"),
         F.col("days.y").alias("y"),
-        x.alias("x"),
+        x.alias("x", metadata={"count": len(exog)}),
     )

@@ -102,7 +102,7 @@ def ljung_box_test(
     lags = F.array_distinct(F.array(F.least(F.lit(10), longest), longest))
     rows = series.withColumn("lag", F.explode(lags))
     rows = rows.withColumn("q", ljung_box(F.col("acf"), F.col("n_obs"), F.col("lag")))
-    return rows.select(*series_keys, "n_obs", "lag", "q", chi2_tail("q", "lag").alias("p_value"))
+    return rows.select(*series_keys, "n_obs", "lag", "q", chi2_tail(F.col("q"), F.col("lag")).alias("p_value"))
 
 
 def check_stationarity(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import Order, SeasonalOrder
 from .daily import length_status, series_rows
 from .features import MAX_HOLDOUT, holdout_length
-from .models import ar1_forecast, choose_order, fit_when, forecast_sarimax
+from .models import SEASONAL_FROM, ar1_forecast, fit_series, forecast_sarimax
 
 
 def compute_metrics(
@@ -58,11 +58,13 @@ def holdout_forecasts(
     min_observations: int = 10,
     model: str = "sarimax",
     partitions: int | None = None,
+    seasonal_from: int = SEASONAL_FROM,
 ) -> DataFrame:
     """Rows (date, actual_<target>, forecast_<target>, status) of the held-out days.
 
-    ``model`` is ``"sarimax"`` or ``"ar1"``, the baseline.  The forecast is null where the
-    training part is too short or the fit failed, and the status says so.
+    ``model`` is ``"sarimax"`` or ``"ar1"``, the baseline.  The orders follow the length of the
+    training part as in ``train``.  The forecast is null where the training part is too short
+    or the fit failed (no days left to score), and the status says so.
     """
     series = series_rows(df, series_keys, date_col, target, exog, partitions)
     parts = split_series(series, series_keys, min_observations)
@@ -71,10 +73,7 @@ def holdout_forecasts(
         forecast = F.when(enough, ar1_forecast(F.col("_phi"), F.try_element_at("y", F.lit(-1)), MAX_HOLDOUT))
         done = parts.withColumn("_phi", _ar1_slope("y")).withColumn("forecast", forecast)
     elif model == "sarimax":
-        chosen, chosen_seasonal = choose_order(F.col("n_train"), order, seasonal)
-        fitted = parts.withColumns({"order": chosen, "seasonal_order": chosen_seasonal}).withColumn(
-            "_fit", fit_when(enough, "y", "x", F.lit(0))
-        )
+        fitted = fit_series(parts, "y", "x", len(exog), F.col("n_train"), enough, order, seasonal, seasonal_from)
         done = fitted.withColumn(
             "forecast", forecast_sarimax("_fit.", F.col("future"), F.size("actual"))
         ).withColumn(

@@ -1,46 +1,28 @@
 """Fitting: a closed-form baseline and a seasonal model with regressors, per series.
 
-The baseline is sums over lagged pairs.  The candidate is fitted by an Arrow function over
-one row per series; rows stay where the exchange by series put them, so baseline, fit and
-gate share that one exchange.
+Both are sums and small linear systems in column expressions (``functions.arma``), so no row leaves the JVM.
+Rows stay where the exchange by series put them: baseline, fit and gate share that one exchange.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import Order, SeasonalOrder
+from ..functions import arma
+from ..functions.arma import Shape
 from ..functions.columns import continue_series, gaussian_aic, regression_part
-from ..functions.sarimax import Shape, fit_batch
 from .daily import by_date, complete_cases, spread_by_series
 
 #: Days from which the seasonal order is used, unless a job says otherwise.
 SEASONAL_FROM = 30
+#: Days from which shocks come from a deeper autoregression, and by how many seasons more.
+DEEP_FROM, DEEP = 150, 1
 SHORT_ORDER: Order = (1, 1, 1)
 SHORT_SEASONAL: SeasonalOrder = (0, 0, 0, 0)
 
-_DOUBLES = T.ArrayType(T.DoubleType())
-FIT_TYPE = (
-    T.StructType()
-    .add("params", _DOUBLES)
-    .add("sigma2", T.DoubleType())
-    .add("llf", T.DoubleType())
-    .add("aic", T.DoubleType())
-    .add("n_eff", T.LongType())
-    .add("converged", T.BooleanType())
-    .add("recursion", _DOUBLES)
-    .add("recent", _DOUBLES)
-    .add("shocks", _DOUBLES)
-    .add("resid", _DOUBLES)
-    .add("burn_in", T.IntegerType())
-)
-
-
 def int_array(values: Sequence[int]) -> Column:
     return F.array(*(F.lit(int(v)) for v in values))
 
@@ -59,34 +41,24 @@ def choose_order(
     )
 
 
-def _by_shape(order: pd.Series, seasonal: pd.Series) -> Iterator[tuple[tuple, tuple, np.ndarray]]:
-    """Positions of the rows of a batch that share one model shape."""
-    shapes = pd.Series([(*o, *s) for o, s in zip(order, seasonal)])
-    for shape, rows in shapes.groupby(shapes).indices.items():
-        yield shape[:3], shape[3:], rows
-
-
-@F.pandas_udf(FIT_TYPE)
-def _fit_sarimax(
-    y: pd.Series, x: pd.Series, order: pd.Series, seasonal: pd.Series, burn: pd.Series
-) -> pd.DataFrame:
-    out: list[dict | None] = [None] * len(y)
-    for shape_order, shape_seasonal, rows in _by_shape(order, seasonal):
-        for floor in np.unique(burn.iloc[rows]):
-            same = [i for i in rows if burn.iloc[i] == floor]
-            fits = fit_batch(
-                [np.asarray(y.iloc[i], dtype=float) for i in same],
-                [[np.asarray(c, dtype=float) for c in x.iloc[i]] for i in same],
-                shape_order, shape_seasonal, int(floor),
-            )
-            for i, fit in zip(same, fits):
-                out[i] = fit
-    return pd.DataFrame(out, columns=FIT_TYPE.names)
-
-
-# The fit always gives the same result; the mark keeps the optimizer from copying the call
-# into a filter on its outcome, which would run every fit twice.
-fit_sarimax = _fit_sarimax.asNondeterministic()
+def fit_series(
+    df: DataFrame,
+    y: str,
+    x: str,
+    n_exog: int,
+    n_obs: Column,
+    ready: Column,
+    order: Order = (1, 1, 1),
+    seasonal: SeasonalOrder = (1, 1, 1, 7),
+    seasonal_from: int = SEASONAL_FROM,
+) -> DataFrame:
+    """Add ``_fit``, the model of ``arma.fit`` in the orders that ``choose_order`` gives, where ``ready``."""
+    choices = [
+        (ready & (n_obs < seasonal_from), Shape.of(SHORT_ORDER, SHORT_SEASONAL)),
+        (ready & (n_obs < DEEP_FROM), Shape.of(order, seasonal)),
+        (ready, Shape.of(order, seasonal, DEEP)),
+    ]
+    return arma.fit(df, y, x, n_exog, choices)
 
 
 def forecast_sarimax(model: str, future: Column, steps: Column) -> Column:
@@ -187,8 +159,8 @@ def train(
     """One model row per series: orders, parameters, both AICs, tail state, residuals, status.
 
     ``aic_basis="common"`` scores baseline and candidate on the same days; ``"own"`` leaves
-    each the days its own states allow.  Status is ``fitted``, ``failed`` or ``too_short``; a
-    search that has not converged is ``failed``.
+    each the days its own states allow.  Status is ``fitted``, ``failed`` (no finite AIC, or no
+    more days to score than parameters) or ``too_short``.
     """
     burns = [max(Shape.of(o, s).k_states, 1) for o, s in ((order, seasonal), (SHORT_ORDER, SHORT_SEASONAL))]
     shared = F.when(F.col("_n") >= seasonal_from, burns[0]).otherwise(burns[1])
@@ -214,9 +186,10 @@ def train(
     )
     chosen, chosen_seasonal = choose_order(F.col("n_obs"), order, seasonal, seasonal_from)
     ready_to_fit = F.col("n_obs") >= min_observations
+    days_left_out = F.when(F.col("n_obs") >= seasonal_from, burns[0]).otherwise(burns[1])
+    chosen_rows = baseline.withColumns({"order": chosen, "seasonal_order": chosen_seasonal})
     fitted = (
-        baseline.withColumns({"order": chosen, "seasonal_order": chosen_seasonal})
-        .withColumn("_fit", fit_when(ready_to_fit, "_y", "_x", F.lit(0)))
+        fit_series(chosen_rows, "_y", "_x", len(exog), F.col("n_obs"), ready_to_fit, order, seasonal, seasonal_from)
         .select(
             *series_keys,
             "n_obs",
@@ -229,6 +202,7 @@ def train(
             "baseline",
             "dates",
         )
+        .withColumn("n_eff", F.coalesce("n_eff", F.greatest(F.col("n_obs") - days_left_out, F.lit(0))))
     )
     gain = F.col("baseline.aic") - F.col("aic")
     status = (
@@ -246,18 +220,11 @@ def regressors(days: str, count: int) -> Column:
     return F.array(*(F.col(f"{days}.x{i}") for i in range(count)))
 
 
-def fit_when(condition: Column, y: str, x: str, burn: Column) -> Column:
-    """Fit where the condition holds; other rows hand Python an empty series."""
-    nothing = F.array().cast("array<double>")
-    return fit_sarimax(
-        F.when(condition, F.col(y)).otherwise(nothing),
-        F.when(condition, F.col(x)).otherwise(F.transform(x, lambda _: nothing)),
-        F.col("order"), F.col("seasonal_order"), burn.cast("int"),
-    )
-
-
 def residuals(models: DataFrame, series_keys: Sequence[str]) -> DataFrame:
-    """One-step errors of fitted models by date; the first ``k_states`` days are ``burn_in``."""
+    """One-step errors of fitted models by date; the first ``k_states`` days are ``burn_in``.
+
+    Days that have fewer days before them than the model looks back on have no error (null).
+    """
     rows = models.filter(F.col("status") == "fitted").select(
         *series_keys,
         F.col("burn_in").alias("_burn"),
@@ -286,37 +253,34 @@ def search_orders(
     series: DataFrame,
     series_keys: Sequence[str],
     candidates: Sequence[tuple[Order, SeasonalOrder]] = SEARCH_ORDERS,
-    spread: bool = False,
+    n_exog: int | None = None,
 ) -> DataFrame:
-    """Fit every candidate order to every series of ``series_rows``: one row for each pair.
+    """Every candidate order for every series of ``series_rows``: one row for each pair.
 
-    All candidates of a search are scored on the same days.  ``spread`` sends the candidates
-    of one series to different tasks, for few and long series; by default they stay together
-    and the data is not copied through a shuffle.
+    All candidates of a search are scored on the same days, and those with the same differences come from
+    one matrix of moments per series. ``n_exog`` is the number of regressors in ``x``; if it is not given, it is
+    read from the plan's column list, which ``series_rows`` leaves there. ``train`` fits the order that is chosen.
     """
-    burn = max(Shape.of(o, s).k_states for o, s in candidates)
-    choices = F.array(
+    count = series.schema["x"].metadata.get("count", 0) if n_exog is None else n_exog
+    shapes = [Shape.of(o, s) for o, s in candidates]
+    tried = arma.search(series, "y", "x", count, shapes)
+    orders = F.array(
         *(F.struct(int_array(o).alias("order"), int_array(s).alias("seasonal_order")) for o, s in candidates)
     )
-    tried = series.withColumn("_choice", F.explode(choices)).select(
-        "*", "_choice.order", "_choice.seasonal_order"
+    both = tried.select(
+        *series_keys, "n_obs", F.explode(F.arrays_zip(orders.alias("o"), F.col("_tried").alias("f"))).alias("_one")
     )
-    if spread:
-        tried = tried.repartition(*series_keys, "order", "seasonal_order")
-    return tried.withColumn("_fit", fit_when(F.lit(True), "y", "x", F.lit(burn))).select(
-        *series_keys, "n_obs", "order", "seasonal_order",
-        *(f"_fit.{c}" for c in FIT_TYPE.names if c not in ("llf", "resid", "burn_in")),
-    )
+    return both.select(*series_keys, "n_obs", "_one.o.*", "_one.f.*")
 
 
 def fit_auto_arima(
     series: DataFrame,
     series_keys: Sequence[str],
     candidates: Sequence[tuple[Order, SeasonalOrder]] = SEARCH_ORDERS,
-    spread: bool = False,
+    n_exog: int | None = None,
 ) -> DataFrame:
-    """The converged candidate of least AIC for every series; fewer parameters win a tie."""
-    tried = search_orders(series, series_keys, candidates, spread)
+    """The candidate of least AIC for every series; fewer parameters win a tie."""
+    tried = search_orders(series, series_keys, candidates, n_exog)
     rank = F.when(
         F.col("aic").isNotNull() & F.col("converged"),
         F.struct("aic", F.size("params"), F.col("order"), F.col("seasonal_order")),

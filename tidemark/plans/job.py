@@ -237,6 +237,7 @@ class ForecastJob:
             cfg.sarimax_seasonal_order,
             cfg.min_observations,
             partitions=cfg.fit_partitions,
+            seasonal_from=cfg.seasonal_from,
         )
         self.tables.overwrite(days, cfg.holdout_table, replace_schema=True)
         stored = self.tables.read(cfg.holdout_table)
