@@ -86,7 +86,7 @@ def table_overwrite_and_append(spark, sf_dir):
     store.append(features.add_calendar_features(days).drop(VALUE), name)
     added = ("day_of_week", "day_of_month", "week_of_year", "month", "quarter", "is_weekend")
     rows = kept(store.read(name).withColumns({c: F.col(c).cast("double") for c in added}))
-    spark.sql(f"DROP TABLE {name}")
+    store.drop(name)
     return present(rows)
 
 

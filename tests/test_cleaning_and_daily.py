@@ -153,3 +153,37 @@ def test_series_arrays_are_in_order_of_date_whatever_the_input_order(spark):
     days = _days(spark, {"a": 20}).orderBy(F.rand(1))
     row = daily.series_rows(days, ["k"], "date", "x1", ["x2"]).first()
     assert row.y == [float(i) for i in range(20)] and row.x == [[float(i % 3) for i in range(20)]]
+
+
+def test_one_series_is_numbered_and_lagged_in_blocks(spark):
+    import random
+    from datetime import date, timedelta
+
+    from tidemark.operators import daily
+
+    random.seed(5)
+    days = sorted(random.sample(range(4000), 700))
+    rows = [(date(1995, 1, 1) + timedelta(d), float(d)) for d in days]
+    frame = spark.createDataFrame(random.sample(rows, len(rows)), "date date, v double")
+    found = daily.with_lags(
+        daily.numbered(frame, block_days=50), {"l1": ("v", 1), "l9": ("v", 9)}, block_rows=10
+    )
+    got = [tuple(r) for r in found.orderBy("t").select("t", "n_obs", "v", "l1", "l9").collect()]
+    v = [float(d) for d in days]
+    assert got == [(i + 1, 700, v[i], v[i - 1] if i else None, v[i - 9] if i >= 9 else None) for i in range(700)]
+    assert daily.numbered(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        daily.with_lags(daily.numbered(frame), {"l": ("v", 11)}, block_rows=10)
+
+
+def test_no_task_holds_all_days_of_one_series(spark):
+    """Rows gather in one place only as counts of blocks or as sums."""
+    from tidemark.operators import diagnostics, models
+
+    days = spark.range(1000).select(F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")).alias("date"), (F.col("id") % 7).cast("double").alias("v"))
+    for frame in (diagnostics.acf(days, "v"), models.ar1_baseline(days, (), "date", "v"), diagnostics.check_stationarity(days, "v")):
+        lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = lines[i + 1].split("- ", 1)[-1]
+                assert below.lstrip("*(0123456789) ").startswith(("HashAggregate", "ObjectHashAggregate", "SortAggregate")), below

@@ -66,6 +66,108 @@ def test_append_to_a_partitioned_table(spark):
     assert "PartitionFilters: [isnotnull(run_id" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("partition_by", [(), ("a",)])
+def test_a_writer_that_dies_leaves_old_or_new_rows(spark, monkeypatch, partition_by):
+    """Stop an overwrite before each of its statements in turn; a fresh store then finds whole rows."""
+    old = spark.range(3).withColumn("a", F.lit("x"))
+    new = spark.range(5).select((F.col("id") + 10).alias("id"), F.lit("y").alias("a"), F.lit(1.5).alias("more"))
+    new = new.select("id", "more", "a") if partition_by else new
+    calls = ("sql", "_intend", "_forget")
+    real_sql = type(spark).sql
+
+    class Dead(Exception):
+        pass
+
+    for stop in range(1, 9):
+        store, name = TableStore(spark), f"t_dies_{len(partition_by)}_{stop}"
+        store.overwrite(old, name)
+        left = [stop]
+
+        def counted(fn):
+            def run(*args, **kwargs):
+                left[0] -= 1
+                if left[0] == 0:
+                    raise Dead
+                return fn(*args, **kwargs)
+
+            return run
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", counted(real_sql))
+            for call in calls[1:]:
+                patch.setattr(TableStore, call, counted(getattr(TableStore, call)))
+            try:
+                store.overwrite(new, name, replace_schema=True, partition_by=partition_by)
+            except Dead:
+                pass
+        ids = sorted(r.id for r in TableStore(spark).read(name).collect())
+        assert ids in ([0, 1, 2], [10, 11, 12, 13, 14])
+        TableStore(spark).overwrite(old, name, replace_schema=True)
+        assert TableStore(spark).read(name).count() == 3
+        store.drop(name)
+        assert not store.exists(name)
+
+
+def test_a_record_cut_short_is_no_record(spark):
+    store = TableStore(spark)
+    store.overwrite(spark.range(2), "t_cut")
+    record = store._path(f"{store._root('t_cut')}/_intent")
+    stream = store._files(record).create(record, False)
+    stream.write(bytearray(b'{"folder": "'))
+    stream.close()
+    assert store.read("t_cut").count() == 2 and not store._files(record).exists(record)
+
+
+def test_readers_keep_the_snapshot_they_began_with(spark):
+    store = TableStore(spark)
+    store.overwrite(spark.range(2), "t_snap")
+    begun = store.read("t_snap")
+    store.overwrite(spark.range(7), "t_snap")
+    assert begun.count() == 2 and store.read("t_snap").count() == 7
+    with pytest.raises(ValueError):
+        store.link("/tmp", "t_snap")
+    for n in range(3):
+        store.overwrite(spark.range(n), "t_snap")
+    root = store._path(store._root("t_snap"))
+    assert len(store._files(root).listStatus(root)) == 2
+
+
+def test_a_repeated_append_replaces_its_own_rows(spark):
+    store = TableStore(spark)
+    for run, n in (("r1", 2), ("r2", 3), ("r1", 4)):
+        store.append(spark.range(n).withColumn("run_id", F.lit(run)), "t_again", ["run_id"], replace_partitions=True)
+    store.append(spark.range(1).selectExpr("id", "'n' AS note", "'r3' AS run_id"), "t_again", ["run_id"], replace_partitions=True)
+    assert {r.run_id: r.n for r in store.read("t_again").groupBy("run_id").agg(F.count("*").alias("n")).collect()} == {"r1": 4, "r2": 3, "r3": 1}
+    store.drop_partition("t_again", "run_id", "r2")
+    assert store.read("t_again").count() == 5
+
+
+def test_every_step_twice_with_one_run_id_leaves_single_rows(spark, small):
+    cfg = _config("again", small, min_aic_improvement=-1e9)
+    job = ForecastJob(spark, cfg)
+    for step in (job.ingest_data, job.clean_data, job.engineer_features):
+        step()
+        step()
+    for _ in range(2):
+        job.train_models("run-1")
+        job.register_model()
+        job.run_batch_inference("scoring-1")
+    for table in (cfg.model_store_table, cfg.registry_table, cfg.scoring_log_table):
+        assert spark.table(table).count() == 1
+    keys = spark.table(cfg.run_log_table).groupBy("run_id", "kind", "key").count()
+    assert keys.filter("count > 1").count() == 0
+
+
+def test_a_run_that_raises_leaves_no_models(spark, small):
+    cfg = _config("debris", small, min_observations=10_000)
+    job = ForecastJob(spark, cfg)
+    for step in (job.ingest_data, job.clean_data, job.engineer_features):
+        step()
+    with pytest.raises(ValueError):
+        job.train_models()
+    assert spark.table(cfg.model_store_table).count() == 0
+
+
 def test_read_and_write_by_mode(spark):
     frame = spark.range(2)
     write_delta(frame, "t_modes", format="parquet")

@@ -43,10 +43,51 @@ def by_date(series_keys: Sequence[str], date_col: str = "date", descending: bool
     return Window.partitionBy(*series_keys).orderBy(order)
 
 
+#: Days of the calendar, and later rows of a series, that one block holds.
+BLOCK_DAYS = 4096
+
+
+def numbered(df: DataFrame, date_col: str = "date", t: str = "t", n: str = "n_obs", block_days: int = BLOCK_DAYS) -> DataFrame:
+    """One series without keys: number its days in ``t`` and count them in ``n``, in many tasks.
+
+    Rows meet by blocks of the calendar. Only the blocks' counts, one row each, are summed up in one place; a
+    row's number is the count before its block plus its place in it. Rows without a date come first, as in a sort.
+    """
+    block = F.coalesce(F.floor(F.unix_date(F.to_date(date_col)) / block_days), F.lit(-(1 << 40))).alias("_block")
+    rows = df.select("*", block)
+    counts = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"), F.sum("_rows").over(Window.partitionBy(F.lit(0))).alias(n)
+    )
+    place = F.row_number().over(Window.partitionBy("_block").orderBy(date_col))
+    return rows.join(offsets, "_block").withColumn(t, (F.col("_offset") + place).cast("int")).drop("_block", "_offset")
+
+
+def with_lags(df: DataFrame, lagged: Mapping[str, tuple[str, int]], t: str = "t", block_rows: int = BLOCK_DAYS) -> DataFrame:
+    """Columns of earlier rows of one numbered series: ``lagged`` maps a new column to (column, rows back).
+
+    Rows are dealt into blocks by number. The last rows of a block go to the next one, too, so that lags reach
+    across the border without a window over the whole series.
+    """
+    reach = max((k for _, k in lagged.values()), default=0)
+    if reach > block_rows:
+        raise ValueError("a lag reaches over more than a block")
+    own = F.floor((F.col(t) - 1) / block_rows)
+    next_one = F.when((F.col(t) - 1) % block_rows >= block_rows - reach, own + 1)
+    both = F.array_compact(F.array(own, next_one))
+    dealt = df.select("*", F.posexplode(both).alias("_guest", "_block"))
+    window = Window.partitionBy("_block").orderBy(t)
+    found = dealt.withColumns({name: F.lag(column, k).over(window) for name, (column, k) in lagged.items()})
+    return found.where("_guest = 0").drop("_guest", "_block")
+
+
 def period_index(
     df: DataFrame, series_keys: Sequence[str] = (), date_col: str = "date", name: str = "t"
 ) -> DataFrame:
     """Number the days of a series from 1; a missing day leaves no gap in the numbers."""
+    if not series_keys:
+        return numbered(df, date_col, name, "_n").drop("_n")
     return df.withColumn(name, F.row_number().over(by_date(series_keys, date_col)))
 
 
@@ -54,6 +95,10 @@ def last_rows(
     df: DataFrame, n: int, series_keys: Sequence[str] = (), date_col: str = "date", step: str = "horizon_step"
 ) -> DataFrame:
     """The last ``n`` days of every series, numbered 1.. in order of time."""
+    if not series_keys:
+        # the newest rows of each part, then of all; no sort of the whole
+        newest_rows = df.orderBy(F.col(date_col).desc()).limit(n)
+        return newest_rows.withColumn(step, F.row_number().over(Window.orderBy(date_col)))
     newest = F.row_number().over(by_date(series_keys, date_col, descending=True))
     tail = df.withColumn("_age", newest).filter(F.col("_age") <= n)
     kept = F.count(F.lit(1)).over(Window.partitionBy(*series_keys))

@@ -17,7 +17,7 @@ from ..functions.columns import (
     ljung_box,
     partial_autocorrelations,
 )
-from .daily import by_date, complete_cases
+from .daily import by_date, complete_cases, numbered, with_lags
 
 MAX_LAG = 20
 # Fixed value: large-sample 5 % point of the Dickey-Fuller t statistic with a constant.
@@ -35,12 +35,25 @@ def autocorrelations(
 
     Correlations of a constant series are null.
     """
-    ordered = by_date(series_keys, date_col)
     ready = complete_cases(df, [value], date_col).select(*series_keys, date_col, F.col(value).alias("_v"))
+    if not series_keys:
+        return _correlations_of_one(ready, date_col, max_lag)
+    ordered = by_date(series_keys, date_col)
     centred = ready.withColumn("_c", F.col("_v") - F.avg("_v").over(Window.partitionBy(*series_keys)))
     lagged = centred.withColumns(
         {f"_c{k}": F.lag("_c", k).over(ordered) for k in range(1, max_lag + 1)}
     )
+    return _ratios(lagged, series_keys, max_lag)
+
+
+def _correlations_of_one(ready: DataFrame, date_col: str, max_lag: int) -> DataFrame:
+    """The same for one series: its days are centred and lagged in blocks."""
+    mean = ready.agg(F.avg("_v").alias("_mean"))
+    rows = numbered(ready, date_col, "_t", "_n").withColumn("_c", F.col("_v") - mean.scalar())
+    return _ratios(with_lags(rows, {f"_c{k}": ("_c", k) for k in range(1, max_lag + 1)}, "_t"), (), max_lag)
+
+
+def _ratios(lagged: DataFrame, series_keys: Sequence[str], max_lag: int) -> DataFrame:
     products = [F.sum(F.col("_c") * F.col(f"_c{k}" if k else "_c")) for k in range(max_lag + 1)]
     sums = lagged.groupBy(*series_keys).agg(
         F.count(F.lit(1)).alias("n_obs"), F.array(*products).alias("_s")
@@ -110,7 +123,10 @@ def check_stationarity(
 ) -> DataFrame:
     """Dickey-Fuller regression with a constant and no lags; stationary at 5 % if t < -2.86."""
     ready = complete_cases(df, [value], date_col)
-    pairs = ready.withColumn("_prev", F.lag(value).over(by_date(series_keys, date_col)))
+    if series_keys:
+        pairs = ready.withColumn("_prev", F.lag(value).over(by_date(series_keys, date_col)))
+    else:
+        pairs = with_lags(numbered(ready, date_col, "_t", "_n"), {"_prev": (value, 1)}, "_t")
     change = F.col(value) - F.col("_prev")
     sums = (
         pairs.withColumn("_change", change)

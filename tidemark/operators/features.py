@@ -1,6 +1,7 @@
 """Features of daily series: calendar, lags, rolling windows, splits.
 
-Every window here partitions by series and orders by date, so one exchange serves them all.
+Windows partition by series and order by date, so one exchange serves them all. One series without keys is
+numbered and lagged by blocks of its days (``daily.numbered``, ``daily.with_lags``), so no task holds all of it.
 """
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .daily import by_date
+from .daily import by_date, numbered, with_lags
 
 
 def parse_datetime_index(
@@ -70,6 +71,9 @@ def add_lag_features(
     series_keys: Sequence[str] = (),
     date_col: str = "date",
 ) -> DataFrame:
+    if not series_keys:
+        found = with_lags(numbered(df, date_col, "_t", "_n"), {f"{column}_lag_{k}": (column, k) for k in lags}, "_t")
+        return found.drop("_t", "_n")
     window = by_date(series_keys, date_col)
     return df.withColumns({f"{column}_lag_{k}": F.lag(column, k).over(window) for k in lags})
 
@@ -117,15 +121,15 @@ def train_test_split_ts(
     """
     if test_size is not None and train_fraction is not None:
         raise ValueError("give test_size or train_fraction, not both")
-    n_obs = F.count(F.lit(1)).over(Window.partitionBy(*series_keys))
     if test_size is not None:
         held = F.lit(test_size)
     elif train_fraction is not None:
         held = F.col("n_obs") - F.floor(F.col("n_obs") * train_fraction)
     else:
         held = holdout_length(F.col("n_obs"))
-    return (
-        df.withColumn("t", F.row_number().over(by_date(series_keys, date_col)))
-        .withColumn("n_obs", n_obs)
-        .withColumn("split", F.when(F.col("t") > F.col("n_obs") - held, "test").otherwise("train"))
-    )
+    if series_keys:
+        n_obs = F.count(F.lit(1)).over(Window.partitionBy(*series_keys))
+        rows = df.withColumn("t", F.row_number().over(by_date(series_keys, date_col))).withColumn("n_obs", n_obs)
+    else:
+        rows = numbered(df, date_col)
+    return rows.withColumn("split", F.when(F.col("t") > F.col("n_obs") - held, "test").otherwise("train"))

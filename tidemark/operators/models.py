@@ -14,7 +14,7 @@ from ..config import Order, SeasonalOrder
 from ..functions import arma
 from ..functions.arma import Shape
 from ..functions.columns import continue_series, gaussian_aic, regression_part
-from .daily import by_date, complete_cases, spread_by_series
+from .daily import by_date, complete_cases, numbered, spread_by_series, with_lags
 
 #: Days from which the seasonal order is used, unless a job says otherwise.
 SEASONAL_FROM = 30
@@ -78,6 +78,8 @@ def _lagged_pairs(
     df: DataFrame, series_keys: Sequence[str], date_col: str, target: str, burn: Column | None = None
 ) -> DataFrame:
     """Add ``_prev`` (yesterday's target, where it is to count) and ``_phi`` (their regression)."""
+    if not series_keys:
+        return _lagged_pairs_of_one(df, date_col, target, burn)
     whole = Window.partitionBy(*series_keys)
     ordered = by_date(series_keys, date_col)
     prev = F.lag(target).over(ordered)
@@ -93,6 +95,15 @@ def _lagged_pairs(
     return df.withColumn("_phi", phi)
 
 
+def _lagged_pairs_of_one(df: DataFrame, date_col: str, target: str, burn: Column | None) -> DataFrame:
+    """The same for one series without keys, in blocks of its days."""
+    rows = with_lags(numbered(df, date_col, "_t", "_n"), {"_prev": (target, 1)}, "_t")
+    if burn is not None:
+        rows = rows.withColumn("_prev", F.when(F.col("_t") > burn, F.col("_prev")))
+    pairs = rows.agg(F.try_divide(F.sum(F.col(target) * F.col("_prev")), F.sum(F.col("_prev") * F.col("_prev"))).alias("_phi"))
+    return rows.drop("_t").withColumn("_phi", pairs.scalar())
+
+
 def _ar1_sums(target: str) -> list[Column]:
     miss = F.col(target) - F.col("_phi") * F.col("_prev")
     return [

@@ -99,10 +99,13 @@ class ForecastJob:
         return self.tables.read(cfg.daily_features_table)
 
     # step 4
-    def train_models(self) -> DataFrame:
-        """Fit every series once, into the model store; raises if no series is long enough."""
+    def train_models(self, run_id: str | None = None) -> DataFrame:
+        """Fit every series once, into the model store; raises, and leaves no rows, if no series is long enough.
+
+        A run id that was used before replaces what it left in the store and the run log.
+        """
         cfg = self.config
-        run_id = str(uuid.uuid4())
+        run_id = run_id or str(uuid.uuid4())
         fitted = models.train(
             self.tables.read(cfg.daily_features_table),
             cfg.series_keys,
@@ -124,9 +127,10 @@ class ForecastJob:
             F.count_if(F.col("status") != "too_short").alias("long_enough"),
             F.max("n_obs").alias("longest"),
         )
-        self.tables.append(stored, cfg.model_store_table, partition_by=["run_id"])
+        self.tables.append(stored, cfg.model_store_table, ["run_id"], replace_partitions=True)
         self.counts |= seen.get
         if not self.counts["long_enough"]:
+            self.tables.drop_partition(cfg.model_store_table, "run_id", run_id)
             raise ValueError(
                 f"not enough data points for modelling (longest series {self.counts['longest'] or 0}, "
                 f"needed {cfg.min_observations})"
@@ -139,8 +143,9 @@ class ForecastJob:
             "exog_columns": ",".join(cfg.exog_cols),
         }
         self.tables.append(
-            registry.run_log_rows(fits, run_id, cfg.experiment_name, params, _now()), cfg.run_log_table
-        )
+            registry.run_log_rows(fits, run_id, cfg.experiment_name, params, _now()),
+            cfg.run_log_table, ["run_id"], replace_partitions=True,
+        )
         return fits
 
     def trained_models(self) -> DataFrame:
@@ -151,7 +156,7 @@ class ForecastJob:
 
     # step 5
     def register_model(self) -> DataFrame | None:
-        """Append the fits that beat their baseline by enough; None if none does."""
+        """Append the fits that beat their baseline by enough; None if none does. A second call registers nothing twice."""
         cfg = self.config
         rows = registry.registry_rows(
             self.trained_models(),
@@ -163,22 +168,18 @@ class ForecastJob:
             created=_now(),
             min_aic_improvement=cfg.min_aic_improvement,
         )
-        if self.tables.exists(cfg.registry_table):
-            # a second call registers nothing twice
-            held = self.tables.read(cfg.registry_table).filter(F.col("run_id") == self.run_id)
-            if not held.isEmpty():
-                rows = rows.join(held.select("model_id"), "model_id", "left_anti").select(*rows.columns)
-                if rows.isEmpty():
-                    return held
         if rows.isEmpty():
             log.warning("no AIC improvement of %s or more; registry unchanged", cfg.min_aic_improvement)
             return None
-        self.tables.append(rows, cfg.registry_table)
+        self.tables.append(rows, cfg.registry_table, ["run_id"], replace_partitions=True)
         return self.tables.read(cfg.registry_table).filter(F.col("run_id") == self.run_id)
 
     # step 6
-    def run_batch_inference(self) -> DataFrame | None:
-        """Forecast every series with its newest registered model; None if there is no model."""
+    def run_batch_inference(self, scoring_run_id: str | None = None) -> DataFrame | None:
+        """Forecast every series with its newest registered model; None if there is no model.
+
+        A scoring run id that was used before replaces its rows in the scoring log.
+        """
         cfg = self.config
         if not self.tables.exists(cfg.registry_table):
             log.warning("no model registry; nothing to forecast")
@@ -202,7 +203,7 @@ class ForecastJob:
             cfg.exog_cols,
             cfg.forecast_horizon,
         )
-        scoring_run_id = str(uuid.uuid4())
+        scoring_run_id = scoring_run_id or str(uuid.uuid4())
         steps = inference.forecast(
             ready.withColumn("scoring_run_id", F.lit(scoring_run_id)),
             cfg.series_keys,
@@ -219,8 +220,8 @@ class ForecastJob:
                 scoring_time=_now(),
                 horizon=cfg.forecast_horizon,
             ),
-            cfg.scoring_log_table,
-        )
+            cfg.scoring_log_table, ["scoring_run_id"], replace_partitions=True,
+        )
         return self.tables.read(cfg.predictions_table)
 
     # evaluation and diagnostics
