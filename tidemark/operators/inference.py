@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .daily import complete_cases
@@ -38,32 +38,40 @@ def recent_regressors(
     The newest ``horizon`` days up to the model's ``train_end`` on which no regressor is
     missing stand in for the days to come; a short series gives fewer ``steps``.
 
-    Days and models meet in one aggregate by series rather than in a join: each side is
-    read once and shuffled once, a null key is a key like any other, and one series without
-    keys needs no product.  A series may have several models, one for each model name.
+    Days meet the ends of training in ``join_models`` and are cut to the newest ones before anything
+    is gathered; what a model holds joins at the end.  A null key is a key like any other.  A series may
+    have several models, one for each model name.
     """
-    day = F.struct(
-        F.col(date_col).alias("date"),
-        *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(exog)),
-    )
+    values = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(exog)]
     held = [c for c in models.columns if c not in series_keys]
-    days = complete_cases(daily, list(exog), date_col).select(*series_keys, day.alias("_day"))
-    rows = days.unionByName(
-        models.select(*series_keys, F.struct(*held).alias("_model")), allowMissingColumns=True
-    )
-    gathered = rows.groupBy(*series_keys).agg(
-        F.collect_list("_model").alias("_models"),
-        F.sort_array(F.collect_list("_day")).alias("_days"),
+    days = complete_cases(daily, list(exog), date_col).select(*series_keys, F.col(date_col).alias("date"), *values)
+    if not series_keys:
+        return _recent_of_one(days, models, len(exog), horizon)
+    named = models.withColumn("_model", F.sha2(F.to_json(F.struct(*models.columns)), 256))
+    ends = named.select(*series_keys, "_model", "train_end").distinct()
+    seen = join_models(days, ends, series_keys).where(F.col("date") <= F.col("train_end"))
+    # only the newest rows of each model pass the sort's partial limit
+    newest = F.row_number().over(Window.partitionBy("_model").orderBy(F.col("date").desc()))
+    last = seen.withColumn("_age", newest).where(F.col("_age") <= horizon)
+    day = F.struct("date", *(f"x{i}" for i in range(len(exog))))
+    gathered = last.groupBy("_model").agg(F.sort_array(F.collect_list(day)).alias("_days"))
+    known = named.join(gathered, "_model", "left").withColumn("_days", F.coalesce("_days", F.array().cast(gathered.schema["_days"].dataType)))
+    return known.select(*series_keys, *held, regressors("_days", len(exog)).alias("future"), F.size("_days").alias("steps"))
+
+
+def _recent_of_one(days: DataFrame, models: DataFrame, n_exog: int, horizon: int) -> DataFrame:
+    """The same for one series without keys: a join would be a product, so days and models meet in one aggregate."""
+    names = ["date", *(f"x{i}" for i in range(n_exog))]
+    rows = days.select(F.struct(*names).alias("_day")).unionByName(
+        models.select(F.struct(*models.columns).alias("_model")), allowMissingColumns=True
     )
-    each = gathered.select(*series_keys, F.explode("_models").alias("_model"), "_days")
-    known = each.select(*series_keys, "_model.*", "_days")
+    gathered = rows.agg(F.collect_list("_model").alias("_models"), F.sort_array(F.collect_list("_day")).alias("_days"))
+    known = gathered.select(F.explode("_models").alias("_model"), "_days").select("_model.*", "_days")
     seen = F.filter("_days", lambda d: d["date"] <= F.col("train_end"))
     recent = known.withColumn("_seen", seen).withColumn(
         "_days", F.slice("_seen", F.greatest(F.size("_seen") - horizon + 1, F.lit(1)), F.lit(horizon))
     )
-    return recent.select(
-        *series_keys, *held, regressors("_days", len(exog)).alias("future"), F.size("_days").alias("steps")
-    )
+    return recent.select(*models.columns, regressors("_days", n_exog).alias("future"), F.size("_days").alias("steps"))
 
 
 def forecast(
