@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, toxicity
 from tidemark.llm.queries import QUERIES
@@ -128,3 +129,25 @@ def test_toxicity_query(spark, sf):
     both = got.merge(truth)
     assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 3 == 1)).all()
     assert both[both.predicted == 1].toxic.mean() > 0.9 and (got.predicted == (got.score >= 0.7)).all()
+
+
+def test_a_table_of_long_texts_only_has_languages(spark):
+    import random
+
+    random.seed(8)
+    words = {"xx": ["tafo", "rilu", "senta"], "yy": ["kjørn", "brøta", "vlemp"]}
+    rows = [(i, " ".join(random.choices(words[lang], k=5000)), lang) for i in range(60) for lang in (sorted(words)[i % 2],)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.predict(docs.drop("lang"), language_id.fit(docs)).collect()
+    assert all(r.lang_pred == sorted(words)[r.doc_id % 2] for r in got)
+
+
+def test_powers_and_numerals_are_no_letters(spark):
+    assert all(len(language_id.grams(t)) == 0 for t in ("12²", "½", "Ⅷ 4", "")) and len(language_id.grams("12 m²"))
+
+
+def test_labels_of_held_out_rows_change_nothing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    other = docs.withColumn("lang", F.when(language_id.held_out(), F.lit("zz")).otherwise(F.col("lang")))
+    one, two = (language_id.fit(d) for d in (docs, other))
+    assert one.languages == two.languages and np.array_equal(one.weights, two.weights)

@@ -127,3 +127,11 @@ def test_rules_reject_only_where_labels_certify_it(spark):
     assert got[got.lang == "rare"].kept.all()  # too few labels to certify anything
     assert quality_rules.judge(docs, labels.limit(0)).where("not kept").count() == 0
     assert quality_rules.judge(docs.limit(0), labels).count() == 0
+
+
+def test_a_source_without_ids_is_not_taken_as_one_lump(spark):
+    rows = [(None, f"word {i} " * 5, "en", "a") for i in range(100)] + [(7, f"text {i} " * 15, "en", "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(docs).groupBy("source").agg({"taken": "sum", "target": "max", "size": "max"}).collect()
+    for r in got:
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= r["max(size)"]

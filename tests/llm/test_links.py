@@ -115,3 +115,10 @@ def test_vectors_equal_all_pairs(spark):
     got = embedding_dedup.link_vectors(frame, per_cell=60, block=40).toPandas()
     assert found(got, "vec_id", "component_id") == classes_of(len(rows), links, [r[0] for r in rows])
     assert embedding_dedup.link_vectors(frame.limit(0)).count() == 0
+
+
+def test_vectors_of_huge_and_tiny_components_link(spark):
+    rows = [(1, [1e200, 2e200, 1e199], 0), (2, [1e200, 2.0001e200, 1e199], 0), (3, [1e-200, 2e-200, 1e-201], 0), (4, [1e-200, -2e-200, 0.0], 0), (5, [3.0, 6.0, 0.3], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link_vectors(frame).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (0, 4)}

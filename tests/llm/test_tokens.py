@@ -78,3 +78,27 @@ def test_pieces_by_spark_with_nulls_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (2, "", "x"), (3, " a\n" * 5000, "x")], "doc_id long, text string, ids string")
     got = sentencepieces.decode(sentencepieces.encode(docs, PIECES), PIECES).orderBy("doc_id").collect()
     assert [(r["doc_id"], r["decoded"], len(r["ids"]) > 0) for r in got] == [(1, "", False), (2, "", False), (2, "", False), (3, " a\n" * 5000, True)]
+
+
+def test_a_file_with_other_cuts_is_encoded_whole(tmp_path):
+    import json
+
+    spec = json.load(open(BYTE_BPE, encoding="utf-8"))
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    path = str(tmp_path / "other.json")
+    json.dump(spec, open(path, "w", encoding="utf-8"))
+    texts, own = awkward(2, 300), token_records.Encoder(path)
+    assert not own.cuts and token_records.Encoder(BYTE_BPE).cuts
+    wanted = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == wanted
+
+
+def test_memories_that_overflow_change_nothing(monkeypatch):
+    monkeypatch.setattr(token_records, "REMEMBERED", 60)
+    monkeypatch.setattr(sentencepieces, "REMEMBERED", 60)
+    texts = awkward(3, 600)
+    library, own = Tokenizer.from_file(BYTE_BPE), token_records.Encoder(BYTE_BPE)
+    got = [np.frombuffer(x, "<u2").tolist() for at in range(0, len(texts), 16) for x in own.encode(texts[at : at + 16])]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    pieces = sentencepieces.PrefixTable(PIECES)
+    assert [pieces.encode(t) for t in texts] == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(texts)

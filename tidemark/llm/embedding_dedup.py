@@ -33,6 +33,8 @@ def matrix(column: pa.Array) -> np.ndarray:
     """Unit rows, in double precision, of vectors of one length."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     rows = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+    # by powers of two, which change no digit, so that squares of huge or tiny components stay finite and above zero
+    rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1]) if rows.size else rows
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from .common import replacing, settled
 
-LETTER = re.compile(r"[^\W\d_]")
 NO_LETTERS = re.compile(r"[\W\d_]+")
 ROWS, LANDMARKS, LANDMARK_CHARS, RIDGE, MOST_LANGUAGES = 6000, 96, 20_000, 1e-3, 1000
 
@@ -39,7 +38,7 @@ def held_out(id_column: str = "doc_id") -> Column:
 
 def grams(text: str) -> np.ndarray:
     """The distinct 1-, 2- and 3-grams of a text, sorted; empty if it has no letter."""
-    if not LETTER.search(text):
+    if not any(map(str.isalpha, text)):  # letters only: no powers, fractions or numerals
         return np.zeros(0, np.int64)
     codes = np.frombuffer(f" {NO_LETTERS.sub(' ', text.lower()).strip()} ".encode("utf-32-le"), np.uint32).astype(np.int64)
     two = codes[:-1] << 21 | codes[1:]
@@ -95,7 +94,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     """Learn from text and language of documents that are not held out."""
     usable = docs.where(F.col(lang_column).isNotNull() & F.rlike(F.col(text_column), F.lit(r"\p{L}")) & ~held_out(id_column))
     usable = usable.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"))
-    counts = docs.where(F.col(lang_column).isNotNull()).groupBy(F.col(lang_column).cast("string").alias("lang")).count().limit(MOST_LANGUAGES + 1).collect()
+    counts = usable.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not counts:
@@ -107,8 +106,9 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     drawn = usable.where(draw < share[F.col("lang")])
     parts = 8
     sample = settled(drawn.repartition(parts, F.xxhash64("id", "text")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text", F.lit(1)), "text")
-    marks = sample.where(F.length("text") <= landmark_chars).withColumn("r", F.row_number().over(order))
+    # longer texts serve where shorter ones are too few
+    order = Window.partitionBy("lang").orderBy(F.length("text") > landmark_chars, F.xxhash64("id", "text", F.lit(1)), "text")
+    marks = sample.withColumn("r", F.row_number().over(order))
     marks = marks.where(F.col("r") <= max(1, landmarks // len(counts))).orderBy("lang", "r").select("text").limit(max(landmarks, len(counts)))
     sets = [s for r in marks.toLocalIterator() if len(s := grams(r["text"]))]
     languages = sorted(r["lang"] for r in sample.select("lang").distinct().collect())

@@ -5,8 +5,8 @@ Every document has a place on a line of ``2**BITS`` hash values. A source takes
 rest. The threshold is found in nested histograms: sizes are summed by source and bucket, the bucket
 in which the running sum crosses the budget is cut into buckets in turn, down to one hash value.
 
-Defined results: null text has size 0; null is a source of its own, the last; an id's rows share a
-hash value, so they are taken together; a source without words has target 0; an empty table gives an
+Defined results: null text has size 0; null is a source of its own, the last; rows that
+share id and text share a hash value, so they are taken together; a source without words has target 0; an empty table gives an
 empty result. Columns of the input that have a result's name are replaced.
 """
 from __future__ import annotations
@@ -23,9 +23,10 @@ def words_in(column: str = "text") -> Column:
     return F.regexp_count(text_or_empty(column), F.lit(WORD)).cast("long")
 
 
-def place(id_column: str = "doc_id") -> Column:
-    """A document's hash value, from its id: the first 40 bits of an md5."""
-    digits = F.substring(F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("null"))), 1, BITS // 4)
+def place(id_column: str = "doc_id", text_column: str = "text") -> Column:
+    """A document's hash value, from its id and text: the first 40 bits of an md5."""
+    key = F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("null")), F.lit("\u0001"), text_or_empty(text_column))
+    digits = F.substring(F.md5(key), 1, BITS // 4)
     return F.conv(digits, 16, 10).cast("long")
 
 
@@ -93,11 +94,11 @@ def thresholds(places: DataFrame, targets: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The documents with size, source_size, target, copies (times the mix holds it) and taken (its words)."""
     source = F.col(source_column).cast("string")
-    places = settled(docs.select(source.alias("source"), words_in(text_column).alias("size"), place(id_column).alias("place")))
+    places = settled(docs.select(source.alias("source"), words_in(text_column).alias("size"), place(id_column, text_column).alias("place")))
     found = thresholds(places, source_targets(places, weights, most)).select(
         F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("times").alias("_times"), F.col("below").alias("_below")
     )
-    wide = docs.withColumns({"_size": words_in(text_column), "_place": place(id_column)})
+    wide = docs.withColumns({"_size": words_in(text_column), "_place": place(id_column, text_column)})
     wide = wide.join(found, source.eqNullSafe(F.col("_source")))
     copies = F.when(F.col("_size") > 0, F.col("_times") + (F.col("_place") < F.col("_below")).cast("long")).otherwise(F.lit(0)).cast("long")
     return replacing(

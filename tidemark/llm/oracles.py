@@ -39,7 +39,7 @@ ORACLES["op3_line_dedup"] = line_dedup_sql()
 def mixing_sql(table: str = "documents") -> str:
     """The same water level and thresholds, by sorting where the operator only counts."""
     return rf"""
-WITH d AS (SELECT *, len({WORDS})::BIGINT AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, {mixing.BITS // 4}))::BIGINT AS place FROM {table}),
+WITH d AS (SELECT *, len({WORDS})::BIGINT AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || chr(1) || coalesce(text, '')), 1, {mixing.BITS // 4}))::BIGINT AS place FROM {table}),
 s AS (SELECT source, sum(size)::HUGEINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, source_size * 3 AS cap FROM s),
 o AS (SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,

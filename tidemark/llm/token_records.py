@@ -20,6 +20,7 @@ text; an empty table gives an empty index; a frame whose checksums differ raises
 """
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -77,6 +78,15 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
+def cuts_at_blanks(path: str) -> bool:
+    """Whether the file says that texts are cut the way ``PIECE`` supposes; else texts are encoded whole."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    before = spec.get("pre_tokenizer") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("add_prefix_space") is False and before.get("use_regex", True)
+    return bool(plain) and spec.get("normalizer") is None and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores already
@@ -86,6 +96,7 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.cuts = cuts_at_blanks(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
@@ -109,6 +120,8 @@ class Encoder:
             self.pieces.update(zip(safe, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
 
     def _cut(self, text: str) -> list[str] | None:
+        if not self.cuts:
+            return None
         plain = text.isascii()  # then a look for single characters does
         if any(a in text for a in self.added) or ((not plain or any(map(text.__contains__, ASCII_BLANKS))) and OTHER_BLANK.search(text)):
             return None

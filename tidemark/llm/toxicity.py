@@ -59,6 +59,10 @@ TIMES = (2, 3)
 #: Lengths of the word beginnings that serve as stems.
 STEMS = (4, 5, 6, 7)
 SHORTEST = min(STEMS)
+#: Units that a worker holds as Python objects at a time.
+UNITS_HELD = 50_000
+#: Partitions of the bounded sample; rows are dealt in turn, so copies of a text do not meet in one.
+SAMPLE_PARTS = 32
 #: score from which a document is predicted toxic
 CUTOFF = 0.7
 
@@ -145,7 +149,12 @@ def units(column: str) -> Column:
 
     @F.arrow_udf("array<string>")
     def of(texts: pa.Array) -> pa.Array:
-        out = []
+        done, out, held = [], [], 0
+
+        def pack() -> None:
+            done.append(pa.array(out, pa.list_(pa.string())))
+            out.clear()
+
         for t in texts:
             words = Counter(WORD.findall((t.as_py() or "").lower()))
             stems: Counter[str] = Counter()
@@ -154,7 +163,14 @@ def units(column: str) -> Column:
                     if len(w) >= k:
                         stems[w[:k]] += c
             out.append([*words, *("^" + x for x in stems), *(f"{k}^{x}" for x, c in stems.items() for k in TIMES if c >= k)])
-        return pa.array(out, pa.list_(pa.string()))
+            held += len(out[-1])
+            if held > UNITS_HELD:  # as Python objects they take ten times the room
+                pack()
+                held = 0
+        pack()
+        packed = pa.concat_arrays(done)
+        pa.default_memory_pool().release_unused()
+        return packed
 
     return of(column)
 
@@ -211,7 +227,7 @@ class Toxicity:
         known = known.where(draw < min(1.0, rows / max(1, n)))
         part = F.pmod(F.xxhash64(F.col("_label_id").cast("string"), F.lit(7)), F.lit(10))
         sample = docs.select(F.col(id_column).alias("_id"), text_or_empty(text_column).alias("text")).join(known, F.col("_id") == F.col("_label_id"))
-        sample = sample.select("text", F.col("_label").cast("double"), part.alias("part")).repartition(8, F.xxhash64("text"))
+        sample = sample.select("text", F.col("_label").cast("double"), part.alias("part")).repartition(SAMPLE_PARTS)
         sample = sample.withColumn("sketch", sketch("text"))
         sample = settled(sample.withColumn("fold", F.pmod(F.xxhash64("sketch"), F.lit(FOLDS)).cast("int")))
         *others, lexicon = (frozenset(INSULTS) | frozenset(x) for x in learned_words(sample, words, least))
