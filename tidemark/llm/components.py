@@ -1,7 +1,7 @@
 """Connected components and blockwise comparison, for operators that link rows."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import settled
@@ -30,13 +30,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components have not settled after {rounds} rounds")
 
 
-def in_blocks(rows: DataFrame, group: list[str], salt, size: int) -> DataFrame:
+def in_blocks(rows: DataFrame, group: list[str], salt: Column, size: int, counted: DataFrame | None = None, guest: Column | None = None) -> DataFrame:
     """Deal the rows of every group into blocks, and each row to the pairs (p, q) of blocks it is part of.
 
-    Any two rows of a group meet in a pair of blocks; a group of up to ``size`` rows is one block. Adds
-    ``block``, ``p`` and ``q``; the group columns must not be null.
+    Any two rows of a group meet in one pair of blocks, but for two guests, which need not meet; blocks hold
+    about ``size`` rows. Adds ``block``, ``p`` and ``q``; the group columns must not be null. ``counted`` has
+    a row for each of ``rows`` and is cheaper to count; what is counted meets the rows in a join on plain columns.
     """
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("_blocks"))
-    dealt = rows.join(sizes, group).withColumn("block", F.pmod(salt, F.col("_blocks")).cast("int"))
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return dealt.select("*", F.least("block", "_other").alias("p"), F.greatest("block", "_other").alias("q")).drop("_other", "_blocks")
+    guest = F.lit(False) if guest is None else guest
+    blocks = lambda kind: F.ceil(F.count(F.when(kind, 1)) / size).cast("int")
+    sizes = (rows if counted is None else counted).groupBy(*group).agg(blocks(~guest).alias("_own"), blocks(guest).alias("_guests"))
+    # guests without a host have nobody to meet
+    dealt = rows.join(sizes.where("_own > 0"), group)
+    block = F.when(guest, F.col("_own") + F.pmod(salt, F.greatest("_guests", F.lit(1)))).otherwise(F.pmod(salt, F.greatest("_own", F.lit(1))))
+    dealt = dealt.withColumn("block", block.cast("int"))
+    others = F.sequence(F.lit(0), F.when(guest, F.col("_own")).otherwise(F.col("_own") + F.col("_guests")) - 1)
+    dealt = dealt.withColumn("_other", F.explode(others))
+    return dealt.select("*", F.least("block", "_other").alias("p"), F.greatest("block", "_other").alias("q")).drop("_other", "_own", "_guests")

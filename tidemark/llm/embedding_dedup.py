@@ -1,10 +1,12 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products, one representative per group.
 
-Equal vectors of a label are one to begin with. Centroids are fitted on a bounded sample, as they decide
-only how much is compared. Every vector has a home, the cell of its nearest centroid, and is a guest
-wherever a vector it links to could live: its distance to the plane between the two centroids is at most
-the chord of the threshold, and it lies within the cell's reach plus the angle of the threshold. So each
-home finds all its links in its own cell, in double precision, and no link is lost.
+Equal vectors of a label are one to begin with. A label has as many cells as its vectors call for: one, or a
+power of four whose centroids are fitted on a bounded sample, as they decide only how much is compared. Every
+vector has a home, the cell of its nearest centroid, and is a guest in those cells before its own where a
+vector it links to could live: its distance to the plane between the two centroids is at most the chord of
+the threshold, and it lies within the cell's reach plus the angle of the threshold. So two vectors that link
+meet once, in the earlier of their homes, in double precision, and no link is lost. Guests are not compared
+with each other, so a label never costs more than all its pairs.
 
 Cells of any size are dealt into blocks; a task holds two blocks. Blocks return counts per vector and the
 edges of a spanning forest, so never more rows than went in. Components come from the edges.
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import settled
 from .components import components, in_blocks
 
-THRESHOLD, PER_CELL, MOST_CELLS, SAMPLE, ROUNDS, BLOCK = 0.98, 2000, 512, 10_000, 8, 512
+#: Labels of up to four times PER_CELL vectors have one cell; SAMPLE rows teach the centroids of one length and number of cells.
+THRESHOLD, PER_CELL, MOST_CELLS, SAMPLE, ROUNDS, BLOCK = 0.98, 2000, 1024, 10_000, 8, 2048
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -62,61 +65,68 @@ def link_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     groups = usable(rows).groupBy("label", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("mult"))
     # nodes are ordered by id, those without one last
     groups = settled(groups.withColumn("node", F.struct(F.col("rep").isNull().alias("none"), "rep", F.xxhash64("label", "v").alias("h"))))
-    count = groups.count()
-    cells = max(1, min(most_cells, round(count / per_cell)))
-    drawn = groups.where(F.pmod(F.xxhash64("v"), F.lit(1 << 20)) < max(1.0, (1 << 20) * sample_rows / max(1, count))).limit(2 * sample_rows)
-    sample = drawn.select("v").toArrow().column("v").combine_chunks()
-    lengths = sample.value_lengths().to_numpy()
-    centroids = {
-        int(d): fit_cells(matrix(sample.take(pa.array(np.flatnonzero(lengths == d)))), max(1, round(cells * (lengths == d).mean()))) for d in np.unique(lengths)
-    }
+    # of each label and length, the power of four that its number of vectors calls for
+    most = math.floor(math.log(most_cells, 4) + 1e-9)
+    level = F.greatest(F.lit(0), F.least(F.lit(most), F.floor(F.log(F.count(F.lit(1)) / per_cell) / math.log(4))))
+    levels = settled(groups.groupBy("label", F.size("v").alias("d")).agg(level.cast("int").alias("level"), F.count(F.lit(1)).alias("n")))
+    placed = groups.withColumn("d", F.size("v")).join(levels.drop("n"), ["label", "d"])
+    # a length and level is named only if a label has many vectors of it
+    centroids = {}
+    for r in levels.where("level > 0").groupBy("d", "level").agg(F.sum("n").alias("n")).collect():
+        drawn = placed.where((F.col("d") == r["d"]) & (F.col("level") == r["level"]))
+        drawn = drawn.where(F.pmod(F.xxhash64("v"), F.lit(1 << 20)) < max(1.0, (1 << 20) * sample_rows / r["n"])).select("v").limit(2 * sample_rows)
+        sample = drawn.toArrow().column("v").combine_chunks()
+        if len(sample):
+            centroids[r["d"], r["level"]] = fit_cells(matrix(sample), 4 ** r["level"])
+
+    def by_kind(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+        kinds = np.column_stack([batch.column(c).to_numpy() for c in ("d", "level")])
+        for kind in map(tuple, np.unique(kinds, axis=0).tolist()):
+            if kind in centroids:
+                yield kind, np.flatnonzero((kinds == kind).all(1))
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell, near = np.zeros(batch.num_rows, np.int32), np.ones(batch.num_rows)
-            lengths = batch.column("v").value_lengths().to_numpy()
-            for d in np.unique(lengths):
-                at = np.flatnonzero(lengths == d)
-                if d in centroids:
-                    close = matrix(batch.column("v").take(pa.array(at))) @ centroids[d].T
-                    cell[at], near[at] = close.argmax(1), close.max(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths, pa.int32()), pa.array(cell), pa.array(near)], [*batch.schema.names, "d", "home", "near"])
-
-    kinds = ", ".join(f"`{n}` {t}" for n, t in groups.dtypes)
-    at_home = settled(groups.mapInArrow(homes, f"{kinds}, d int, home int, near double"))
-    # of each cell, how far its own vectors reach; as many rows as there are cells
-    reach = {(r["d"], r["home"]): r["r"] for r in at_home.groupBy("d", "home").agg(F.min("near").alias("r")).collect()}
+            for kind, at in by_kind(batch):
+                close = matrix(batch.column("v").take(pa.array(at))) @ centroids[kind].T
+                cell[at], near[at] = close.argmax(1), close.max(1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(near)], [*batch.schema.names, "home", "near"])
+
+    kinds = ", ".join(f"`{n}` {t}" for n, t in placed.dtypes)
+    at_home = settled(placed.mapInArrow(homes, f"{kinds}, home int, near double"))
+    # of each cell, how far its own vectors reach; as many rows as there are centroids
+    reach = {((r["d"], r["level"]), r["home"]): r["r"] for r in at_home.where("level > 0").groupBy("d", "level", "home").agg(F.min("near").alias("r")).collect()}
     angle, chord = math.acos(threshold), math.sqrt(2 - 2 * threshold)
-    apart = {d: np.sqrt(np.maximum(0, 2 - 2 * c @ c.T)) for d, c in centroids.items()}
-    reaching = {d: np.cos(np.minimum(np.pi, np.arccos(np.clip([reach.get((d, k), 2.0) for k in range(len(c))], -1, 1)) + angle)) for d, c in centroids.items()}
+    # cells where nobody lives are beyond the reach of all
+    reaching = {
+        kind: np.array([math.cos(min(math.pi, math.acos(max(-1.0, min(1.0, reach[kind, k]))) + angle)) if (kind, k) in reach else 2.0 for k in range(len(c))])
+        for kind, c in centroids.items()
+    }
 
     def guests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths, home = (batch.column(c).to_numpy() for c in ("d", "home"))
-            row, cell = [], []
-            for d in np.unique(lengths):
-                at = np.flatnonzero(lengths == d)
-                inside = np.zeros((len(at), 1), bool)
-                if d in centroids:
-                    close = matrix(batch.column("v").take(pa.array(at))) @ centroids[d].T
-                    own = home[at]
-                    behind = close[np.arange(len(at)), own][:, None] - close
-                    inside = (behind <= chord * apart[d][own] + 1e-9) & (close >= reaching[d] - 1e-9)
-                    inside &= np.array([(d, k) in reach for k in range(len(centroids[d]))])
-                inside[np.arange(len(at)), home[at]] = True
-                r, c = np.nonzero(inside)
+            home = batch.column("home").to_numpy()
+            row, cell = [np.arange(batch.num_rows)], [home]
+            for kind, at in by_kind(batch):
+                c, own = centroids[kind], home[at]
+                close = matrix(batch.column("v").take(pa.array(at))) @ c.T
+                behind = close[np.arange(len(at)), own][:, None] - close
+                apart = np.sqrt(np.maximum(0, 2 - 2 * c[own] @ c.T))
+                inside = (behind <= chord * apart + 1e-9) & (close >= reaching[kind] - 1e-9) & (np.arange(len(c)) < own[:, None])
+                r, k = np.nonzero(inside)
                 row.append(at[r])
-                cell.append(c)
-            row, cell = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (row, cell))
-            taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell, pa.int32())], [*batch.schema.names, "cell"])
+                cell.append(k)
+            taken = batch.take(pa.array(np.concatenate(row)))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(cell), pa.int32())], [*batch.schema.names, "cell"])
 
-    members = at_home.mapInArrow(guests, f"{kinds}, d int, home int, near double, cell int")
-    dealt = in_blocks(members, ["label", "d", "cell"], F.xxhash64("v"), block)
+    alone, shared = at_home.where("level = 0").withColumn("cell", F.col("home")), at_home.where("level > 0")
+    shared = settled(shared.mapInArrow(guests, f"{kinds}, home int, near double, cell int"))
+    members = alone.unionByName(shared)
+    dealt = in_blocks(members, ["label", "d", "level", "cell"], F.xxhash64("v"), block, guest=F.col("home") != F.col("cell"))
 
     def compare(table: pa.Table) -> pa.Table:
         p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
-        home = table.column("home").to_numpy() == table.column("cell").to_numpy()
         mult, side = table.column("mult").to_numpy(), table.column("block").to_numpy()
         x = matrix(table.column("v"))
         a, b = np.flatnonzero(side == p), np.flatnonzero(side == q)
@@ -128,7 +138,7 @@ def link_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
         if p != q:
             count[b] += linked.T @ mult[a]
         root = local_roots(linked, a, b, len(x))
-        at = np.flatnonzero(home & (count > 0))
+        at = np.flatnonzero(count)
         to = np.flatnonzero(root != np.arange(len(x)))
         nodes = table.column("node").combine_chunks()
         return pa.table({
@@ -138,7 +148,7 @@ def link_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
         })
 
     node_kind = dict(groups.dtypes)["node"]
-    found = settled(dealt.groupBy("label", "d", "cell", "p", "q").applyInArrow(compare, f"node {node_kind}, links long, other {node_kind}"))
+    found = settled(dealt.groupBy("label", "d", "level", "cell", "p", "q").applyInArrow(compare, f"node {node_kind}, links long, other {node_kind}"))
     links = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     # a node's first part is an id, so the smallest node of a component holds the smallest id

@@ -168,7 +168,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "mult", "cluster", "_key")], lists], ["node", "mult", "cluster", "_key", "set"])
 
     wide = texts.select("node", "mult", "cluster", "_key", "_text").mapInArrow(with_sets, "node binary, mult long, cluster binary, _key binary, set array<long>")
-    found = settled(verify(in_blocks(wide, ["cluster"], F.xxhash64("node"), block), threshold))
+    found = settled(verify(in_blocks(wide, ["cluster"], F.xxhash64("node"), block, counted=members), threshold))
     links = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     rooted = sets.join(roots, "node", "left").select("node", "rep", "mult", F.coalesce("root", "node").alias("root"))
