@@ -3,14 +3,16 @@
 Lines are hashed; a hash rolling over ``window`` line hashes ends a chunk where it falls on a chosen
 residue, so boundaries depend on content alone and survive insertions before them. Compared are chunks
 of ``min_lines`` lines or more and, as chunks whose size forces a cut, single lines of ``long_words``
-words or more. With ``runs``, also every two successive lines that are not blank, with the blank ones between:
-a run of two or more equal lines is made of such pairs, so it goes as a whole wherever it stands, whatever
-its lines' length. Narrow rows (hash, document, place) first tell which hashes repeat. Only for those are the
+words or more. So that the ends of a repeated passage, which lie between its outermost boundaries and its
+neighbours, go with it, every two successive lines that are not blank are compared, too, with the blank ones
+between: a run of two or more equal lines goes as a whole wherever it stands, whatever its lines' length.
+Narrow rows (hash, document, place) first tell which hashes repeat. Only for those are the
 bytes compared, by grouping on the text itself. The first occurrence (by id, then place) stays; a pair that
 overlaps its own first occurrence (a line said three times) leaves that standing.
 
-Skew: both groupings combine on the map side, so a passage in a third of all documents sends one row per
-task; its join back is one to many on plain columns, which adaptive execution can split.
+Skew: hashes are counted on the map side. The occurrences of a hash, which carry text, are dealt into one share
+for every ``SHARE`` of them; a share finds its first and last, shares agree on the first of all, and that
+meets the occurrences share by share. Work is linear in the lines of a text.
 
 Defined results: null text stays null; an empty text has one empty line, which is never dropped; a text
 that loses all its lines becomes empty; rows that share id and text share decisions, and count once.
@@ -26,6 +28,8 @@ from .common import WORD, let, replacing, row_key, text_or_empty
 WINDOW, DIVISOR, MIN_LINES, LONG_WORDS = 2, 2, 2, 20
 #: Base and modulus of the rolling hash.
 BASE, PRIME = 31, 2147483647
+#: Occurrences of a hash that one share takes.
+SHARE = 500
 
 
 def line_hashes(lines: Column) -> Column:
@@ -45,7 +49,7 @@ def pairs(long_words: int) -> Column:
     return let(full, of)
 
 
-def with_units(df: DataFrame, window: int, divisor: int, min_lines: int, long_words: int, runs: bool = False) -> DataFrame:
+def with_units(df: DataFrame, window: int, divisor: int, min_lines: int, long_words: int) -> DataFrame:
     """From ``_lines``: ``_units``, an array of (first line, number of lines, text)."""
     df = df.withColumn("_hashes", line_hashes(F.col("_lines")))
 
@@ -68,41 +72,45 @@ def with_units(df: DataFrame, window: int, divisor: int, min_lines: int, long_wo
         F.transform("_lines", lambda x, i: F.struct(i.alias("first"), F.when(F.regexp_count(x, F.lit(WORD)) >= long_words, 1).otherwise(0).alias("lines"))),
         lambda c: c["lines"] == 1,
     )
-    return df.withColumn("_units", F.concat(chunks, solo, *[pairs(long_words)] * runs)).drop("_hashes", "_ends")
+    return df.withColumn("_units", F.concat(chunks, solo, pairs(long_words))).drop("_hashes", "_ends")
 
 
 def unit_text(unit: Column) -> Column:
     return F.array_join(F.slice(F.col("_lines"), unit["first"] + 1, unit["lines"]), "\n")
 
 
-def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: int, divisor: int, min_lines: int, long_words: int, runs: bool = False) -> DataFrame:
+def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: int, divisor: int, min_lines: int, long_words: int) -> DataFrame:
     """``_key`` and ``_drop``, the array of line numbers to remove."""
     split = keyed.select("_key", F.col(id_column).alias("_id"), F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
-    hashed = with_units(split, window, divisor, min_lines, long_words, runs).select(
+    hashed = with_units(split, window, divisor, min_lines, long_words).select(
         "_key", F.explode(F.transform("_units", lambda u: F.struct(u["first"].alias("first"), u["lines"].alias("lines"), F.xxhash64(unit_text(u)).alias("h")))).alias("u")
     )
     hashed = hashed.select("_key", "u.*")
-    often = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    listed = hashed.join(often, "h").groupBy("_key").agg(F.collect_set(F.struct("first", "lines", "h")).alias("_found"))
+    often = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SHARE).alias("shares"))
+    listed = hashed.join(often, "h").groupBy("_key").agg(F.collect_set(F.struct("first", "lines", "h", "shares")).alias("_found"))
     # the same exchange of texts by key serves here and where lines are dropped, if there are no further columns
     found = keyed.select("_key", id_column, text_column).join(listed, "_key")
-    units = found.select("_key", F.col(id_column).alias("_id"), F.explode("_found").alias("u"), F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
-    units = units.select("_key", "_id", "u.*", unit_text(F.col("u")).alias("unit"))
+    found = found.select("_key", F.col(id_column).alias("_id"), "_found", F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
+    units = found.select("_key", "_id", F.explode(F.transform("_found", lambda u: F.struct(u["first"].alias("first"), u["lines"].alias("lines"), u["h"].alias("h"), u["shares"].alias("shares"), unit_text(u).alias("unit")))).alias("u"))
+    share = F.pmod(F.xxhash64("_key", "u.first"), F.col("u.shares"))
+    units = units.select("_key", "_id", "u.first", "u.lines", "u.h", "u.unit", share.alias("share")).repartition("h", "unit", "share")
     place = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_key", "first")
-    owners = units.groupBy("h", "unit").agg(F.min(place).alias("owner"), F.max(place).alias("last"))
-    owners = owners.where("owner != last").select("h", "unit", "owner")
-    later = units.join(owners, ["h", "unit"]).where(place != F.col("owner"))
+    ends = units.groupBy("h", "unit", "share").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    owners = ends.groupBy("h", "unit").agg(F.min("low").alias("owner"), F.max("high").alias("last"), F.collect_list("share").alias("in"))
+    owners = owners.where("owner != last").select("h", "unit", "owner", F.explode("in").alias("share"))
+    later = units.join(owners, ["h", "unit", "share"]).where(place != F.col("owner"))
     after = F.when(F.col("_key") == F.col("owner._key"), F.greatest(F.col("first"), F.col("owner.first") + F.col("lines"))).otherwise(F.col("first"))
     covered = F.sequence(after, F.col("first") + F.col("lines") - 1)
     return later.groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_set(covered))).alias("_drop"))
 
 
-def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS, runs: bool = False) -> DataFrame:
-    """The documents with their remaining text, n_lines and n_dropped. ``runs``: see above."""
+def drop_repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
+    """The documents with their remaining text, n_lines and n_dropped."""
     keyed = docs.select(row_key(id_column, text_column).alias("_key"), *docs.columns)
-    drops = repeated_lines(keyed, id_column, text_column, window, divisor, min_lines, long_words, runs)
+    drops = repeated_lines(keyed, id_column, text_column, window, divisor, min_lines, long_words)
     wide = keyed.join(drops, "_key", "left").withColumn("_lines", F.split(text_or_empty(text_column), "\n", -1))
-    kept = F.array_join(F.filter("_lines", lambda x, i: ~F.array_contains("_drop", i)), "\n")
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
+    kept = F.array_join(F.transform(numbers, lambda i: F.col("_lines")[i]), "\n")
     return replacing(
         wide,
         {

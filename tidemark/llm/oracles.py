@@ -17,15 +17,22 @@ def line_dedup_sql(table: str = "documents") -> str:
 WITH docs AS (SELECT doc_id, text FROM {table}),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
           FROM docs WHERE text <> ''),
+full_lines AS (SELECT *, lead(i) OVER f AS j, lead(words) OVER f AS next_words
+               FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines) WHERE words > 0 WINDOW f AS (PARTITION BY doc_id ORDER BY i)),
 hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
 cuts AS (SELECT *, (({_rolled}) % {line_dedup.PRIME}) % {line_dedup.DIVISOR} = 0 AS cut FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cuts),
 units AS (
   SELECT doc_id, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS unit FROM numbered GROUP BY doc_id, c HAVING count(*) >= {line_dedup.MIN_LINES}
-  UNION ALL
-  SELECT doc_id, i, 1, line FROM lines WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= {line_dedup.LONG_WORDS}),
-later AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, first) AS r FROM units) WHERE r > 1),
-dropped AS (SELECT DISTINCT doc_id, unnest(range(first, first + n)) AS i FROM later),
+  UNION
+  SELECT doc_id, i, 1, line FROM full_lines WHERE words >= {line_dedup.LONG_WORDS}
+  UNION
+  SELECT p.doc_id, p.i, count(*), string_agg(l.line, chr(10) ORDER BY l.i)
+  FROM full_lines p JOIN lines l ON l.doc_id = p.doc_id AND l.i BETWEEN p.i AND p.j
+  WHERE least(p.words, p.next_words) < {line_dedup.LONG_WORDS} AND p.j IS NOT NULL GROUP BY p.doc_id, p.i),
+later AS (SELECT * FROM (SELECT *, row_number() OVER u AS r, first_value(doc_id) OVER u AS owner, first_value(first) OVER u AS owner_first
+                         FROM units WINDOW u AS (PARTITION BY unit ORDER BY doc_id, first)) WHERE r > 1),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = owner THEN greatest(first, owner_first + n) ELSE first END, first + n)) AS i FROM later),
 kept AS (SELECT l.doc_id, count(*) AS n_lines, count(d.i) AS n_dropped, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (d.i IS NULL), '') AS text
          FROM lines l LEFT JOIN dropped d ON l.doc_id = d.doc_id AND l.i = d.i GROUP BY l.doc_id)
 SELECT docs.doc_id, CASE WHEN docs.text IS NULL OR docs.text = '' THEN docs.text ELSE kept.text END AS text,
