@@ -1,8 +1,10 @@
 """What several operators on documents share."""
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{base}/tidemark-{uuid.uuid4().hex}"
 
 
+def trim() -> None:
+    """Give memory that a worker no longer uses back to the system: idle workers stay while the next stage runs."""
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        give_back(0)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Settle a table and mark it for broadcast if its counted rows are few; else leave the join to Spark."""
     df = settled(df)

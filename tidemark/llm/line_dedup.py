@@ -20,7 +20,7 @@ Columns of the input that have a result's name are replaced.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, let, replacing, row_key, text_or_empty
@@ -93,12 +93,16 @@ def repeated_lines(keyed: DataFrame, id_column: str, text_column: str, window: i
     found = found.select("_key", F.col(id_column).alias("_id"), "_found", F.split(text_or_empty(text_column), "\n", -1).alias("_lines"))
     units = found.select("_key", "_id", F.explode(F.transform("_found", lambda u: F.struct(u["first"].alias("first"), u["lines"].alias("lines"), u["h"].alias("h"), u["shares"].alias("shares"), unit_text(u).alias("unit")))).alias("u"))
     share = F.pmod(F.xxhash64("_key", "u.first"), F.col("u.shares"))
-    units = units.select("_key", "_id", "u.first", "u.lines", "u.h", "u.unit", share.alias("share")).repartition("h", "unit", "share")
+    units = units.select("_key", "_id", "u.first", "u.lines", "u.h", "u.unit", "u.shares", share.alias("share")).repartition("h", "unit", "share")
     place = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_key", "first")
-    ends = units.groupBy("h", "unit", "share").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    owners = ends.groupBy("h", "unit").agg(F.min("low").alias("owner"), F.max("high").alias("last"), F.collect_list("share").alias("in"))
-    owners = owners.where("owner != last").select("h", "unit", "owner", F.explode("in").alias("share"))
-    later = units.join(owners, ["h", "unit", "share"]).where(place != F.col("owner"))
+    of = Window.partitionBy("h", "unit", "share")
+    units = units.withColumn("place", place).withColumn("low", F.min("place").over(of)).withColumn("high", F.max("place").over(of))
+    # only what has several shares moves again, one row a share
+    ends = units.where((F.col("shares") > 1) & (F.col("place") == F.col("low")))
+    owners = ends.groupBy("h", "unit").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.collect_set("share").alias("in"))
+    owners = owners.select("h", "unit", "least", "most", F.explode("in").alias("share"))
+    later = units.join(owners, ["h", "unit", "share"], "left").withColumn("owner", F.coalesce("least", "low"))
+    later = later.where((F.col("owner") != F.coalesce("most", "high")) & (F.col("place") != F.col("owner")))
     after = F.when(F.col("_key") == F.col("owner._key"), F.greatest(F.col("first"), F.col("owner.first") + F.col("lines"))).otherwise(F.col("first"))
     covered = F.sequence(after, F.col("first") + F.col("lines") - 1)
     return later.groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_set(covered))).alias("_drop"))

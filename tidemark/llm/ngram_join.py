@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, row_key, settled, text_or_empty
+from .common import WORD, row_key, settled, text_or_empty, trim
 from .components import components, in_blocks
 from .embedding_dedup import local_roots
 
@@ -95,6 +95,7 @@ def signatures(keyed: DataFrame, minhash: MinHash, n: int) -> DataFrame:
             at = np.cumsum([0, *map(len, bands)])
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_key"), pa.array(node, pa.binary()), pa.array(size, pa.int64()), lists], ["_id", "_key", "node", "grams", "bands"])
+        trim()
 
     return keyed.select("_id", "_key", "_text").mapInArrow(run, f"_id {id_kind}, _key binary, node binary, grams long, bands array<long>")
 
@@ -166,6 +167,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             at = np.cumsum([0, *map(len, made)])
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(made) if made else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "mult", "cluster", "_key")], lists], ["node", "mult", "cluster", "_key", "set"])
+        trim()
 
     wide = texts.select("node", "mult", "cluster", "_key", "_text").mapInArrow(with_sets, "node binary, mult long, cluster binary, _key binary, set array<long>")
     found = settled(verify(in_blocks(wide, ["cluster"], F.xxhash64("node"), block, counted=members), threshold))

@@ -31,7 +31,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import replacing, settled, text_or_empty
+from .common import replacing, settled, text_or_empty, trim
 from .quality_rules import agreed_labels
 
 #: Common insults to start from.
@@ -128,7 +128,9 @@ def features_of(*lexicons: frozenset[str]):
 
     @F.arrow_udf("array<double>")
     def run(texts: pa.Array, fold: pa.Array) -> pa.Array:
-        return pa.array((features(t.as_py() or "", lexicons[k.as_py()]) for t, k in zip(texts, fold, strict=True)), pa.list_(pa.float64()))
+        made = pa.array((features(t.as_py() or "", lexicons[k.as_py()]) for t, k in zip(texts, fold, strict=True)), pa.list_(pa.float64()))
+        trim()
+        return made
 
     return run
 
@@ -169,7 +171,7 @@ def units(column: str) -> Column:
                 held = 0
         pack()
         packed = pa.concat_arrays(done)
-        pa.default_memory_pool().release_unused()
+        trim()
         return packed
 
     return of(column)
