@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import cleaning, daily
 
 POSITIVE = ("l_discount", "l_tax")
+LINE_AVERAGES = {"avg_price": "l_extendedprice", "avg_quantity": "l_quantity"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean(
-        table(spark, sf_dir, "lineitem"), POSITIVE, ("l_shipdate",), "l_returnflag", "R"
-    )
+    return clean_rows_of(table(spark, sf_dir, "lineitem"))
+
+
+def clean_rows_of(lines: DataFrame) -> DataFrame:
+    return cleaning.clean(lines, POSITIVE, ("l_shipdate",), "l_returnflag", "R")
 
 
 def daily_lines(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
@@ -24,7 +27,7 @@ def daily_lines(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     return daily.daily_features(
         clean_lines(spark, sf_dir),
         "l_shipdate",
-        {"avg_price": "l_extendedprice", "avg_quantity": "l_quantity"},
+        LINE_AVERAGES,
         "n_rows",
         keys,
     )

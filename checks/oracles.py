@@ -268,6 +268,9 @@ ORACLES: dict[str, str] = {
     "daily_features_by_supplier": f"""
         SELECT l_suppkey, {DAY}, {r('avg_price')} AS avg_price, {r('avg_quantity')} AS avg_quantity, n_rows
         FROM ({daily_lines('l_suppkey')})""",
+    **dict.fromkeys(("merged_daily_states", "daily_features_from_new_files"), f"""
+        SELECT l_suppkey, {DAY}, {r('avg_price')} AS avg_price, {r('avg_quantity')} AS avg_quantity, n_rows
+        FROM ({daily_lines('l_suppkey')})"""),
     "series_lengths": f"""
         SELECT l_partkey, count(*) AS n_obs, CASE WHEN count(*) < 10 THEN 'too_short' ELSE 'ok' END AS status
         FROM ({daily_lines('l_partkey')}) GROUP BY 1""",

@@ -20,11 +20,12 @@ from tidemark.operators import (
     inference,
     models,
     registry,
+    states,
 )
 from tidemark.session import ensure_checkpoint_dir, ship_package
-from tidemark.sources import TableStore, read_csv_from_files, read_parquet
+from tidemark.sources import TableStore, append_new_files, read_csv_from_files, read_parquet
 
-from .inputs import POSITIVE, clean_lines, daily_events, daily_lines, present, table
+from .inputs import LINE_AVERAGES, POSITIVE, clean_lines, clean_rows_of, daily_events, daily_lines, present, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,6 +157,34 @@ def daily_features_by_supplier(spark, sf_dir):
     return present(daily_lines(spark, sf_dir, "l_suppkey"))
 
 
+@query
+def merged_daily_states(spark, sf_dir):
+    """States of returned and other lines, made apart, give the features of all lines."""
+    lines, columns = clean_lines(spark, sf_dir), ("n_rows", ["l_suppkey"], "date")
+    parts = [
+        states.daily_states(lines.where(part), "l_shipdate", LINE_AVERAGES, *columns)
+        for part in (F.col("l_returnflag"), ~F.col("l_returnflag"))
+    ]
+    return present(states.features_of_states(parts[0].unionByName(parts[1]), LINE_AVERAGES, *columns))
+
+
+@query
+def daily_features_from_new_files(spark, sf_dir):
+    """Take in the files of the table as a stream, twice: the second time nothing is new."""
+    store, columns = TableStore(spark), ("n_rows", ["l_suppkey"], "date")
+    name = f"line_states_{uuid.uuid4().hex}"
+    for _ in range(2):
+        append_new_files(
+            store,
+            f"{sf_dir}/lineitem*.parquet",
+            name,
+            lambda rows: states.daily_states(clean_rows_of(rows), "l_shipdate", LINE_AVERAGES, *columns),
+        )
+    days = kept(states.features_of_states(store.read(name), LINE_AVERAGES, *columns))
+    store.drop(name)
+    return present(days)
+
+
 @query
 def series_lengths(spark, sf_dir):
     return daily.series_lengths(daily_lines(spark, sf_dir, "l_partkey"), ["l_partkey"], 10)

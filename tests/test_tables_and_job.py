@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,6 +291,20 @@ def test_command_line(spark, monkeypatch):
     assert cli.main(["--forecast-horizon", "0"]) == 1
 
 
+def test_command_line_sets_the_model(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cli, "ForecastJob", lambda spark, config: seen.append(config) or SimpleNamespace(run=lambda **_: None))
+    numbers = ["--min-observations", "20", "--seasonal-from", "40", "--fit-partitions", "3"]
+    orders = ["--sarimax-order", "2", "0", "1", "--sarimax-seasonal-order", "1", "0", "0", "5"]
+    assert cli.main([*numbers, *orders, "--feature-mode", "merge", "--daily-states-table", "s"]) == cli.main([]) == 0
+    given, default = seen
+    assert (given.min_observations, given.seasonal_from, given.fit_partitions) == (20, 40, 3)
+    assert (given.sarimax_order, given.sarimax_seasonal_order) == ((2, 0, 1), (1, 0, 0, 5))
+    assert (given.feature_mode, given.daily_states_table) == ("merge", "s")
+    assert default == JobConfig()
+    assert cli.main(["--feature-mode", "other"]) == 1
+
+
 def test_command_line_reports_failure(spark):
     assert cli.main(["--raw-parquet-path", "/nowhere/none.parquet"]) == 1
 

@@ -16,7 +16,8 @@ class JobConfig:
     input is one daily series; with keys there is one series per distinct key.
 
     ``aic_basis="common"`` compares baseline and candidate on the same days, ``"own"`` each on
-    the days it can score.  Series of fewer than ``seasonal_from`` days get a model without season.
+    the days it can score.  ``feature_mode="merge"`` reads only files of the input (a folder or a pattern) that no
+    earlier run has read, and keeps sums and counts per day instead of raw and clean tables.  Series of fewer than ``seasonal_from`` days get a model without season.
     """
 
     # inputs
@@ -27,6 +28,7 @@ class JobConfig:
     raw_table_name: str = "trips_raw"
     clean_table_name: str = "trips_clean"
     daily_features_table: str = "average_fare_per_day"
+    daily_states_table: str = "daily_states"
     registry_table: str = "time_series_model_registry"
     predictions_table: str = "average_fare_forecast"
     scoring_log_table: str = "scoring_runs"
@@ -37,6 +39,7 @@ class JobConfig:
     table_format: str = "parquet"
     raw_mode: str = "copy"
     clean_mode: str = "table"
+    feature_mode: str = "rebuild"
 
     # model
     model_name: str = "sarimax_average_fare_per_day_with_exog"
@@ -84,6 +87,8 @@ class JobConfig:
             raise ValueError("raw_mode must be 'copy' or 'link'")
         if self.clean_mode not in ("table", "view"):
             raise ValueError("clean_mode must be 'table' or 'view'")
+        if self.feature_mode not in ("rebuild", "merge"):
+            raise ValueError("feature_mode must be 'rebuild' or 'merge'")
         if self.aic_basis not in ("own", "common"):
             raise ValueError("aic_basis must be 'own' or 'common'")
         if (self.baseline_order, self.baseline_seasonal_order) != ((1, 0, 0), (0, 0, 0, 0)):

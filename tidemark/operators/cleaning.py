@@ -72,6 +72,13 @@ def quality_report(
     )
 
 
+def observed(
+    df: DataFrame, observation: Observation, positive: Sequence[str], timestamps: Sequence[str] = (), drop_nan: bool = False
+) -> DataFrame:
+    """The same rows; the numbers of ``quality_report`` are there once they have been used."""
+    return df.observe(observation, *_report_columns(df, positive, timestamps, drop_nan))
+
+
 def clean(
     df: DataFrame,
     positive: Sequence[str],
@@ -87,7 +94,7 @@ def clean(
     written, so that the report costs no scan of its own.
     """
     if observation is not None:
-        df = df.observe(observation, *_report_columns(df, positive, timestamps, drop_nan))
+        df = observed(df, observation, positive, timestamps, drop_nan)
     kept = positive_rows(df, positive, drop_nan)
     if flag is not None:
         kept = flag_to_boolean(kept, flag, flag_true)

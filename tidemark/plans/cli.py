@@ -29,11 +29,16 @@ _VALUES = (
     ("table_format", str, "parquet, or delta where its jar is present"),
     ("raw_mode", str, "copy the input into the raw table, or link it in place"),
     ("clean_mode", str, "write cleansed rows to a table, or keep them as a view"),
+    ("feature_mode", str, "rebuild daily features from all rows, or merge those of new files"),
+    ("daily_states_table", str, "table of sums and counts per day (with --feature-mode merge)"),
     ("holdout_table", str, "table of held-out days and their forecasts (with --evaluate)"),
     ("holdout_metrics_table", str, "table of errors on held-out days (with --evaluate)"),
     ("model_store_table", str, "table of all fits"),
     ("run_log_table", str, "table of parameters and metrics of runs"),
     ("aic_basis", str, "score both models on common days, or each on its own"),
+    ("min_observations", int, "least number of days to fit a series"),
+    ("seasonal_from", int, "least number of days for a model with a season"),
+    ("fit_partitions", int, "number of partitions to fit in"),
     ("ts_col", str, "column with the time of a row"),
     ("flag_col", str, "text column to turn into a boolean; an empty value skips it"),
     ("flag_true", str, "text of that column that means true"),
@@ -48,6 +53,11 @@ _LISTS = (
     ("other_ts_cols", "further columns to read as times"),
     ("exog_cols", "daily columns that serve as regressors"),
 )
+# the orders, of three and four numbers
+_ORDERS = (
+    ("sarimax_order", 3, "p d q of the model"),
+    ("sarimax_seasonal_order", 4, "P D Q of its season, and the days of a season"),
+)
 
 
 def _pair(text: str) -> tuple[str, str]:
@@ -67,6 +77,10 @@ def parse_arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         parser.add_argument(
             "--" + name.replace("_", "-"), nargs="*", default=list(getattr(DEFAULT_CONFIG, name)), help=text
         )
+    for name, count, text in _ORDERS:
+        parser.add_argument(
+            "--" + name.replace("_", "-"), nargs=count, type=int, default=list(getattr(DEFAULT_CONFIG, name)), help=text
+        )
     parser.add_argument(
         "--averages", nargs="*", type=_pair, default=list(DEFAULT_CONFIG.averages),
         help="daily averages, each as new=source",
@@ -83,6 +97,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     try:
         given = {name: getattr(args, name) for name, _, _ in _VALUES}
         given |= {name: tuple(getattr(args, name)) for name, _ in _LISTS}
+        given |= {name: tuple(getattr(args, name)) for name, _, _ in _ORDERS}
         given |= {name: given[name] or None for name in ("lookup_csv_path", "flag_col")}
         config = JobConfig.from_args(**given, averages=tuple(args.averages))
         spark = get_or_create_spark()

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..operators import cleaning, daily, diagnostics, evaluation, inference, models, registry
+from ..operators import cleaning, daily, diagnostics, evaluation, inference, models, registry, states
 from ..session import ship_package
-from ..sources import TableStore, read_csv_from_files, read_parquet
+from ..sources import TableStore, append_new_files, read_csv_from_files, read_parquet
 
 log = logging.getLogger(__name__)
 
@@ -51,13 +51,17 @@ class ForecastJob:
                 raw.observe(seen, F.count(F.lit(1)).alias("raw_rows")), cfg.raw_table_name
             )
             self.counts |= seen.get
-        lookup = None
-        if cfg.lookup_csv_path is not None:
-            lookup = read_csv_from_files(self.spark, cfg.lookup_csv_path)
-            self.counts["lookup_rows"] = lookup.count()
+        lookup = self._lookup()
         log.info("ingested %s", self.counts)
         return self.tables.read(cfg.raw_table_name), lookup
 
+    def _lookup(self) -> DataFrame | None:
+        if self.config.lookup_csv_path is None:
+            return None
+        lookup = read_csv_from_files(self.spark, self.config.lookup_csv_path)
+        self.counts["lookup_rows"] = lookup.count()
+        return lookup
+
     # step 2
     def clean_data(self) -> DataFrame:
         cfg = self.config
@@ -98,6 +102,38 @@ class ForecastJob:
             log.info("cleaned %s", self.counts)
         return self.tables.read(cfg.daily_features_table)
 
+    # steps 1 to 3 at once
+    def merge_new_files(self) -> DataFrame:
+        """Clean and aggregate the files that no earlier run has read, and renew the daily table from all states.
+
+        Counts are those of the new files.  The states and the daily table have a row per series and day, so
+        nothing but the new files is of the input's size.
+        """
+        cfg = self.config
+        seen: list[Observation] = []
+
+        times = (cfg.ts_col, *cfg.other_ts_cols)
+
+        def watched(rows: DataFrame) -> DataFrame:
+            seen.append(Observation())
+            return cleaning.observed(rows, seen[-1], cfg.positive_cols, times)
+
+        def day_states(rows: DataFrame) -> DataFrame:
+            kept = cleaning.clean(rows, cfg.positive_cols, times, cfg.flag_col, cfg.flag_true)
+            return states.daily_states(kept, cfg.ts_col, dict(cfg.averages), cfg.count_col, cfg.series_keys, cfg.date_col)
+
+        self._lookup()
+        batches = append_new_files(self.tables, cfg.raw_parquet_path, cfg.daily_states_table, day_states, watched)
+        numbers = [one.get for one in seen]
+        self.counts |= {name: sum(one[name] for one in numbers) for name in numbers[0]} if numbers else {}
+        log.info("%s batches of new files, %s", batches, self.counts)
+        names = [name for name, _ in cfg.averages]
+        days = states.features_of_states(
+            self.tables.read(cfg.daily_states_table), names, cfg.count_col, cfg.series_keys, cfg.date_col
+        )
+        self.tables.overwrite(days, cfg.daily_features_table, replace_schema=True)
+        return self.tables.read(cfg.daily_features_table)
+
     # step 4
     def train_models(self, run_id: str | None = None) -> DataFrame:
         """Fit every series once, into the model store; raises, and leaves no rows, if no series is long enough.
@@ -265,13 +301,9 @@ class ForecastJob:
         }
 
     def run(self, skip_inference: bool = False, evaluate: bool = False) -> None:
-        steps = [
-            self.ingest_data,
-            self.clean_data,
-            self.engineer_features,
-            self.train_models,
-            self.register_model,
-        ]
+        rebuild = [self.ingest_data, self.clean_data, self.engineer_features]
+        features = [self.merge_new_files] if self.config.feature_mode == "merge" else rebuild
+        steps = [*features, self.train_models, self.register_model]
         if not skip_inference:
             steps.append(self.run_batch_inference)
         if evaluate:

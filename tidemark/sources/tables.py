@@ -118,11 +118,11 @@ class TableStore:
             self.overwrite(kept, name)
 
     def drop(self, name: str) -> None:
-        """Remove a table with its snapshots."""
+        """Remove a table with its snapshots, and what it remembers of files it has taken in."""
         self.recover(name)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        root = self._path(self._root(name))
-        self._files(root).delete(root, True)
+        self.remove_folder(self._root(name))
+        self.remove_folder(self.folder_beside(name, "stream"))
 
     def recover(self, name: str) -> None:
         """Finish a change of columns or partitions that a writer has begun."""
@@ -166,10 +166,18 @@ class TableStore:
             if status.isDirectory() and status.getPath().getName() not in names:
                 files.delete(status.getPath(), True)
 
+    def remove_folder(self, folder: str) -> None:
+        path = self._path(folder)
+        self._files(path).delete(path, True)
+
     def _root(self, name: str) -> str:
+        return self.folder_beside(name, "snapshots")
+
+    def folder_beside(self, name: str, what: str) -> str:
+        """A folder in the database's own that belongs to a table."""
         *database, table = name.replace("`", "").split(".")
         home = self.spark.catalog.getDatabase(database[-1] if database else self.spark.catalog.currentDatabase())
-        return f"{home.locationUri.rstrip('/')}/{table.lower()}.snapshots"
+        return f"{home.locationUri.rstrip('/')}/{table.lower()}.{what}"
 
     def _snapshot(self, name: str) -> str | None:
         """The folder of the current snapshot; None for a table of another kind."""
