@@ -17,7 +17,9 @@ class JobConfig:
 
     ``aic_basis="common"`` compares baseline and candidate on the same days, ``"own"`` each on
     the days it can score.  ``feature_mode="merge"`` reads only files of the input (a folder or a pattern) that no
-    earlier run has read, and keeps sums and counts per day instead of raw and clean tables.  Series of fewer than ``seasonal_from`` days get a model without season.
+    earlier run has read, and keeps sums and counts per day instead of raw and clean tables.
+    ``series_buckets`` keeps the daily table, the model store and the registry in so many buckets by series, so that
+    training and forecasting exchange no rows; tables made without do not change by it.  Series of fewer than ``seasonal_from`` days get a model without season.
     """
 
     # inputs
@@ -56,6 +58,7 @@ class JobConfig:
     seasonal_from: int = 30
     experiment_name: str = "average_fare_per_day_sarimax"
     fit_partitions: int | None = None
+    series_buckets: int | None = None
 
     # boosted trees
     gbt_max_depth: int = 5
@@ -89,6 +92,8 @@ class JobConfig:
             raise ValueError("clean_mode must be 'table' or 'view'")
         if self.feature_mode not in ("rebuild", "merge"):
             raise ValueError("feature_mode must be 'rebuild' or 'merge'")
+        if self.series_buckets is not None and (self.series_buckets < 1 or not self.series_keys):
+            raise ValueError("series_buckets needs series keys, and one bucket or more")
         if self.aic_basis not in ("own", "common"):
             raise ValueError("aic_basis must be 'own' or 'common'")
         if (self.baseline_order, self.baseline_seasonal_order) != ((1, 0, 0), (0, 0, 0, 0)):

@@ -43,6 +43,10 @@ def by_date(series_keys: Sequence[str], date_col: str = "date", descending: bool
     return Window.partitionBy(*series_keys).orderBy(order)
 
 
+#: Column that names a series where tables are bucketed by it; never null, and it tells all series keys.
+SERIES = "_series"
+
+
 #: Days of the calendar, and later rows of a series, that one block holds.
 BLOCK_DAYS = 4096
 

@@ -9,15 +9,18 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .daily import complete_cases
+from .daily import SERIES, complete_cases
 from .models import forecast_sarimax, regressors
 
 
 def join_models(rows: DataFrame, models: DataFrame, series_keys: Sequence[str]) -> DataFrame:
     """Give every row the columns of its series' model; a null key is a key like any other.
 
-    An equi-join whose strategy is left to adaptive execution, which knows the sizes.
+    An equi-join whose strategy is left to adaptive execution, which knows the sizes.  Where ``SERIES`` is among
+    the keys it says all, and tables bucketed by it meet without an exchange.
     """
+    if SERIES in series_keys:
+        return rows.join(models.drop(*(k for k in series_keys if k != SERIES)), SERIES)
     if not series_keys:
         raise ValueError("a join without series keys would be a product of both sides")
     named = {k: f"_model_{k}" for k in series_keys}
@@ -51,11 +54,12 @@ def recent_regressors(
     ends = named.select(*series_keys, "_model", "train_end").distinct()
     seen = join_models(days, ends, series_keys).where(F.col("date") <= F.col("train_end"))
     # only the newest rows of each model pass the sort's partial limit
-    newest = F.row_number().over(Window.partitionBy("_model").orderBy(F.col("date").desc()))
+    by = [SERIES, "_model"] if SERIES in series_keys else ["_model"]
+    newest = F.row_number().over(Window.partitionBy(*by).orderBy(F.col("date").desc()))
     last = seen.withColumn("_age", newest).where(F.col("_age") <= horizon)
     day = F.struct("date", *(f"x{i}" for i in range(len(exog))))
-    gathered = last.groupBy("_model").agg(F.sort_array(F.collect_list(day)).alias("_days"))
-    known = named.join(gathered, "_model", "left").withColumn("_days", F.coalesce("_days", F.array().cast(gathered.schema["_days"].dataType)))
+    gathered = last.groupBy(*by).agg(F.sort_array(F.collect_list(day)).alias("_days"))
+    known = named.join(gathered, by, "left").withColumn("_days", F.coalesce("_days", F.array().cast(gathered.schema["_days"].dataType)))
     return known.select(*series_keys, *held, regressors("_days", len(exog)).alias("future"), F.size("_days").alias("steps"))
 
 

@@ -166,16 +166,19 @@ def train(
     aic_basis: str = "own",
     partitions: int | None = None,
     seasonal_from: int = SEASONAL_FROM,
+    spread: bool = True,
 ) -> DataFrame:
     """One model row per series: orders, parameters, both AICs, tail state, residuals, status.
 
     ``aic_basis="common"`` scores baseline and candidate on the same days; ``"own"`` leaves
     each the days its own states allow.  Status is ``fitted``, ``failed`` (no finite AIC, or no
-    more days to score than parameters) or ``too_short``.
+    more days to score than parameters) or ``too_short``.  Without ``spread``, rows stay where the table has them.
     """
     burns = [max(Shape.of(o, s).k_states, 1) for o, s in ((order, seasonal), (SHORT_ORDER, SHORT_SEASONAL))]
     shared = F.when(F.col("_n") >= seasonal_from, burns[0]).otherwise(burns[1])
-    ready = spread_by_series(complete_cases(df, [target, *exog], date_col), series_keys, partitions)
+    ready = complete_cases(df, [target, *exog], date_col)
+    if spread:
+        ready = spread_by_series(ready, series_keys, partitions)
     pairs = _lagged_pairs(
         ready, series_keys, date_col, target, shared if aic_basis == "common" else None
     )

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .daily import SERIES
 from .models import passes_gate
 
 
@@ -33,8 +34,8 @@ def serialize_model(models: DataFrame, series_keys: Sequence[str], run_id: str)
 
 def deserialize_model(store: DataFrame, wanted: DataFrame) -> DataFrame:
     """Add what is needed to continue a series to the models that ``wanted`` names by run and id."""
-    held = store.select("model_id", "run_id", *MODEL_STATE)
-    return wanted.join(held, ["run_id", "model_id"])
+    by = [c for c in (SERIES, "run_id", "model_id") if c in wanted.columns]
+    return wanted.join(store.select(*by, *MODEL_STATE), by)
 
 
 MODEL_STATE = ("params", "recursion", "recent", "shocks", "train_end")

@@ -39,6 +39,7 @@ _VALUES = (
     ("min_observations", int, "least number of days to fit a series"),
     ("seasonal_from", int, "least number of days for a model with a season"),
     ("fit_partitions", int, "number of partitions to fit in"),
+    ("series_buckets", int, "number of buckets by series of the daily table, the model store and the registry"),
     ("ts_col", str, "column with the time of a row"),
     ("flag_col", str, "text column to turn into a boolean; an empty value skips it"),
     ("flag_true", str, "text of that column that means true"),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import JobConfig
 from ..operators import cleaning, daily, diagnostics, evaluation, inference, models, registry, states
 from ..session import ship_package
-from ..sources import TableStore, append_new_files, read_csv_from_files, read_parquet
+from ..sources import Buckets, TableStore, append_new_files, read_csv_from_files, read_parquet
 
 log = logging.getLogger(__name__)
 
@@ -30,11 +30,16 @@ def _now() -> datetime:
 class ForecastJob:
     def __init__(self, spark: SparkSession, config: JobConfig):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if config.series_buckets:
+            # a join on series and model may rest on buckets by series alone
+            spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         ship_package(spark)
         self.spark = spark
         self.config = config
         self.tables = TableStore(spark, config.table_format)
         self.run_id: str | None = None
+        self.buckets = Buckets((daily.SERIES,), config.series_buckets) if config.series_buckets else None
+        self.keys = (daily.SERIES, *config.series_keys) if self.buckets else config.series_keys
         self.counts: dict[str, int] = {}
         self._unread: Observation | None = None
 
@@ -95,7 +100,7 @@ class ForecastJob:
             cfg.series_keys,
             cfg.date_col,
         )
-        self.tables.overwrite(features, cfg.daily_features_table, replace_schema=True)
+        self._store_days(features)
         if self._unread is not None:
             self.counts |= self._unread.get
             self._unread = None
@@ -131,9 +136,14 @@ class ForecastJob:
         days = states.features_of_states(
             self.tables.read(cfg.daily_states_table), names, cfg.count_col, cfg.series_keys, cfg.date_col
         )
-        self.tables.overwrite(days, cfg.daily_features_table, replace_schema=True)
+        self._store_days(days)
         return self.tables.read(cfg.daily_features_table)
 
+    def _store_days(self, days: DataFrame) -> None:
+        if self.buckets:
+            days = days.withColumn(daily.SERIES, registry.series_id(self.config.series_keys))
+        self.tables.overwrite(days, self.config.daily_features_table, replace_schema=True, buckets=self.buckets)
+
     # step 4
     def train_models(self, run_id: str | None = None) -> DataFrame:
         """Fit every series once, into the model store; raises, and leaves no rows, if no series is long enough.
@@ -144,7 +154,7 @@ class ForecastJob:
         run_id = run_id or str(uuid.uuid4())
         fitted = models.train(
             self.tables.read(cfg.daily_features_table),
-            cfg.series_keys,
+            self.keys,
             cfg.date_col,
             cfg.target_col,
             cfg.exog_cols,
@@ -154,6 +164,7 @@ class ForecastJob:
             cfg.aic_basis,
             cfg.fit_partitions,
             cfg.seasonal_from,
+            spread=not self.buckets,
         )
         stored = registry.serialize_model(fitted, cfg.series_keys, run_id)
         seen = Observation("train")
@@ -163,7 +174,7 @@ class ForecastJob:
             F.count_if(F.col("status") != "too_short").alias("long_enough"),
             F.max("n_obs").alias("longest"),
         )
-        self.tables.append(stored, cfg.model_store_table, ["run_id"], replace_partitions=True)
+        self.tables.append(stored, cfg.model_store_table, ["run_id"], replace_partitions=True, buckets=self.buckets)
         self.counts |= seen.get
         if not self.counts["long_enough"]:
             self.tables.drop_partition(cfg.model_store_table, "run_id", run_id)
@@ -196,7 +207,7 @@ class ForecastJob:
         cfg = self.config
         rows = registry.registry_rows(
             self.trained_models(),
-            cfg.series_keys,
+            self.keys,
             model_name=cfg.model_name,
             model_version=cfg.model_version,
             target_series=cfg.daily_features_table,
@@ -207,7 +218,7 @@ class ForecastJob:
         if rows.isEmpty():
             log.warning("no AIC improvement of %s or more; registry unchanged", cfg.min_aic_improvement)
             return None
-        self.tables.append(rows, cfg.registry_table, ["run_id"], replace_partitions=True)
+        self.tables.append(rows, cfg.registry_table, ["run_id"], replace_partitions=True, buckets=self.buckets)
         return self.tables.read(cfg.registry_table).filter(F.col("run_id") == self.run_id)
 
     # step 6
@@ -222,7 +233,7 @@ class ForecastJob:
             return None
         newest = registry.latest_models(
             self.tables.read(cfg.registry_table),
-            cfg.series_keys,
+            self.keys,
             model_name=cfg.model_name,
             target_series=cfg.daily_features_table,
             columns=["run_id", "model_id", "model_version", "order", "seasonal_order"],
@@ -230,15 +241,7 @@ class ForecastJob:
         if newest.isEmpty():
             log.warning("no model in the registry; nothing to forecast")
             return None
-        known = registry.deserialize_model(self.tables.read(cfg.model_store_table), newest)
-        ready = inference.recent_regressors(
-            self.tables.read(cfg.daily_features_table),
-            known,
-            cfg.series_keys,
-            cfg.date_col,
-            cfg.exog_cols,
-            cfg.forecast_horizon,
-        )
+        ready = self._models_with_regressors(newest)
         scoring_run_id = scoring_run_id or str(uuid.uuid4())
         steps = inference.forecast(
             ready.withColumn("scoring_run_id", F.lit(scoring_run_id)),
@@ -260,6 +263,18 @@ class ForecastJob:
         )
         return self.tables.read(cfg.predictions_table)
 
+    def _models_with_regressors(self, newest: DataFrame) -> DataFrame:
+        cfg = self.config
+        known = registry.deserialize_model(self.tables.read(cfg.model_store_table), newest)
+        return inference.recent_regressors(
+            self.tables.read(cfg.daily_features_table),
+            known,
+            self.keys,
+            cfg.date_col,
+            cfg.exog_cols,
+            cfg.forecast_horizon,
+        )
+
     # evaluation and diagnostics
     def evaluate_holdout(self) -> DataFrame:
         """Store the held-out days beside their forecasts, and the errors per series; returns the days."""

@@ -26,6 +26,22 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows with equal values in ``columns`` lie in one of ``number`` files, in every table bucketed alike."""
+
+    columns: tuple[str, ...]
+    number: int
+
+    def deal(self, df: DataFrame) -> DataFrame:
+        """One task, and so one file, for each bucket; Spark hashes rows into both alike."""
+        return df.repartition(self.number, *self.columns)
+
+    def clause(self) -> str:
+        columns = ", ".join(f"`{c}`" for c in self.columns)
+        return f"CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {self.number} BUCKETS "
+
+
 @dataclass(frozen=True)
 class TableStore:
     """Tables of one catalog in one format.
@@ -38,6 +54,9 @@ class TableStore:
     intent is created first, if no other is there, and whoever looks at the table next finishes the change.  A
     writer that dies leaves the old rows or the new ones under the name.  One earlier snapshot stays for
     readers that have begun.  One writer at a time: a second one fails at the record, or its rows come last.
+
+    With ``buckets``, joins and aggregates on those columns need no exchange.  Only named tables can be written
+    so, hence a snapshot is first named by itself; a writer that dies there may leave that name behind.
     """
 
     spark: SparkSession
@@ -57,13 +76,15 @@ class TableStore:
         name: str,
         replace_schema: bool = False,
         partition_by: Sequence[str] = (),
+        buckets: Buckets | None = None,
     ) -> None:
         there = self.exists(name)
         if there and not replace_schema:
             held, new = _layout(self.read(name)), _layout(df)
             if held != new:
                 raise SchemaMismatch(f"{name} holds {held}, the new rows have {new}")
-        writer = df.write.format(self.format)
+        self._allow(buckets)
+        writer = (buckets.deal(df) if buckets else df).write.format(self.format)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if self.format == "delta":
@@ -71,35 +92,55 @@ class TableStore:
             writer.mode("overwrite").options(**options).saveAsTable(name)
             return
         folder = f"{self._root(name)}/{uuid.uuid4().hex}"
-        writer.save(folder)
+        if buckets:
+            alone = f"{name}_{uuid.uuid4().hex}"
+            writer.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns).option("path", folder).saveAsTable(alone)
+            self.spark.sql(f"DROP TABLE {alone}")  # the name only, files outside the warehouse's own folder stay
+        else:
+            writer.save(folder)
         before = self._snapshot(name) if there else None
-        if before is not None and not partition_by and not self._partitions(name) and _layout(self.read(name)) == _layout(df):
+        plain = before is not None and not partition_by and not self._partitions(name)
+        if plain and self._buckets(name) == buckets and _layout(self.read(name)) == _layout(df):
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(folder)}'")
         else:
-            self._intend(name, folder, df, partition_by)
+            self._intend(name, folder, df, partition_by, buckets)
             self.recover(name)
         self._forget(name, keep=(folder, before))
 
     def append(
-        self, df: DataFrame, name: str, partition_by: Sequence[str] = (), replace_partitions: bool = False
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: Sequence[str] = (),
+        replace_partitions: bool = False,
+        buckets: Buckets | None = None,
     ) -> None:
         """Add rows; columns the table lacks are added, columns the rows lack become null.
 
         With ``replace_partitions``, rows of a partition that the new rows bring again give way: a step whose
         rows carry a key of their own as partition can be repeated without doubling them.  A table that
-        is not partitioned that way gets the rows added.
+        is not partitioned that way gets the rows added.  ``buckets`` are those of the first append.
         """
+        self._allow(buckets)
         there = self.exists(name)
         if self.format != "delta" and there:
             df = self._widen(df, name)
+        if buckets:
+            df = buckets.deal(df)
         if there and replace_partitions and self.format != "delta" and set(partition_by) == set(self._partitions(name)) and partition_by:
             self._replace_partitions(df, name)
             return
         writer = df.write.format(self.format).mode("append").option("mergeSchema", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if buckets:
+            writer = writer.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
         writer.saveAsTable(name)
 
+    def _allow(self, buckets: Buckets | None) -> None:
+        if buckets and self.format == "delta":
+            raise ValueError("Delta tables have no buckets")
+
     def _replace_partitions(self, df: DataFrame, name: str) -> None:
         conf, key = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"  # inserts into tables read no option
         before = conf.get(key)
@@ -145,17 +186,21 @@ class TableStore:
         self.spark.sql(
             f"CREATE TABLE {name} ({wanted['columns']}) USING {self.format} "
             + (f"PARTITIONED BY ({parts}) " if parts else "")
+            + (Buckets(*wanted["buckets"]).clause() if wanted.get("buckets") else "")
             + f"LOCATION '{_quoted(wanted['folder'])}'"
         )
         if parts:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         files.delete(record, False)
 
-    def _intend(self, name: str, folder: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+    def _intend(self, name: str, folder: str, df: DataFrame, partition_by: Sequence[str], buckets: Buckets | None) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         record = self._path(f"{self._root(name)}/{INTENT}")
         stream = self._files(record).create(record, False)  # fails if another writer's record is there
-        stream.write(bytearray(json.dumps({"folder": folder, "columns": columns, "partition_by": list(partition_by)}).encode()))
+        wanted = {"folder": folder, "columns": columns, "partition_by": list(partition_by)}
+        if buckets:
+            wanted["buckets"] = [list(buckets.columns), buckets.number]
+        stream.write(bytearray(json.dumps(wanted).encode()))
         stream.close()
 
     def _forget(self, name: str, keep: Sequence[str | None]) -> None:
@@ -187,6 +232,13 @@ class TableStore:
         found = rows[0]["data_type"] if rows else ""
         return found if f"/{self._root(name).rsplit('/', 1)[-1]}/" in found else None
 
+    def _buckets(self, name: str) -> Buckets | None:
+        columns = tuple(c.name for c in self.spark.catalog.listColumns(name) if c.isBucket)
+        if not columns:
+            return None
+        number = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+        return Buckets(columns, int(number["data_type"]))
+
     def _partitions(self, name: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
 
