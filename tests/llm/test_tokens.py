@@ -1,5 +1,6 @@
 """Token records and sentence pieces against the libraries, with texts made to be awkward."""
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -102,3 +103,18 @@ def test_memories_that_overflow_change_nothing(monkeypatch):
     assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     pieces = sentencepieces.PrefixTable(PIECES)
     assert [pieces.encode(t) for t in texts] == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(texts)
+
+
+def test_decoding_needs_a_fraction_of_the_prefix_table():
+    def kept(make):
+        tracemalloc.start()
+        made = make(PIECES)
+        size = tracemalloc.get_traced_memory()[0]
+        tracemalloc.stop()
+        return made, size
+
+    kept(sentencepieces.PieceTexts)  # imports
+    (texts, light), (table, heavy) = kept(sentencepieces.PieceTexts), kept(sentencepieces.PrefixTable)
+    assert light < heavy / 2 and not hasattr(texts, "automaton")
+    ids = [table.encode(t) for t in awkward(4, 500)] + [[table.byte[200], 300], []]
+    assert [texts.decode(i) for i in ids] == [table.decode(i) for i in ids]

@@ -18,6 +18,7 @@ empty text; columns of the input that have a result's name are replaced.
 """
 from __future__ import annotations
 
+import codecs
 import re
 import unicodedata
 from array import array
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import replacing
+from .common import replacing, trim
 
 SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
@@ -53,10 +54,14 @@ def units_of(pieces) -> re.Pattern:
     return re.compile(f"\n|{opening}*[^\n{opening[1:]}+|{opening}+")
 
 
-class PrefixTable:
-    """The vocabulary of one model, and encoding and decoding by it."""
+class PieceTexts:
+    """What the ids of one model stand for: all that decoding needs, at a fraction of the prefix table's size."""
 
     def __init__(self, path: str):
+        self.load(path)
+
+    def load(self, path: str):
+        """Returns the parsed model."""
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -66,24 +71,45 @@ class PrefixTable:
         if model.trainer_spec.model_type != 2 or normal.precompiled_charsmap or normal.remove_extra_whitespaces or not normal.escape_whitespaces:
             raise ValueError("a merge-type model that leaves texts as they are is needed")
         self.dummy_prefix = normal.add_dummy_prefix
+        self.out: list[bytes] = []
+        self.is_byte: list[bool] = []
+        for piece in model.pieces:
+            self.is_byte.append(piece.type == BYTE)
+            if piece.type == BYTE:
+                self.out.append(bytes([int(piece.piece[1:-1], 16)]))
+            elif piece.type == NORMAL:
+                self.out.append(piece.piece.replace(SPACE, " ").encode())
+            else:
+                self.out.append(model.trainer_spec.unk_surface.encode() if piece.type == UNKNOWN else b"")
+        return model
+
+    def decode(self, ids: list[int] | None) -> str:
+        """Pieces in a row, byte pieces joined to characters; bytes that form none become U+FFFD, one each."""
+        if not ids:
+            return ""
+        raw = b"".join(map(self.out.__getitem__, ids))
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            text = raw.decode(errors="one_for_each_byte")
+        return text[1:] if self.dummy_prefix and text.startswith(" ") and not self.is_byte[ids[0]] else text
+
+
+class PrefixTable(PieceTexts):
+    """The vocabulary of one model, and encoding and decoding by it."""
+
+    def __init__(self, path: str):
+        model = self.load(path)
         self.score: dict[str, float] = {}
         self.id: dict[str, int] = {}
         self.byte = [0] * 256
-        self.out: list[bytes] = []
-        self.is_byte: list[bool] = []
         automaton = ahocorasick.Automaton()
         for i, piece in enumerate(model.pieces):
-            self.is_byte.append(piece.type == BYTE)
             if piece.type == BYTE:
-                value = int(piece.piece[1:-1], 16)
-                self.byte[value] = i
-                self.out.append(bytes([value]))
+                self.byte[int(piece.piece[1:-1], 16)] = i
             elif piece.type == NORMAL:
                 self.score[piece.piece], self.id[piece.piece] = piece.score, i
                 automaton.add_word(piece.piece, i)
-                self.out.append(piece.piece.replace(SPACE, " ").encode())
-            else:
-                self.out.append(model.trainer_spec.unk_surface.encode() if piece.type == UNKNOWN else b"")
         automaton.make_automaton()
         self.automaton = automaton
         self.text_of = [p.piece for p in model.pieces]
@@ -191,30 +217,24 @@ class PrefixTable:
         known, of_unit = self.units.get, self.of_unit
         return b"".join([known(unit) or of_unit(unit) for unit in self.unit.findall(marked)])
 
-    def decode(self, ids: list[int] | None) -> str:
-        """Pieces in a row, byte pieces joined to characters; bytes that form none become U+FFFD, one each."""
-        if not ids:
-            return ""
-        raw = b"".join(map(self.out.__getitem__, ids))
-        try:
-            text = raw.decode()
-        except UnicodeDecodeError:
-            text = raw.decode(errors="one_for_each_byte")
-        return text[1:] if self.dummy_prefix and text.startswith(" ") and not self.is_byte[ids[0]] else text
-
 
 def _one_for_each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
 
+codecs.register_error("one_for_each_byte", _one_for_each_byte)
+
+
 @lru_cache(maxsize=4)
 def table(path: str) -> PrefixTable:
-    import codecs
-
-    codecs.register_error("one_for_each_byte", _one_for_each_byte)
     return PrefixTable(path)
 
 
+@lru_cache(maxsize=4)
+def piece_texts(path: str) -> PieceTexts:
+    return PieceTexts(path)
+
+
 def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
     """Add the ids of every text, without begin or end ids."""
 
@@ -225,7 +245,9 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: st
         for text in texts:
             values += of(text.as_py())
             sizes.append(len(values) // 4)
-        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
+        made = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(values, np.int32)))
+        trim()
+        return made
 
     # a decoder above would else run the encoder a second time, inlined
     once = ids_of.asNondeterministic()
@@ -237,8 +259,10 @@ def decode(docs: DataFrame, path: str, ids_column: str = "ids", text_column: str
 
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
-        of = table(path).decode
+        of = piece_texts(path).decode
         at, values = ids.offsets.to_pylist(), ids.values.to_numpy(zero_copy_only=False)
-        return pa.array((of(values[a:b].tolist()) for a, b in zip(at, at[1:])), pa.string())
+        made = pa.array((of(values[a:b].tolist()) for a, b in zip(at, at[1:])), pa.string())
+        trim()
+        return made
 
     return replacing(docs, {text_column: text_of(F.col(ids_column))})
