@@ -1,4 +1,5 @@
 """Token records and sentence pieces against the libraries, with texts made to be awkward."""
+import json
 import random
 import tracemalloc
 import zlib
@@ -118,3 +119,37 @@ def test_decoding_needs_a_fraction_of_the_prefix_table():
     assert light < heavy / 2 and not hasattr(texts, "automaton")
     ids = [table.encode(t) for t in awkward(4, 500)] + [[table.byte[200], 300], []]
     assert [texts.decode(i) for i in ids] == [table.decode(i) for i in ids]
+
+
+def test_new_words_go_to_the_model_together():
+    library, own = Tokenizer.from_file(BYTE_BPE), token_records.Encoder(BYTE_BPE)
+    asked, many = [], own.words
+
+    class Noted:
+        def encode_batch_fast(self, parts, **options):
+            asked.extend(parts)
+            return many.encode_batch_fast(parts, **options)
+
+    own.words = Noted()
+    random.seed(5)
+    word = lambda: random.choice([" ", "\n"]) + "".join(random.choices("abcdefghijklmnàéÿßÑ", k=random.randrange(1, 12)))
+    texts = ["".join(word() for _ in range(400)) for _ in range(20)]
+    got = [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert 0 < len(asked) <= len(own.pieces) / token_records.TOGETHER + 1
+
+
+@pytest.mark.parametrize("change", ["ignore_merges", "crossing"])
+def test_models_that_join_words_see_each_alone(tmp_path, change):
+    spec = json.load(open(BYTE_BPE, encoding="utf-8"))
+    if change == "crossing":
+        spec["model"]["vocab"]["eĠ"] = len(spec["model"]["vocab"]) + 1
+        spec["model"]["merges"].insert(0, ["e", "Ġ"] if isinstance(spec["model"]["merges"][0], list) else "e Ġ")
+    else:
+        spec["model"]["ignore_merges"] = True
+    path = str(tmp_path / "other.json")
+    json.dump(spec, open(path, "w", encoding="utf-8"))
+    own = token_records.Encoder(path)
+    assert own.cuts and own.words is None
+    texts = [" the one the other\nwhere we are", *awkward(6, 200)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]

@@ -13,7 +13,8 @@ that no index names. Any subset of records can be read in any order by it.
 Files go where the folder's URI says, through Arrow's file systems. Texts are encoded by the tokenizers
 library: cut before a blank that follows a non-blank, where this kind of pre-tokenizer cuts too, each
 distinct piece once per worker. Texts with other blanks before such a cut, or with added tokens in them, are
-encoded whole.
+encoded whole. New pieces that are one word of Latin letters go to the library's model many at a time, in its
+byte alphabet and without the pre-tokenizer, as no token joins a letter and a blank behind it.
 
 Defined results: null text is an empty one, which has just the end id; rows that share an id are ordered by
 text; an empty table gives an empty index; a frame whose checksums differ raises.
@@ -45,8 +46,13 @@ PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 LATIN_PIECE = re.compile(rf"[ \n]*[^ \n{LATIN}]*[{LATIN}]+|[ \n]*[^ \n{LATIN}]+|[ \n]+")
 OTHER_LETTER = re.compile(rf"[^\W\d_{LATIN}]")
-ASCII_BLANKS = "\t\r\v\f\x1c\x1d\x1e\x1f"
 OTHER_BLANK = re.compile(r"[^\S \n][ \n]")
+#: Of the first 256 code points: other blanks, and what ``OTHER_LETTER`` finds.
+NARROW_BLANKS = "".join(c for c in map(chr, range(256)) if c.isspace() and c not in " \n")
+NARROW_LETTERS = "".join(c for c in map(chr, range(256)) if OTHER_LETTER.match(c))
+#: Pieces that are one word behind one blank, which follow each other in one text of at most so many.
+WORD = re.compile(rf"[ \n][{LATIN}]+")
+TOGETHER = 100
 WIDTHS = {2: np.dtype("<u2"), 4: np.dtype("<u4")}
 
 
@@ -87,6 +93,30 @@ def cuts_at_blanks(path: str) -> bool:
     return bool(plain) and spec.get("normalizer") is None and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
 
 
+def byte_alphabet() -> np.ndarray:
+    """The code point by which this kind of tokenizer writes each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    points = np.empty(256, "<u4")
+    points[shown] = shown
+    hidden = np.setdiff1d(np.arange(256), shown)
+    points[hidden] = 256 + np.arange(len(hidden))
+    return points
+
+
+def joins_no_words(path: str, vocabulary: dict[str, int]) -> bool:
+    """Whether the model finds the same tokens in many pieces of the kind ``WORD`` together as in each of them."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if any(model.get(x) for x in ("ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")):
+        return False
+    points = byte_alphabet()
+    letters = {b for c in map(chr, range(256)) if re.match(f"[{LATIN}]", c) for b in c.encode()}
+    space, line, letters = chr(points[32]), chr(points[10]), {chr(points[b]) for b in letters}
+    used = letters | {space, line}
+    crossing = lambda token: any(a in letters and b in (space, line) or a == line and b in letters for a, b in zip(token, token[1:]))
+    return used <= vocabulary.keys() and not any(used.issuperset(t) and crossing(t) for t in vocabulary)
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores already
@@ -102,6 +132,10 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)  # this kind writes a byte as one character
+        self.words = None
+        if self.cuts and joins_no_words(path, self.tokenizer.get_vocab(with_added_tokens=False)):
+            self.words, self.points = Tokenizer.from_file(path), byte_alphabet()
+            self.words.pre_tokenizer = None
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -109,34 +143,52 @@ class Encoder:
 
     def _learn(self, missing: list[str]) -> None:
         """Encode pieces in one text, where the library cuts between them anyway, and find their ids by length."""
+        words = [p for p in missing if WORD.fullmatch(p)] if self.words else []
+        if words:
+            missing = [p for p in missing if not WORD.fullmatch(p)]
+            parts = ["".join(words[at : at + TOGETHER]).encode() for at in range(0, len(words), TOGETHER)]
+            shown = [self.points[np.frombuffer(x, np.uint8)].tobytes().decode("utf-32-le") for x in parts]
+            self._share_out(words, [i for e in self.words.encode_batch_fast(shown, add_special_tokens=False) for i in e.ids])
         safe = [p for p in missing if p[0] in " \n" and not p[-1].isspace()]
         rest = [p for p in missing if p[0] not in " \n" or p[-1].isspace()]
         self.pieces.update(zip(rest, self._each(rest)))
         if safe:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(safe)], add_special_tokens=False)[0].ids)
-            reach = np.cumsum(self.lengths[ids])
-            ends = np.searchsorted(reach, np.cumsum([len(p.encode()) for p in safe])) + 1
-            raw, cuts = ids.astype(WIDTHS[self.width]).tobytes(), [0, *(ends * self.width).tolist()]
-            self.pieces.update(zip(safe, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+            self._share_out(safe, self.tokenizer.encode_batch_fast(["".join(safe)], add_special_tokens=False)[0].ids)
+
+    def _share_out(self, pieces: list[str], ids: list[int]) -> None:
+        """Remember for each of these successive pieces which of the ids are its own."""
+        found = np.array(ids, np.int64)
+        reach = np.cumsum(self.lengths[found])
+        ends = np.searchsorted(reach, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces])) + 1
+        raw, cuts = found.astype(WIDTHS[self.width]).tobytes(), [0, *(ends * self.width).tolist()]
+        self.pieces.update(zip(pieces, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
 
     def _cut(self, text: str) -> list[str] | None:
-        if not self.cuts:
+        if not self.cuts or any(a in text for a in self.added):
             return None
-        plain = text.isascii()  # then a look for single characters does
-        if any(a in text for a in self.added) or ((not plain or any(map(text.__contains__, ASCII_BLANKS))) and OTHER_BLANK.search(text)):
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            odd = other = True
+        else:  # then a look for single characters does
+            odd, other = (any(map(text.__contains__, x)) for x in (NARROW_BLANKS, NARROW_LETTERS))
+        if odd and OTHER_BLANK.search(text):
             return None
-        return (PIECE if not plain and OTHER_LETTER.search(text) else LATIN_PIECE).findall(text)
+        return (PIECE if other and OTHER_LETTER.search(text) else LATIN_PIECE).findall(text)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         cut = list(map(self._cut, texts))
+        # a small table of this batch's pieces stays in the processor's cache, the large one does not
         distinct = set().union(*filter(None, cut))
-        if missing := distinct.difference(self.pieces):
+        here = dict(zip(distinct, map(self.pieces.get, distinct)))
+        if missing := [p for p, ids in here.items() if ids is None]:
             if len(self.pieces) + len(missing) > REMEMBERED // 2:
-                self.older, self.pieces, missing = self.pieces, {}, distinct
+                self.older, self.pieces, missing = self.pieces, {}, list(here)
             self.pieces |= {p: self.older[p] for p in missing if p in self.older}
             self._learn([p for p in missing if p not in self.pieces])
+            here.update(zip(missing, map(self.pieces.__getitem__, missing)))
         for text, pieces in zip(texts, cut):
-            yield self._each([text])[0] if pieces is None else b"".join(map(self.pieces.__getitem__, pieces))
+            yield self._each([text])[0] if pieces is None else b"".join(map(here.__getitem__, pieces))
 
 
 @lru_cache(maxsize=4)
