@@ -1,10 +1,12 @@
 """Filter audit, private terms and source audit on hand-made rows, against plain Python."""
 import hashlib
 import itertools
+import random
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import filter_audit, pii, source_audit
@@ -202,3 +204,31 @@ def test_blocks_of_sources_do_not_change_distances(spark, monkeypatch):
     got = {(r.g, r.h): r.both for r in source_audit.shared_terms(entries).collect()}
     assert {k: v for k, v in got.items() if k[0] != k[1]} == {k: v for k, v in wanted.items() if k[0] != k[1] and v}
     assert whole
+
+
+@pytest.mark.parametrize("limits", [{}, {"HELD": 5}, {"HELD": 1000, "WORDS": 7, "ROWS": 3}])
+def test_terms_are_counted_by_number_whatever_is_held(monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(source_audit, name, value)
+    random.seed(8)
+    rows = [
+        {"lang": random.choice(["", "en"]), "text": " ".join(random.choices(["a", "B", "b", "É", "zz9", "1", "", "x-y"], k=random.randrange(20))),
+         "sources": [{"source": s, "n": random.choice([1, 3])} for s in random.sample("pqrst", random.randrange(1, 5))]}
+        for _ in range(200)
+    ]
+    schema = pa.schema({"lang": pa.string(), "text": pa.string(), "sources": pa.list_(pa.struct({"source": pa.string(), "n": pa.int64()}))})
+    n, docs = Counter(), Counter()
+    for made in source_audit.count_terms(pa.RecordBatch.from_pylist(rows[at : at + 30], schema) for at in range(0, 200, 30)):
+        assert made.num_rows <= source_audit.ROWS
+        for r in made.to_pylist():
+            n[r["lang"], r["source"], r["term"]] += r["n"]
+            docs[r["lang"], r["source"], r["term"]] += r["docs"]
+    wanted, seen = Counter(), Counter()
+    for r in rows:
+        found = source_audit.TERM.findall("".join(c.lower() if c.isascii() else c for c in r["text"]))
+        for s in r["sources"]:
+            for term in found:
+                wanted[r["lang"], s["source"], term] += s["n"]
+            for term in set(found):
+                seen[r["lang"], s["source"], term] += s["n"]
+    assert (n, docs) == (wanted, seen)

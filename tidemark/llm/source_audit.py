@@ -24,20 +24,22 @@ distance 0 between all sources and no typical terms; an empty table gives no row
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settled, small
+from .common import settled, small, trim
 
 MIN_DOCS, SMOOTH, SCALE, TOP = 30, 5, 1_000_000_000, 50
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-#: Entries that a task counts before it hands them on.
-HELD = 400_000
+#: Terms, and words times sources, that a task holds before it hands its counts on, so many rows at a time.
+HELD, WORDS, ROWS = 400_000, 2_000_000, 50_000
 BLOCK, TERMS, DEAL = 512, 2_000, 16
 
 
@@ -56,34 +58,73 @@ def texts(value: str, n: int) -> np.ndarray:
     return np.full(n, value, object)
 
 
-def count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums over many texts: (lang, source, term, n occurrences, number of documents)."""
-    count: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
-
-    def out() -> Iterator[pd.DataFrame]:
-        for (lang, source), terms in count.items():
-            seen = docs[lang, source]
-            numbers = {"n": list(terms.values()), "docs": [seen[t] for t in terms]}
-            yield pd.DataFrame({"lang": texts(lang, len(terms)), "source": texts(source, len(terms)), "term": np.array([*terms, None], object)[:-1], **numbers})
-        count.clear()
-        docs.clear()
+def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums over many texts: (lang, source, term, n occurrences, number of documents).
+
+    Terms and sources become numbers as they come, and the numbers are counted together by sorting.
+    """
+    terms: dict[str, defaultdict[str, int]] = {}
+    names: defaultdict[str, int] = defaultdict(count().__next__)
+    number, n_terms, size = count(), 0, 0
+    words, held = [], []  # by text: its terms in order, and its (source, copies)
+
+    def out() -> Iterator[pa.RecordBatch]:
+        lang, place = np.empty(n_terms, np.int64), np.empty(n_terms, np.int64)
+        at = 0
+        for k, of in enumerate(terms.values()):
+            own = np.fromiter(of.values(), np.int64, len(of))
+            lang[own], place[own] = k, np.arange(at, at + len(of))
+            at += len(of)
+        text = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        key, times = np.unique(text * n_terms + np.concatenate(words), return_counts=True)
+        text, term = np.divmod(key, n_terms)
+        # a row for each source of a text
+        n_sources = np.array([len(x) for x in held])
+        source, copies = np.array([x for one in held for x in one], np.int64).T
+        each = n_sources[text]
+        within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        where = np.repeat((np.cumsum(n_sources) - n_sources)[text], each) + within
+        key, times, copies = source[where] * n_terms + np.repeat(term, each), np.repeat(times, each), copies[where]
+        order = np.argsort(key, kind="stable")
+        key, times, copies = key[order], times[order], copies[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        n, docs = np.add.reduceat(times * copies, first), np.add.reduceat(copies, first)
+        source, term = np.divmod(key[first], n_terms)
+        langs, sources, all_terms = (pa.array(list(x), pa.string()) for x in (terms, names, chain.from_iterable(terms.values())))
+        for at in range(0, len(first), ROWS):
+            s, t = source[at : at + ROWS], term[at : at + ROWS]
+            columns = [langs.take(pa.array(lang[t])), sources.take(pa.array(s)), all_terms.take(pa.array(place[t])), pa.array(n[at : at + ROWS]), pa.array(docs[at : at + ROWS])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
-        for lang, text, sources in zip(batch["lang"], batch["text"], batch["sources"]):
-            words = TERM.findall(text.encode().lower().decode())  # of bytes, only A to Z have a lower case
-            for s in sources:
-                own, seen, copies = count[lang, s["source"]], docs[lang, s["source"]], int(s["n"])
-                if copies == 1:
-                    own.update(words)
-                    seen.update(set(words))
-                else:
-                    for term, n in Counter(words).items():
-                        own[term] += n * copies
-                        seen[term] += copies
-            if sum(map(len, count.values())) > HELD:
-                yield from out()
-    yield from out()
+        for lang, text, sources in zip(*(batch.column(c) for c in ("lang", "text", "sources")), strict=True):
+            found = TERM.findall(text.as_py().encode().lower().decode())  # of bytes, only A to Z have a lower case
+            if not found:
+                continue
+            of = terms.setdefault(lang.as_py(), defaultdict(number.__next__))
+            before = len(of)
+            numbers = np.fromiter(map(of.__getitem__, found), np.int64, len(found))
+            n_terms += len(of) - before
+            own = [(names[s["source"]], s["n"]) for s in sources.as_py()]
+            part = max(1, WORDS // len(found))  # a text of very many sources in turns
+            for k in range(0, len(own), part):
+                words.append(numbers)
+                held.append(own[k : k + part])
+                size += len(found) * len(held[-1])
+                if size > WORDS or n_terms > HELD:
+                    yield from out()
+                    words.clear()
+                    held.clear()
+                    size = 0
+            if not words:  # all is out, and so are the numbers
+                terms.clear()
+                names.clear()
+                number, n_terms = count(), 0
+                names.default_factory = count().__next__
+                trim()
+    if words:
+        yield from out()
+    trim()
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -95,7 +136,7 @@ def share(count: Column, n: Column, v: Column) -> Column:
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Rows (lang, term, n, sources): the kept terms with their counts, in all and by source."""
-    counted = collapse(docs).mapInPandas(count_terms, "lang string, source string, term string, n long, docs long")
+    counted = collapse(docs).mapInArrow(count_terms, "lang string, source string, term string, n long, docs long")
     # Python has folded these rows, so they are dealt by term as they are, and both sums are taken where they lie
     dealt = counted.repartition("lang", "term")
     sums = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
