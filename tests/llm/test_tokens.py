@@ -153,3 +153,25 @@ def test_models_that_join_words_see_each_alone(tmp_path, change):
     assert own.cuts and own.words is None
     texts = [" the one the other\nwhere we are", *awkward(6, 200)]
     assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_latin_texts_are_cut_without_the_far_marks():
+    own, library = sentencepieces.PrefixTable(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    far = [c for p in own.id for c in p if c > "\uffff"]
+    assert far and max(own.narrow_unit.pattern) <= "\xff"
+    texts = [*awkward(7, 500), " ¡a.b \n\n¿é ", *("".join(random.choices([*far, *PARTS, *"…–’.,a"], k=20)) for _ in range(500))]
+    assert [own.encode(t) for t in texts] == library.encode(texts)
+    narrow = [" " + t.replace("▁", " ") for t in texts if max(t, default="") <= "\xff"]
+    assert len(narrow) > 20 and [own.narrow_unit.findall(t) for t in narrow] == [own.unit.findall(t) for t in narrow]
+    before = len(own.units)
+    own.encode("tulpe"), own.encode("“ tulpe")  # one word, remembered once
+    assert len(own.units) == before + 2
+
+
+def test_pieces_that_hold_line_ends_or_no_far_marks():
+    for pieces, text, wanted in (
+        (["▁a", "b"], " a. b\n c", [" a.", " b", "\n", " c"]),
+        (["▁a", ".", "😀"], " a.b😀.c\n", [" a", ".b", "😀.c", "\n"]),
+        (["▁a", "a\n"], " a\nb a", [" a\nb", " a"]),
+    ):
+        assert [sentencepieces.units_of(pieces)[0].findall(text)] == [wanted]

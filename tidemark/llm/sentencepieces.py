@@ -40,18 +40,31 @@ REMEMBERED = 400_000
 PAIR = 24
 
 
-def units_of(pieces) -> re.Pattern:
-    """Splits marked texts where no piece crosses: before runs of marks that follow only marks in any piece."""
+def units_of(pieces) -> tuple[re.Pattern, re.Pattern]:
+    """Splits texts where no piece crosses: before runs of marks that follow only marks in any piece.
+
+    Blanks stand for the space marks in texts. The first pattern is for any text, the second for Latin-1 characters.
+    ``re`` looks at characters beyond 16 bits in a class one by one, so such marks stand apart.
+    """
     neighbours = {a + b for p in pieces for a, b in zip(p, p[1:])}
     marks = {c for p in pieces for c in p if unicodedata.category(c)[0] not in "LM"} | {SPACE}
     while wrong := {b for a, b in neighbours if b in marks and a not in marks}:
         marks -= wrong
     if SPACE not in marks:
         raise ValueError("pieces span words, so texts do not fall into units")
-    opening = "[" + re.escape("".join(sorted(marks - {"\n"}))) + "]"
-    if any("\n" in p for p in pieces):
-        return re.compile(f"{opening}*[^{opening[1:]}+|{opening}+")
-    return re.compile(f"\n|{opening}*[^\n{opening[1:]}+|{opening}+")
+    line = "" if any("\n" in p for p in pieces) else "\n"
+    alone = line and "|\n"
+    marks = marks - {SPACE, "\n"} | {" "}
+
+    def within(first: str, last: str) -> str:
+        return re.escape("".join(sorted(c for c in marks if first <= c <= last)))
+
+    narrow, plain, high, far = within("\0", "\xff"), within("\0", "\uffff"), "\U00010000-\U0010ffff", within("\U00010000", "\U0010ffff")
+    opening, other = f"[{plain}]+", f"[^{line}{plain}]+"
+    if far:
+        opening, other = f"(?:[{plain}]++|(?=[{high}])[{far}])++", f"(?:[^{line}{plain}{high}]++|(?=[{high}])[^{far}])++"
+    wide = f" {other}{alone}|(?:{opening})?{other}|{opening}"
+    return re.compile(wide), re.compile(f" [^{line}{narrow}]+{alone}|[{narrow}]*[^{line}{narrow}]+|[{narrow}]+")
 
 
 class PieceTexts:
@@ -116,7 +129,7 @@ class PrefixTable(PieceTexts):
         self.length = list(map(len, self.text_of))
         known = {p for p in self.id if len(p) == 1}
         self.unknown = re.compile("[^" + re.escape("".join(sorted(known))) + "]")
-        self.unit = units_of(self.id)
+        self.unit, self.narrow_unit = units_of(self.id)
         self.pairs: dict[int, bool] = {}
         self.units: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -179,13 +192,13 @@ class PrefixTable(PieceTexts):
         return len(self.merged(self.text_of[piece])) == 1
 
     def of_unit(self, unit: str) -> bytes:
-        """The ids of a unit, 32 bits each."""
+        """The ids of a unit, 32 bits each; blanks stand for its space marks."""
         found = self.units.get(unit)
         if found is not None:
             return found
         packed = self.older.get(unit)
         if packed is None:
-            packed = array("i", self.found(unit)).tobytes()
+            packed = array("i", self.found(unit.replace(" ", SPACE))).tobytes()
         if len(unit) <= 40:
             if len(self.units) >= REMEMBERED // 2:
                 self.older, self.units = self.units, {}
@@ -211,11 +224,16 @@ class PrefixTable(PieceTexts):
         """The ids of a text, 32 bits each."""
         if not text:
             return b""
-        marked = text.replace(" ", SPACE)
         if self.dummy_prefix:
-            marked = SPACE + marked
+            text = " " + text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            units = self.unit.findall(text.replace(SPACE, " "))
+        else:
+            units = self.narrow_unit.findall(text)
         known, of_unit = self.units.get, self.of_unit
-        return b"".join([known(unit) or of_unit(unit) for unit in self.unit.findall(marked)])
+        return b"".join([known(unit) or of_unit(unit) for unit in units])
 
 
 def _one_for_each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
