@@ -175,3 +175,29 @@ def test_pieces_that_hold_line_ends_or_no_far_marks():
         (["▁a", "a\n"], " a\nb a", [" a\nb", " a"]),
     ):
         assert [sentencepieces.units_of(pieces)[0].findall(text)] == [wanted]
+
+
+def test_the_large_memory_is_asked_once_for_each_piece_of_a_batch():
+    asked = []
+
+    class Noted(dict):
+        def get(self, piece):
+            asked.append(piece)
+            return super().get(piece)
+
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+        def __contains__(self, piece):
+            asked.append(piece)
+            return super().__contains__(piece)
+
+    library, own = Tokenizer.from_file(BYTE_BPE), token_records.Encoder(BYTE_BPE)
+    own.pieces = Noted()
+    texts = awkward(8, 60) + ["one two\nthree, two one"] * 3
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # new pieces, then known ones
+        asked.clear()
+        assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == wanted
+        assert 0 < len(asked) == len(set(asked)) == len(own.pieces)

@@ -25,8 +25,11 @@ import json
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -141,27 +144,31 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, WIDTHS[self.width]).tobytes() for e in found]
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Encode pieces in one text, where the library cuts between them anyway, and find their ids by length."""
-        words = [p for p in missing if WORD.fullmatch(p)] if self.words else []
-        if words:
-            missing = [p for p in missing if not WORD.fullmatch(p)]
+        learned: dict[str, bytes] = {}
+        if self.words:
+            alone = list(map(WORD.fullmatch, missing))
+            words, missing = list(compress(missing, alone)), list(compress(missing, map(not_, alone)))
             parts = ["".join(words[at : at + TOGETHER]).encode() for at in range(0, len(words), TOGETHER)]
             shown = [self.points[np.frombuffer(x, np.uint8)].tobytes().decode("utf-32-le") for x in parts]
-            self._share_out(words, [i for e in self.words.encode_batch_fast(shown, add_special_tokens=False) for i in e.ids])
+            # each word begins with its only blank, the least of its bytes
+            begins = np.flatnonzero(np.frombuffer(b"".join(parts), np.uint8) <= 32)
+            learned |= self._share_out(words, np.append(begins, sum(map(len, parts)))[1:], self.words.encode_batch_fast(shown, add_special_tokens=False))
         safe = [p for p in missing if p[0] in " \n" and not p[-1].isspace()]
         rest = [p for p in missing if p[0] not in " \n" or p[-1].isspace()]
-        self.pieces.update(zip(rest, self._each(rest)))
+        learned.update(zip(rest, self._each(rest)))
         if safe:
-            self._share_out(safe, self.tokenizer.encode_batch_fast(["".join(safe)], add_special_tokens=False)[0].ids)
+            ends = np.cumsum([len(p.encode()) for p in safe])
+            learned |= self._share_out(safe, ends, self.tokenizer.encode_batch_fast(["".join(safe)], add_special_tokens=False))
+        return learned
 
-    def _share_out(self, pieces: list[str], ids: list[int]) -> None:
-        """Remember for each of these successive pieces which of the ids are its own."""
-        found = np.array(ids, np.int64)
-        reach = np.cumsum(self.lengths[found])
-        ends = np.searchsorted(reach, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces])) + 1
-        raw, cuts = found.astype(WIDTHS[self.width]).tobytes(), [0, *(ends * self.width).tolist()]
-        self.pieces.update(zip(pieces, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+    def _share_out(self, pieces: list[str], ends: np.ndarray, found: list) -> dict[str, bytes]:
+        """For each of these successive pieces, whose bytes end there, which of the ids are its own."""
+        ids = np.array(list(chain.from_iterable(e.ids for e in found)), np.int64)
+        last = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+        raw, cuts = ids.astype(WIDTHS[self.width]).tobytes(), [0, *(last * self.width).tolist()]
+        return dict(zip(pieces, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
 
     def _cut(self, text: str) -> list[str] | None:
         if not self.cuts or any(a in text for a in self.added):
@@ -177,18 +184,22 @@ class Encoder:
         return (PIECE if other and OTHER_LETTER.search(text) else LATIN_PIECE).findall(text)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = list(map(self._cut, texts))
-        # a small table of this batch's pieces stays in the processor's cache, the large one does not
-        distinct = set().union(*filter(None, cut))
-        here = dict(zip(distinct, map(self.pieces.get, distinct)))
-        if missing := [p for p, ids in here.items() if ids is None]:
+        # each text's pieces become this batch's numbers at once, while they are in the processor's cache
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        cut = [None if pieces is None else list(map(number.__getitem__, pieces)) for pieces in map(self._cut, texts)]
+        distinct = list(number)
+        found = list(map(self.pieces.get, distinct))
+        if missing := list(compress(distinct, map(not_, found))):
             if len(self.pieces) + len(missing) > REMEMBERED // 2:
-                self.older, self.pieces, missing = self.pieces, {}, list(here)
-            self.pieces |= {p: self.older[p] for p in missing if p in self.older}
-            self._learn([p for p in missing if p not in self.pieces])
-            here.update(zip(missing, map(self.pieces.__getitem__, missing)))
-        for text, pieces in zip(texts, cut):
-            yield self._each([text])[0] if pieces is None else b"".join(map(here.__getitem__, pieces))
+                self.older, self.pieces, missing = self.pieces, {}, distinct
+            old = list(map(self.older.get, missing))
+            new = dict(zip(missing, old))
+            new |= self._learn(list(compress(missing, map(not_, old))))
+            self.pieces |= new
+            found = [ids or new[p] for p, ids in zip(distinct, found)]
+        for text, numbers in zip(texts, cut):
+            yield self._each([text])[0] if numbers is None else b"".join(map(found.__getitem__, numbers))
 
 
 @lru_cache(maxsize=4)
