@@ -1,11 +1,14 @@
 """Token records and sentence pieces against the libraries, with texts made to be awkward."""
 import json
 import random
+import re
+import time
 import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -201,3 +204,50 @@ def test_the_large_memory_is_asked_once_for_each_piece_of_a_batch():
         asked.clear()
         assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == wanted
         assert 0 < len(asked) == len(set(asked)) == len(own.pieces)
+
+
+L = token_records.LATIN
+LATIN_PIECE = re.compile(rf"[ \n]*[^ \n{L}]*[{L}]+|[ \n]*[^ \n{L}]+|[ \n]+")
+
+
+def test_known_pieces_cost_less_than_making_each_a_string():
+    random.seed(9)
+    words = ["".join(random.choices("abcdefghijklmnàéÿßÑ", k=random.randrange(2, 12))) for _ in range(20000)]
+    texts = [" ".join(random.choices(words, k=500)) for _ in range(1500)]
+    own = token_records.Encoder(BYTE_BPE)
+    wanted = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in own.encode(texts)] == wanted
+    distinct = list({p for t in texts for p in LATIN_PIECE.findall(t)})
+    known = dict(zip(distinct, own._each(distinct)))
+
+    def least(run):
+        took = []
+        for _ in range(7):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(lambda: list(own.encode(texts))) < 0.75 * least(lambda: [b"".join(map(known.__getitem__, LATIN_PIECE.findall(t))) for t in texts])
+
+
+def test_pieces_begin_where_patterns_say():
+    blanks = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+    texts = [*awkward(10, 800), "", "×é÷À×", "é", "a×b÷cÿ", "\u00c3\u0083", "Ã \n", "\u0180\u00df\u1403", ""]
+    for marks in ([i % 3 > 0 for i in range(len(texts))], [False] * len(texts), [True] * len(texts)):
+        raw = [t.encode() for t in texts]
+        begins = token_records.piece_begins(np.frombuffer(b"".join(raw), np.uint8), np.array(list(map(len, raw))), np.array(marks))
+        wanted = [p.encode() for t, mark in zip(texts, marks) for p in (LATIN_PIECE if mark else blanks).findall(t)]
+        ends = [*begins[1:].tolist(), len(b"".join(raw))]
+        assert [b"".join(raw)[a:b] for a, b in zip(begins, ends)] == wanted
+    own = token_records.Encoder(BYTE_BPE)
+    assert list(own.encode([])) == [] and list(own.encode(["", ""])) == [b"", b""]
+
+
+def test_runs_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(token_records, "RUN", 50)
+    texts = [*awkward(11, 100), "", "x" * 500, ""]
+    for some in (texts, [], [""], ["x" * 120]):
+        runs = list(token_records.runs(pa.array(["before", *some], pa.string()).slice(1)))
+        assert [t for run in runs for t in run] == some
+        assert all(sum(len(t.encode()) for t in run[1:]) <= 50 for run in runs)
